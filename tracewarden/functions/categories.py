@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .identifiers import IDENTITY_NAME_TOKENS, endpoint_text, iam_text
-from .text import lookup, lookup_or_same, null_if_in, strip
+from .text import lookup, lookup_or_same, null_if_in
 
 
 def _spellings(groups: dict[str, tuple[str, ...]]) -> dict[str, str]:
@@ -143,12 +143,11 @@ FIREWALL_TRUE = ("true", "yes", "y", "1")
 FIREWALL_FALSE = ("false", "no", "n", "0")
 
 
-# --- rules -------------------------------------------------------------------------------
+# --- rules (stripped input) -------------------------------------------------------------------------------
 
 def identity_category(c: Column, mapping: dict[str, str]) -> Column:
     """Case-sensitive lookup; unmapped is null."""
-    text = strip(c)
-    return lookup(null_if_in(text, IDENTITY_NAME_TOKENS, F.lower(text)), mapping)
+    return lookup(null_if_in(c, IDENTITY_NAME_TOKENS, F.lower(c)), mapping)
 
 
 def iam_category(c: Column, mapping: dict[str, str] | None = None) -> Column:
@@ -158,17 +157,17 @@ def iam_category(c: Column, mapping: dict[str, str] | None = None) -> Column:
 
 
 def iam_mfa_passed(c: Column) -> Column:
-    text = F.upper(strip(c))
+    text = F.upper(c)
     return F.when(text.isin(*IAM_PASSED), True).when(text.isin(*IAM_NOT_PASSED), False)
 
 
 def iam_risk_level(c: Column) -> Column:
-    text = F.upper(strip(c))
+    text = F.upper(c)
     return F.when(text.isin(*IAM_LEVELS), text)
 
 
 def iam_geo(c: Column) -> Column:
-    return lookup_or_same(null_if_in(F.upper(strip(c)), IAM_GEO_TOKENS), IAM_PLACES)
+    return lookup_or_same(null_if_in(F.upper(c), IAM_GEO_TOKENS), IAM_PLACES)
 
 
 def endpoint_category(c: Column, mapping: dict[str, str]) -> Column:
@@ -182,11 +181,11 @@ def sha256_valid(c: Column) -> Column:
 
 def firewall_category(c: Column, mapping: dict[str, str], other: str | None = None) -> Column:
     """Upper-cased lookup; blank is null, unmapped is ``other``."""
-    text = null_if_in(F.upper(strip(c)), ("",))
+    text = null_if_in(F.upper(c), ("",))
     value = lookup(text, mapping)
     return F.when(text.isNotNull(), F.coalesce(value, F.lit(other))) if other else value
 
 
 def firewall_threat_flag(c: Column) -> Column:
-    text = F.lower(strip(c))
+    text = F.lower(c)
     return F.when(text.isin(*FIREWALL_TRUE), True).when(text.isin(*FIREWALL_FALSE), False)

@@ -1,4 +1,8 @@
-"""Identifier rules: users, hosts, devices, sessions and the cross-source keys."""
+"""Identifier rules: users, hosts, devices, sessions and the cross-source keys.
+
+Source rules take stripped text (see ``text.stripped``); the cross-source keys strip on
+their own.
+"""
 
 from __future__ import annotations
 
@@ -29,12 +33,12 @@ def _alphanumeric(c: Column) -> Column:
 # --- identity master -------------------------------------------------------------
 
 def identity_user_id(c: Column) -> Column:
-    compact = _alphanumeric(F.upper(strip(c)))
+    compact = _alphanumeric(F.upper(c))
     return _employee_id(null_if_in(compact, IDENTITY_ID_TOKENS))
 
 
 def identity_username(c: Column) -> Column:
-    return null_if_in(F.lower(strip(c)), IDENTITY_NAME_TOKENS)
+    return null_if_in(F.lower(c), IDENTITY_NAME_TOKENS)
 
 
 def _short_upper_host(c: Column) -> Column:
@@ -46,18 +50,17 @@ def _compact_device(c: Column) -> Column:
 
 
 def identity_hostname(c: Column) -> Column:
-    return _short_upper_host(null_if_in(F.upper(strip(c)), IDENTITY_ID_TOKENS))
+    return _short_upper_host(null_if_in(F.upper(c), IDENTITY_ID_TOKENS))
 
 
 def identity_device_id(c: Column) -> Column:
-    return _compact_device(null_if_in(F.upper(strip(c)), IDENTITY_ID_TOKENS))
+    return _compact_device(null_if_in(F.upper(c), IDENTITY_ID_TOKENS))
 
 
 # --- IAM audit trail ---------------------------------------------------------------
 
 def iam_text(c: Column) -> Column:
-    text = strip(c)
-    return null_if_in(text, IAM_TOKENS, F.upper(text))
+    return null_if_in(c, IAM_TOKENS, F.upper(c))
 
 
 def iam_user_id(c: Column) -> Column:
@@ -76,12 +79,11 @@ def iam_device_id(c: Column) -> Column:
 # --- endpoint alerts ---------------------------------------------------------------
 
 def endpoint_text(c: Column) -> Column:
-    text = strip(c)
-    return null_if_in(text, ENDPOINT_TOKENS, F.upper(text))
+    return null_if_in(c, ENDPOINT_TOKENS, F.upper(c))
 
 
 def endpoint_label(c: Column) -> Column:
-    return strip(F.regexp_replace(endpoint_text(c), r"\s+", " "))
+    return F.trim(F.regexp_replace(endpoint_text(c), r"\s+", " "))
 
 
 def endpoint_user_id(c: Column) -> Column:
@@ -101,7 +103,7 @@ def endpoint_host_key(c: Column) -> Column:
 # --- firewall logs -----------------------------------------------------------------
 
 def firewall_hostname(c: Column) -> Column:
-    return F.translate(F.lower(strip(c)), "_", "-")
+    return F.translate(F.lower(c), "_", "-")
 
 
 def firewall_host_key(c: Column) -> Column:
@@ -109,7 +111,7 @@ def firewall_host_key(c: Column) -> Column:
 
 
 def firewall_session_id(c: Column) -> Column:
-    return F.regexp_replace(F.upper(strip(c)), r"^SID-(\d{6})$", "SID$1")
+    return F.regexp_replace(F.upper(c), r"^SID-(\d{6})$", "SID$1")
 
 
 # --- cross-source keys ---------------------------------------------------------------

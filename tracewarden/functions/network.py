@@ -1,4 +1,4 @@
-"""Network fields: addresses, ports, byte counts."""
+"""Network fields: addresses, ports, byte counts, scores. Input is stripped text."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .identifiers import IAM_TOKENS, iam_text
-from .text import strip
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _IPV4_BODY = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
@@ -60,10 +59,9 @@ def is_private_ipv4(c: Column) -> Column:
     return private & ~c.isin(*REACHABLE_IPV4)
 
 
-def ip_status(raw: Column) -> Column:
-    c = strip(raw)
+def ip_status(c: Column) -> Column:
     return (
-        F.when(raw.isNull() | (c == ""), "MISSING")
+        F.when(c.isNull() | (c == ""), "MISSING")
         .when(F.upper(c).isin(*IAM_TOKENS), "UNKNOWN")
         .when(c.rlike(IPV4), F.when(is_private_ipv4(c), "VALID_PRIVATE").otherwise("VALID_PUBLIC"))
         .when(c.rlike(IPV6), "VALID_OTHER")
@@ -71,21 +69,16 @@ def ip_status(raw: Column) -> Column:
     )
 
 
-def source_ip(raw: Column) -> Column:
-    """Stripped address; malformed text is kept for the analyst."""
-    return iam_text(raw)
+def source_ip(c: Column) -> Column:
+    """Malformed text is kept for the analyst."""
+    return iam_text(c)
 
 
-def ip_valid(raw: Column) -> Column:
+def ip_valid(c: Column) -> Column:
     """True or false, null when blank."""
-    c = strip(raw)
     return F.when(c != "", c.rlike(IPV4) | c.rlike(IPV6))
 
 
-def valid_ip(raw: Column) -> Column:
-    return F.when(ip_valid(raw), strip(raw))
-
-
 _NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -94,30 +87,27 @@ def _finite(text: Column) -> Column:
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
-def port(raw: Column) -> Column:
-    number = _finite(strip(raw))
+def port(c: Column) -> Column:
+    number = _finite(c)
     return F.when(number.between(0, 65535) & (number % 1 == 0), number.cast("int"))
 
 
-def _status(raw: Column, value: Column) -> Column:
+def field_status(raw: Column, value: Column) -> Column:
+    """How a raw text became ``value``: missing, invalid or valid."""
     return (
-        F.when(F.coalesce(strip(raw), F.lit("")) == "", "missing")
+        F.when(F.coalesce(raw, F.lit("")) == "", "missing")
         .when(value.isNull(), "invalid")
         .otherwise("valid")
     )
 
 
-def port_status(raw: Column) -> Column:
-    return _status(raw, port(raw))
-
-
 _BYTES = r"^([-+]?\d+(?:\.\d+)?)\s*([KkMmGg][Bb])?$"
 # Bytes per unit.
 UNIT_BYTES = {"": 1.0, "KB": 1024.0, "MB": 1024.0**2, "GB": 1024.0**3}
 
 
 def byte_count(raw: Column) -> Column:
-    c = F.translate(strip(raw), ",", "")
+    c = F.translate(raw, ",", "")
     number = F.regexp_extract(c, _BYTES, 1).try_cast("double")
     unit = F.upper(F.regexp_extract(c, _BYTES, 2))
     scale = F.lit(UNIT_BYTES[""])
@@ -127,13 +117,8 @@ def byte_count(raw: Column) -> Column:
     return F.when(c.rlike(_BYTES) & (number >= 0), F.rint(number * scale).try_cast("bigint"))
 
 
-def byte_status(raw: Column) -> Column:
-    return _status(raw, byte_count(raw))
-
-
-def iam_score(raw: Column) -> Column:
+def iam_score(c: Column) -> Column:
     """``78/100`` or a plain number, kept only inside 0..100."""
-    c = F.upper(strip(raw))
     ratio = r"^(\d+(?:\.\d+)?)\s*/\s*100$"
     number = F.when(c.rlike(ratio), F.regexp_extract(c, ratio, 1).try_cast("double")).otherwise(
         _finite(c)

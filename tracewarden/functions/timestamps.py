@@ -2,7 +2,7 @@
 
 Every format family is one anchored pattern that rearranges the text into ISO order;
 the ISO text is then cast with ``try_cast``, whose parser yields null (no exception)
-on impossible dates. No session time zone is involved: results are ``timestamp_ntz``.
+on impossible dates. Input is stripped text. No session time zone is involved: results are ``timestamp_ntz``.
 """
 
 from __future__ import annotations
@@ -10,15 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .identifiers import endpoint_text
-from .text import null_if_in, strip
-
 # English month abbreviations in calendar order.
 MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
 
-# Texts that mean "no date" in the identity master.
-IDENTITY_DATE_TOKENS = ("not available", "na", "n/a", "none", "null", "")
-
 _CLOCK = r"\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?"
 _TAIL = rf"(?:[ T]({_CLOCK}))?"
 
@@ -30,7 +24,7 @@ def _from_epoch(digits: Column) -> Column:
 
 def _rearranged(c: Column, pattern: str, order: str) -> Column:
     return F.when(
-        c.rlike(pattern), strip(F.regexp_replace(c, pattern, order)).try_cast("timestamp_ntz")
+        c.rlike(pattern), F.trim(F.regexp_replace(c, pattern, order)).try_cast("timestamp_ntz")
     )
 
 
@@ -44,7 +38,7 @@ def _month_name(c: Column, pattern: str) -> Column:
         F.regexp_extract(c, pattern, 3), F.lit("-"), number, F.lit("-"),
         F.regexp_extract(c, pattern, 1), F.lit(" "), F.regexp_extract(c, pattern, 4),
     )
-    return F.when(c.rlike(pattern), strip(iso).try_cast("timestamp_ntz"))
+    return F.when(c.rlike(pattern), F.trim(iso).try_cast("timestamp_ntz"))
 
 
 def _twelve_hour(c: Column, pattern: str, order: str) -> Column:
@@ -59,13 +53,12 @@ def _twelve_hour(c: Column, pattern: str, order: str) -> Column:
     return F.when(c.rlike(pattern) & hour.between(1, 12), iso.try_cast("timestamp_ntz"))
 
 
-def mixed_timestamp(raw: Column) -> Column:
+def mixed_timestamp(c: Column) -> Column:
     """IAM and identity grammar: the families the sources use, day-first for slashes.
 
     A slash date that has no day-first reading is read month-first; dashed dates are
     month-first with a day-first second reading. Anything else is null ("unparsed").
     """
-    c = strip(raw)
     slash = rf"^(\d{{2}})/(\d{{2}})/(\d{{4}}){_TAIL}$"
     loose = rf"^(\d{{1,2}})[-/](\d{{1,2}})[-/](\d{{4}}){_TAIL}$"
     named = rf"^(\d{{1,2}})-([A-Za-z]{{3}})-(\d{{4}}){_TAIL}$"
@@ -84,14 +77,13 @@ def mixed_timestamp(raw: Column) -> Column:
     )
 
 
-def identity_timestamp(raw: Column) -> Column:
-    text = strip(raw)
-    return mixed_timestamp(null_if_in(text, IDENTITY_DATE_TOKENS, F.lower(text)))
+def identity_timestamp(c: Column) -> Column:
+    """The "no date" texts match no family, so they need no test of their own."""
+    return mixed_timestamp(c)
 
 
-def endpoint_timestamp(raw: Column) -> Column:
+def endpoint_timestamp(c: Column) -> Column:
     """Endpoint grammar: a fixed list of formats tried in order; one- or two-digit fields."""
-    c = endpoint_text(raw)
     two = r"(\d{1,2})"
     clock = r"(\d{1,2}:\d{1,2}:\d{1,2})"
     short = r"(\d{1,2}:\d{1,2}(?::\d{1,2})?)"
@@ -111,9 +103,8 @@ def endpoint_timestamp(raw: Column) -> Column:
     )
 
 
-def firewall_timestamp(raw: Column) -> Column:
+def firewall_timestamp(c: Column) -> Column:
     """Firewall grammar: fully anchored two-digit formats, no month-first second reading."""
-    c = strip(raw)
     day, clock = r"(\d{2})/(\d{2})/(\d{4})", r"(\d{2}:\d{2}:\d{2})"
     return F.coalesce(
         _rearranged(c, rf"^(\d{{4}})-(\d{{2}})-(\d{{2}})[ T]{clock}$", "$1-$2-$3 $4"),

@@ -13,8 +13,8 @@ from ..functions import categories as cat
 from ..functions import identifiers as ids
 from ..functions import network as net
 from ..functions import timestamps as times
-from ..functions.text import as_flag, strip
-from ..schemas import CLEAN_COLUMNS, ENDPOINT_ISSUE_FLAGS
+from ..functions.text import as_flag, stripped
+from ..schemas import CLEAN_COLUMNS, ENDPOINT_ISSUE_FLAGS, RAW_COLUMNS
 from ..sources.raw import expected_only
 from .dedupe import COPIES, distinct_with_copies, flag_duplicate_keys
 
@@ -29,7 +29,7 @@ def device_users(df: DataFrame) -> DataFrame:
 
 
 def identity_stage(raw: DataFrame) -> DataFrame:
-    rows = distinct_with_copies(expected_only(raw, "identity"))
+    rows = stripped(distinct_with_copies(expected_only(raw, "identity")), RAW_COLUMNS["identity"][2:])
     c = F.col
     cleaned = rows.select(
         "full_name", "role",
@@ -53,10 +53,10 @@ def identity_stage(raw: DataFrame) -> DataFrame:
 
 
 def iam_stage(raw: DataFrame) -> DataFrame:
-    rows = distinct_with_copies(expected_only(raw, "iam"))
+    rows = stripped(distinct_with_copies(expected_only(raw, "iam")), RAW_COLUMNS["iam"])
     c = F.col
     return rows.select(
-        strip(c("event_id")).alias("event_id"),
+        "event_id",
         times.mixed_timestamp(c("timestamp")).alias("timestamp"),
         ids.iam_user_id(c("user_id")).alias("user_id"),
         F.lower(ids.iam_text(c("username"))).alias("username"),
@@ -105,7 +105,8 @@ def _endpoint_fields(rows: DataFrame) -> DataFrame:
 
 def endpoint_stage(raw: DataFrame) -> DataFrame:
     rows = distinct_with_copies(expected_only(raw, "endpoint"))
-    fields = _endpoint_fields(flag_duplicate_keys(rows, "alert_id"))
+    flagged_ids = flag_duplicate_keys(rows, "alert_id")
+    fields = _endpoint_fields(stripped(flagged_ids, RAW_COLUMNS["endpoint"][1:]))
     c = F.col
     detected, resolved, status = c("detected_timestamp"), c("resolved_timestamp"), c("status")
     unresolved = as_flag(status.isin(*cat.UNRESOLVED_STATUSES))
@@ -139,34 +140,34 @@ def endpoint_stage(raw: DataFrame) -> DataFrame:
 
 def firewall_stage(raw: DataFrame) -> DataFrame:
     """All columns take part in duplicate removal, unexpected ones included."""
-    rows = distinct_with_copies(raw)
+    rows = stripped(distinct_with_copies(raw), RAW_COLUMNS["firewall"][1:])
     c = F.col
-    return rows.select(
+    numbers = {"src_port": net.port, "dst_port": net.port,
+               "bytes_sent": net.byte_count, "bytes_received": net.byte_count}
+    addresses = ("src_ip", "dst_ip")
+    extra = [n for n in raw.columns if n not in RAW_COLUMNS["firewall"]]
+    fields = rows.select(
         "log_id",
         times.firewall_timestamp(c("timestamp")).alias("timestamp"),
         ids.firewall_hostname(c("hostname")).alias("hostname"),
-        net.valid_ip(c("src_ip")).alias("src_ip"),
-        net.valid_ip(c("dst_ip")).alias("dst_ip"),
-        net.port(c("src_port")).alias("src_port"),
-        net.port(c("dst_port")).alias("dst_port"),
+        *addresses,
+        *[net.ip_valid(c(n)).alias(f"{n}_valid") for n in addresses],
+        *[c(n).alias(f"_raw_{n}") for n in numbers],
+        *[rule(c(n)).alias(n) for n, rule in numbers.items()],
         cat.firewall_category(c("protocol"), cat.FIREWALL_PROTOCOLS, "OTHER").alias("protocol"),
         cat.firewall_category(c("action"), cat.FIREWALL_ACTIONS, "OTHER").alias("action"),
-        net.byte_count(c("bytes_sent")).alias("bytes_sent"),
-        net.byte_count(c("bytes_received")).alias("bytes_received"),
         ids.firewall_session_id(c("session_id")).alias("session_id"),
         cat.firewall_threat_flag(c("threat_flag")).alias("threat_flag"),
-        F.upper(strip(c("rule_name"))).alias("rule_name"),
+        F.upper(c("rule_name")).alias("rule_name"),
         cat.firewall_category(c("geo_country"), cat.FIREWALL_COUNTRIES).alias("geo_country"),
         ids.firewall_host_key(c("hostname")).alias("hostname_join_key"),
-        net.ip_valid(c("src_ip")).alias("src_ip_valid"),
-        net.ip_valid(c("dst_ip")).alias("dst_ip_valid"),
-        net.port_status(c("src_port")).alias("src_port_status"),
-        net.port_status(c("dst_port")).alias("dst_port_status"),
-        net.byte_status(c("bytes_sent")).alias("bytes_sent_status"),
-        net.byte_status(c("bytes_received")).alias("bytes_received_status"),
-        *[c(name) for name in raw.columns if name not in CLEAN_COLUMNS["firewall"]],
+        *extra,
         COPIES,
     )
+    return fields.withColumns({
+        **{n: F.when(c(f"{n}_valid"), c(n)) for n in addresses},
+        **{f"{n}_status": net.field_status(c(f"_raw_{n}"), c(n)) for n in numbers},
+    }).select(*CLEAN_COLUMNS["firewall"], *extra, COPIES)
 
 
 STAGES = {

@@ -182,7 +182,8 @@ def iam_summary(stage: DataFrame, raw_columns: int) -> DataFrame:
     return _metrics(stage, figures).unionByName(repeated).unionByName(devices)
 
 
-def endpoint_summary(stage: DataFrame, raw: DataFrame) -> DataFrame:
+def endpoint_summary(stage: DataFrame) -> DataFrame:
+    # duplicate removal keeps every alert id, so raw and final distinct ids agree
     flags = {
         "remaining_duplicate_alert_id_rows": "duplicate_alert_id_flag",
         "missing_user_id": "missing_user_id_flag",
@@ -199,14 +200,12 @@ def endpoint_summary(stage: DataFrame, raw: DataFrame) -> DataFrame:
         "raw_rows": F.sum(COPIES),
         "exact_duplicate_rows_removed": F.sum(F.col(COPIES) - 1),
         "final_rows": F.count(F.lit(1)),
+        "raw_unique_alert_ids": F.countDistinct("alert_id"),
         "final_unique_alert_ids": F.countDistinct("alert_id"),
         **{name: _count_if(F.col(flag)) for name, flag in flags.items()},
         "rows_requiring_review": _count_if(F.col("data_quality_status") == "Review"),
     }
-    raw_ids = raw.agg(F.countDistinct("alert_id").alias("value")).select(
-        F.lit("raw_unique_alert_ids").alias("metric"), "value"
-    )
-    return _metrics(stage, figures).unionByName(raw_ids)
+    return _metrics(stage, figures)
 
 
 def firewall_summary(stage: DataFrame) -> DataFrame:

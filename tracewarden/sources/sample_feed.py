@@ -312,12 +312,22 @@ RAW_SQL = {
 }
 
 
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    """The test tables are single files of one row group: spread those over the cores.
+
+    A table of many files is left alone; its scan is parallel already.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """The raw telemetry table, derived from the whole test tables under ``sf_dir``."""
     sql = RAW_SQL[table]()
     for name in TABLES:
         mention = re.compile(rf"\bFROM {name}\b")
         if mention.search(sql):
-            spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(f"feed_{name}")
+            _scan(spark, f"{sf_dir}/{name}.parquet").createOrReplaceTempView(f"feed_{name}")
             sql = mention.sub(f"FROM feed_{name}", sql)
     return spark.sql(sql)
