@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,10 +24,7 @@ NULL_TOKENS = (
 
 
 def strip(c: Column) -> Column:
-    """Remove surrounding whitespace; the character-set trim runs only where there is some."""
-    spaces = F.lit(WHITESPACE)
-    ragged = spaces.contains(F.substring(c, 1, 1)) | spaces.contains(F.substring(c, -1, 1))
-    return F.when(ragged, F.btrim(c, spaces)).otherwise(c)
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def stripped(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -36,8 +33,10 @@ def stripped(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.select(*[strip(F.col(n)).alias(n) if n in wanted else F.col(n) for n in df.columns])
 
 
-def null_if_in(c: Column, tokens: Iterable[str], folded: Column | None = None) -> Column:
+def null_if_in(c: Column, tokens: Sequence[str], folded: Column | None = None) -> Column:
     """``c``, or null where ``folded`` (default ``c``) is one of ``tokens``."""
+    if folded is None and len(tokens) == 1:
+        return F.nullif(c, F.lit(tokens[0]))
     probe = c if folded is None else folded
     return F.when(~probe.isin(*tokens), c)
 
@@ -47,10 +46,15 @@ def null_token(c: Column) -> Column:
     return null_if_in(c, NULL_TOKENS)
 
 
+def literal_map(mapping: Mapping[str, str]) -> Column:
+    """A constant map, built from one SQL literal."""
+    quoted = ["'" + item.replace("'", "\\'") + "'" for entry in mapping.items() for item in entry]
+    return F.expr(f"map({', '.join(quoted)})")
+
+
 def lookup(c: Column, mapping: Mapping[str, str]) -> Column:
     """Exact lookup; null for null or unmapped input."""
-    pairs = [F.lit(item) for entry in mapping.items() for item in entry]
-    return F.try_element_at(F.create_map(*pairs), c)
+    return F.try_element_at(literal_map(mapping), c)
 
 
 def lookup_or_same(c: Column, mapping: Mapping[str, str]) -> Column:

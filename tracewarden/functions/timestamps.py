@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import lookup
+
 # English month abbreviations in calendar order.
 MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
 
@@ -31,9 +33,7 @@ def _rearranged(c: Column, pattern: str, order: str) -> Column:
 def _month_name(c: Column, pattern: str) -> Column:
     """Day, month abbreviation, year and clock: groups 1 to 4 of ``pattern``."""
     month = F.upper(F.regexp_extract(c, pattern, 2))
-    number = F.try_element_at(
-        F.create_map(*[F.lit(x) for i, m in enumerate(MONTHS, 1) for x in (m, f"{i:02d}")]), month
-    )
+    number = lookup(month, {name: f"{i:02d}" for i, name in enumerate(MONTHS, 1)})
     iso = F.concat(
         F.regexp_extract(c, pattern, 3), F.lit("-"), number, F.lit("-"),
         F.regexp_extract(c, pattern, 1), F.lit(" "), F.regexp_extract(c, pattern, 4),

@@ -8,6 +8,12 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+RUNTIME = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
 def build_session(
     app_name: str = "tracewarden",
     master: str | None = None,
@@ -23,7 +29,7 @@ def build_session(
     if master:
         builder = builder.master(master)
     settings = {
-        "spark.sql.session.timeZone": "UTC",
+        **RUNTIME,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
@@ -37,9 +43,15 @@ def build_session(
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the runtime settings results depend on (naive times are read as UTC)."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Pin the runtime settings the jobs depend on.
+
+    Naive times are read as UTC. The JVM never compiles a method over 8000 bytes of bytecode,
+    so a fused cleaning stage of that size would run interpreted; with the limit below Spark
+    generates such a stage as split, compilable expression methods instead.
+    """
+    for key, value in RUNTIME.items():
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
     return spark
 
 
