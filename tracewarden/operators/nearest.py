@@ -69,7 +69,7 @@ def closest_pairs(
     before = F.lag("event").over(in_day)
     within = (
         moments.withColumn("before", before)
-        .withColumn("best", F.least(alone, *_candidates(F.col("before"), event)))
+        .withColumn("best", F.array_min(F.array(alone, *_candidates(F.col("before"), event))))
         .groupBy(*keys, "day")
         .agg(F.min("best").alias("best"),
              F.min_by("event", "us").alias("first"), F.max_by("event", "us").alias("last"))
@@ -77,7 +77,7 @@ def closest_pairs(
     by_day = Window.partitionBy(*keys).orderBy("day")
     pairs = (
         within.withColumn("before", F.lag("last").over(by_day))
-        .withColumn("best", F.least(F.col("best"), *_candidates(F.col("before"), F.col("first"))))
+        .withColumn("best", F.array_min(F.array(F.col("best"), *_candidates(F.col("before"), F.col("first")))))
         .groupBy(*keys).agg(F.min("best").alias("best"))
         .where("best IS NOT NULL")
     )

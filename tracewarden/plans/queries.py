@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dedupe, linkage, quality
+from ..functions.identifiers import risk_key
+from ..operators import dedupe, detections, linkage, quality, queue, risk, signals
+from ..operators.cleaning import clean
+from ..operators.nearest import closest_pairs
 from ..schemas import RAW_COLUMNS
 from .feed import Feed, portable
 
@@ -23,17 +26,17 @@ def query(build: Callable[[Feed], DataFrame]) -> Callable[[Feed], DataFrame]:
 
 @query
 def clean_identity(t: Feed) -> DataFrame:
-    return t.identity
+    return clean("identity", t.raw("identity"))
 
 
 @query
 def clean_iam(t: Feed) -> DataFrame:
-    return t.iam
+    return clean("iam", t.raw("iam"))
 
 
 @query
 def clean_endpoint(t: Feed) -> DataFrame:
-    return t.endpoint
+    return clean("endpoint", t.raw("endpoint"))
 
 
 @query
@@ -201,3 +204,125 @@ def shared_session_diagnostic(t: Feed) -> DataFrame:
 @query
 def shared_session_hosts(t: Feed) -> DataFrame:
     return linkage.shared_session_hosts(t.iam, t.firewall)
+
+
+# --- user risk ----------------------------------------------------------------------------
+
+@query
+def identity_user_rollup(t: Feed) -> DataFrame:
+    return signals.identity_users(t.identity, risk_key)
+
+
+@query
+def iam_user_rollup(t: Feed) -> DataFrame:
+    return risk.iam_rollup(t.iam).withColumn(
+        "iam_avg_risk_score", quality.two_decimals(F.col("iam_avg_risk_score")))
+
+
+@query
+def endpoint_user_rollup(t: Feed) -> DataFrame:
+    return risk.endpoint_rollup(t.endpoint)
+
+
+@query
+def post_termination_counts(t: Feed) -> DataFrame:
+    return signals.post_termination(t.identity, t.iam, t.endpoint, risk_key).select(
+        "user_key", "iam_events", "endpoint_events")
+
+
+@query
+def user_risk_scores(t: Feed) -> DataFrame:
+    return risk.score_users(t.identity, t.iam, t.endpoint)
+
+
+@query
+def risk_band_distribution(t: Feed) -> DataFrame:
+    return risk.band_distribution(t.risk)
+
+
+@query
+def top_100_risk_users(t: Feed) -> DataFrame:
+    return risk.top_users(t.risk)
+
+
+# --- detections ---------------------------------------------------------------------------
+
+@query
+def post_termination_detections(t: Feed) -> DataFrame:
+    return detections.post_termination_activity(t.identity, t.iam, t.endpoint)
+
+
+@query
+def credential_compromise_detections(t: Feed) -> DataFrame:
+    return detections.credential_compromise(t.iam, t.endpoint)
+
+
+@query
+def malware_lateral_detections(t: Feed) -> DataFrame:
+    return detections.malware_lateral_movement(t.endpoint)
+
+
+@query
+def administrative_abuse_detections(t: Feed) -> DataFrame:
+    return detections.administrative_abuse(t.iam, t.endpoint)
+
+
+@query
+def hostname_mismatch_detections(t: Feed) -> DataFrame:
+    return detections.identity_hostname_mismatch(t.identity, t.iam, t.endpoint)
+
+
+@query
+def hostname_mismatch_detections_compat(t: Feed) -> DataFrame:
+    return detections.identity_hostname_mismatch(t.identity, t.iam, t.endpoint, compat=True)
+
+
+@query
+def temporal_closest_pairs(t: Feed) -> DataFrame:
+    """The closest high-risk sign-in and administrative alert of every user within 24 hours."""
+    events = detections.administrative_events(t.iam, t.endpoint).where("user_key IS NOT NULL")
+    is_left = F.col("is_left")
+    pairs = closest_pairs(events, ["user_key"], F.col("us"), is_left, ~is_left, None,
+                          24 * detections.HOUR_MICROS)
+    return pairs.select(
+        "user_key", (F.col("gap_us") / detections.HOUR_MICROS).alias("delta_hours"),
+        signals.at_micros(F.col("left_us")).alias("timestamp_left"),
+        signals.at_micros(F.col("right_us")).alias("timestamp_right"))
+
+
+@query
+def threat_detections(t: Feed) -> DataFrame:
+    found = detections.detect(t.identity, t.iam, t.endpoint)
+    return detections.sorted_detections(detections.with_threat_ids(found))
+
+
+@query
+def threat_type_summary(t: Feed) -> DataFrame:
+    return detections.type_summary(t.threats)
+
+
+@query
+def threat_severity_summary(t: Feed) -> DataFrame:
+    return detections.type_summary(t.threats, "severity")
+
+
+@query
+def threat_affected_users(t: Feed) -> DataFrame:
+    return detections.affected_users(t.threats)
+
+
+# --- queue ----------------------------------------------------------------------------------
+
+@query
+def threat_corroboration(t: Feed) -> DataFrame:
+    return queue.corroboration(t.threats)
+
+
+@query
+def investigation_queue(t: Feed) -> DataFrame:
+    return queue.build_queue(t.threats, t.risk, t.identity)
+
+
+@query
+def investigation_queue_summary(t: Feed) -> DataFrame:
+    return queue.queue_summary(t.queue)
