@@ -259,3 +259,268 @@ add("shared_session_hosts", "session_pairs", """
     SELECT s AS session_id, h AS host, CAST(MAX(i) = 1 AS VARCHAR) AS by_iam, CAST(MIN(i) = 0 AS VARCHAR) AS by_firewall
     FROM (SELECT s, h, 1 AS i FROM iam_sessions UNION ALL SELECT s, h, 0 FROM firewall_sessions)
     WHERE h IS NOT NULL AND s IN (SELECT s FROM session_pairs) GROUP BY s, h""")
+
+
+# --- user risk ----------------------------------------------------------------------------
+def _key(x: str) -> str:
+    return (f"CASE WHEN upper(trim({x})) IN ('', 'NAN', 'NONE', 'NULL', 'NA', '<NA>') THEN NULL "
+            f"WHEN regexp_full_match(trim({x}), '[0-9]+') THEN 'EMP' || trim({x}) ELSE upper(trim({x})) END")
+
+
+_rec = ", ".join(f"COALESCE({c}, '')" for c in (
+    "full_name", "hostname", "device_id", "role", "department", "status", "username"))
+CTES["id_users"] = (("identity",), f"""
+    SELECT {_key('user_id')} AS user_key,
+      {', '.join(f"first({c} ORDER BY {_rec}) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in ('username', 'department', 'role', 'status'))},
+      COUNT(DISTINCT hostname) AS hostname_count, COUNT(DISTINCT device_id) AS device_count,
+      MAX(termination_date) AS termination_date
+    FROM identity WHERE {_key('user_id')} IS NOT NULL GROUP BY 1""")
+add("identity_user_rollup", "id_users",
+    "SELECT * REPLACE (CAST(termination_date AS VARCHAR) AS termination_date) FROM id_users")
+CTES["iam_f"] = (("iam",), f"""
+    SELECT *, {_key('user_id')} AS user_key, upper(trim(user_id)) AS link_user, {_host('hostname', False)} AS h,
+      epoch_us("timestamp") AS us,
+      COALESCE(lower(event_type), '') LIKE '%fail%' OR COALESCE(lower(event_type), '') LIKE '%denied%'
+        OR COALESCE(lower(event_type), '') LIKE '%reject%' OR COALESCE(length(failure_reason), 0) > 0 AS failed,
+      COALESCE(mfa_passed = FALSE, FALSE) AS mfa, COALESCE(risk_score >= 70, FALSE) AS high FROM iam""")
+CTES["end_f"] = (("endpoint",), f"""
+    SELECT *, {_key('user_id')} AS user_key, upper(trim(user_id)) AS link_user, {_host('hostname', False)} AS h,
+      epoch_us(detected_timestamp) AS us,
+      txt LIKE '%malware%' OR txt LIKE '%ransomware%' OR txt LIKE '%trojan%' AS malware,
+      txt LIKE '%credential%' OR txt LIKE '%keylogger%' AS cred,
+      txt LIKE '%lateral%' OR txt LIKE '%admin share%' AS lateral_move,
+      txt LIKE '%powershell%' AS ps, txt LIKE '%usb%' AS usb,
+      txt LIKE '%disable security%' OR txt LIKE '%tamper%' AS tamper
+    FROM (SELECT *, lower(COALESCE(alert_name, '') || ' ' || COALESCE(description, '') || ' ' || COALESCE(process_name, '')) AS txt
+          FROM endpoint)""")
+_n_if = lambda c: f"COUNT(*) FILTER (WHERE {c})"
+CTES["iam_u"] = (("iam_f",), f"""
+    SELECT user_key, COUNT(event_id) AS iam_events, {_n_if('failed')} AS iam_failed_auth, {_n_if('mfa')} AS iam_mfa_failures,
+      {_n_if('high')} AS iam_high_risk_events, round_even(AVG(risk_score) * 100, 0) / 100 AS iam_avg_risk_score,
+      MAX(risk_score) AS iam_max_risk_score, COUNT(DISTINCT hostname) AS iam_hostname_count,
+      COUNT(DISTINCT session_id) AS iam_session_count
+    FROM iam_f WHERE user_key IS NOT NULL GROUP BY user_key""")
+CTES["end_u"] = (("end_f",), f"""
+    SELECT user_key, COUNT(alert_id) AS endpoint_alerts,
+      {_n_if("severity = 'Critical'")} AS endpoint_critical_alerts, {_n_if("severity = 'High'")} AS endpoint_high_alerts,
+      {_n_if("severity = 'Critical' AND unresolved_alert_flag")} AS endpoint_unresolved_critical,
+      {_n_if('malware')} AS endpoint_malware_alerts, {_n_if('cred')} AS endpoint_credential_alerts,
+      {_n_if('lateral_move')} AS endpoint_lateral_movement, {_n_if('ps')} AS endpoint_powershell,
+      {_n_if('tamper')} AS endpoint_tampering, {_n_if('usb')} AS endpoint_usb,
+      {_n_if('impossible_resolution_flag')} AS endpoint_impossible_resolution,
+      COUNT(DISTINCT hostname) AS endpoint_hostname_count
+    FROM end_f WHERE user_key IS NOT NULL GROUP BY user_key""")
+add("iam_user_rollup", "iam_u", "SELECT * FROM iam_u")
+add("endpoint_user_rollup", "end_u", "SELECT * FROM end_u")
+CTES["post_u"] = (("id_users", "iam_f", "end_f"), """
+    SELECT user_key, COUNT(*) FILTER (WHERE src = 0) AS iam_events, COUNT(*) FILTER (WHERE src = 1) AS endpoint_events,
+      MIN(us) AS first_us, MAX(us) AS last_us,
+      first(hostname ORDER BY src, us, hostname) FILTER (WHERE hostname IS NOT NULL) AS hostname
+    FROM (SELECT user_key, us, hostname, 0 AS src FROM iam_f UNION ALL SELECT user_key, us, hostname, 1 FROM end_f)
+      JOIN id_users USING (user_key) WHERE us > epoch_us(termination_date) GROUP BY user_key""")
+add("post_termination_counts", "post_u", "SELECT user_key, iam_events, endpoint_events FROM post_u")
+_min = lambda c, w, top: f"LEAST({c} * {w}, {top})"
+_zero = (
+    "iam_events iam_failed_auth iam_mfa_failures iam_high_risk_events iam_avg_risk_score iam_max_risk_score "
+    "iam_hostname_count iam_session_count endpoint_alerts endpoint_critical_alerts endpoint_high_alerts "
+    "endpoint_unresolved_critical endpoint_malware_alerts endpoint_credential_alerts endpoint_lateral_movement "
+    "endpoint_powershell endpoint_tampering endpoint_usb endpoint_impossible_resolution endpoint_hostname_count"
+).split()
+CTES["risk0"] = (("id_users", "iam_u", "end_u", "post_u"), f"""
+    SELECT i.user_key AS user_id, username, department, role, status, hostname_count, device_count,
+      {', '.join(f'COALESCE({c}, 0) AS {c}' for c in _zero)}, termination_date,
+      COALESCE(p.iam_events, 0) AS post_termination_iam_events, COALESCE(p.endpoint_events, 0) AS post_termination_endpoint_events,
+      COALESCE(p.iam_events, 0) + COALESCE(p.endpoint_events, 0) AS post_termination_activity
+    FROM id_users i LEFT JOIN iam_u ON i.user_key = iam_u.user_key LEFT JOIN end_u ON i.user_key = end_u.user_key
+      LEFT JOIN post_u p ON i.user_key = p.user_key""".replace("COALESCE(iam_events, 0)", "COALESCE(iam_u.iam_events, 0)"))
+CTES["risk1"] = (("risk0",), f"""
+    SELECT *, LEAST({_min('iam_failed_auth', 1, 10)} + {_min('iam_mfa_failures', 1.5, 10)}, 20)::DOUBLE AS authentication_risk,
+      LEAST({_min('iam_high_risk_events', 2, 15)} + CASE WHEN iam_failed_auth >= 5 AND iam_high_risk_events >= 3 THEN 5 ELSE 0 END, 20)::DOUBLE AS iam_risk,
+      LEAST({_min('endpoint_critical_alerts', 5, 15)} + {_min('endpoint_high_alerts', 2, 5)}, 20)::DOUBLE AS endpoint_severity_risk,
+      LEAST({_min('endpoint_malware_alerts', 6, 12)} + {_min('endpoint_credential_alerts', 6, 8)}
+        + {_min('endpoint_lateral_movement', 6, 8)} + {_min('endpoint_powershell', 3, 4)}
+        + {_min('endpoint_tampering', 4, 5)} + {_min('endpoint_usb', 1, 2)}, 30)::DOUBLE AS threat_behavior_risk,
+      LEAST({_min('post_termination_activity', 3, 10)} + {_min('endpoint_unresolved_critical', 2, 5)}, 15)::DOUBLE AS contextual_risk
+    FROM risk0""")
+CTES["risk2"] = (("risk1",), """
+    SELECT *, LEAST(CASE WHEN authentication_risk >= 8 AND threat_behavior_risk >= 6 THEN 5 ELSE 0 END
+      + CASE WHEN endpoint_malware_alerts > 0 AND endpoint_credential_alerts > 0 THEN 5 ELSE 0 END
+      + CASE WHEN endpoint_malware_alerts > 0 AND endpoint_lateral_movement > 0 THEN 5 ELSE 0 END
+      + CASE WHEN iam_mfa_failures >= 3 AND iam_high_risk_events >= 3 THEN 3 ELSE 0 END, 10)::DOUBLE AS cross_signal_bonus
+    FROM risk1""")
+_drivers = [
+    ("iam_high_risk_events", "high-risk IAM events"), ("endpoint_malware_alerts", "malware alerts"),
+    ("endpoint_credential_alerts", "credential-access alerts"),
+    ("endpoint_lateral_movement", "lateral-movement alerts"), ("endpoint_powershell", "PowerShell alerts"),
+    ("endpoint_tampering", "security-tampering alerts"), ("endpoint_critical_alerts", "critical endpoint alerts"),
+    ("post_termination_activity", "events after identity termination"),
+    ("endpoint_unresolved_critical", "unresolved critical alerts"),
+]
+CTES["risk"] = (("risk2",), f"""
+    SELECT *, CASE WHEN risk_score <= 24 THEN 'Low' WHEN risk_score <= 49 THEN 'Medium' WHEN risk_score <= 74 THEN 'High'
+        ELSE 'Critical' END AS risk_band,
+      COALESCE(NULLIF(concat_ws('; ',
+        CASE WHEN authentication_risk >= 8 THEN 'elevated authentication risk (' || iam_failed_auth || ' failed auth, '
+          || iam_mfa_failures || ' MFA failures)' WHEN iam_failed_auth > 0 THEN iam_failed_auth || ' failed authentication events' END,
+        {', '.join(f"CASE WHEN {c} > 0 THEN {c} || ' {t}' END" for c, t in _drivers)}), ''),
+        'No high-priority risk drivers') AS risk_drivers
+    FROM (SELECT *, LEAST(authentication_risk + iam_risk + endpoint_severity_risk + threat_behavior_risk + contextual_risk
+      + cross_signal_bonus, 100)::DOUBLE AS risk_score FROM risk2)""")
+_risk_out = """SELECT *, risk_band AS risk_level, CAST(post_termination_activity > 0 AS VARCHAR) AS post_termination_activity_flag
+    FROM (SELECT * REPLACE (CAST(termination_date AS VARCHAR) AS termination_date) FROM risk)"""
+add("user_risk_scores", "risk", _risk_out)
+add("risk_band_distribution", "risk", """
+    SELECT b AS risk_band, (SELECT COUNT(*) FROM risk WHERE risk_band = b) AS user_count,
+      round_even((SELECT COUNT(*) FROM risk WHERE risk_band = b) / (SELECT COUNT(*) FROM risk) * 100 * 100, 0) / 100 AS percentage
+    FROM (VALUES ('Low'), ('Medium'), ('High'), ('Critical')) AS v(b)""")
+add("top_100_risk_users", "risk", f"""{_risk_out}
+    ORDER BY risk_score DESC, endpoint_critical_alerts DESC, user_id LIMIT 100""")
+
+
+# --- detections ---------------------------------------------------------------------------
+def _ts(us: str) -> str:
+    return f"make_timestamp({us})"
+
+
+CTES["t_post"] = (("post_u",), f"""
+    SELECT 1 AS rule, user_key AS user_id, 'Post-Termination Activity' AS threat_type, 'Critical' AS severity,
+      CASE WHEN iam_events > 0 AND endpoint_events > 0 THEN 'High' ELSE 'Medium' END AS confidence,
+      concat_ws(' and ', CASE WHEN iam_events > 0 THEN iam_events || ' IAM' END,
+        CASE WHEN endpoint_events > 0 THEN endpoint_events || ' endpoint' END)
+        || ' events occurred after the recorded termination date'
+        || CASE WHEN iam_events > 0 AND endpoint_events > 0 THEN '; corroborated across IAM and endpoint telemetry' ELSE '' END AS evidence,
+      {_ts('first_us')} AS first_observed, {_ts('last_us')} AS last_observed, hostname AS related_hostname,
+      iam_events + endpoint_events AS related_alert_count,
+      CASE WHEN iam_events > 0 AND endpoint_events > 0 THEN 'Immediately review account status and both IAM and endpoint activity; revoke unauthorized access if confirmed'
+        ELSE 'Review post-termination telemetry, account status, and access authorization' END AS recommended_action
+    FROM post_u""")
+_DAY = 86400000000
+CTES["anchors"] = (("iam_f", "end_f"), f"""
+    SELECT a.link_user AS u, a.us AS us,
+      (SELECT COUNT(*) FROM iam_f w WHERE w.link_user = a.link_user AND w.us BETWEEN a.us AND a.us + {_DAY} AND w.failed) AS failed,
+      (SELECT COUNT(*) FROM iam_f w WHERE w.link_user = a.link_user AND w.us BETWEEN a.us AND a.us + {_DAY} AND w.mfa) AS mfa,
+      (SELECT COUNT(*) FROM end_f w WHERE w.link_user = a.link_user AND w.us BETWEEN a.us AND a.us + {_DAY} AND w.cred) AS cred
+    FROM (SELECT DISTINCT link_user, us FROM iam_f WHERE us IS NOT NULL AND link_user IS NOT NULL) a""")
+CTES["t_cred"] = (("anchors",), f"""
+    SELECT 2 AS rule, u AS user_id, 'Potential Credential Compromise' AS threat_type, 'High' AS severity, 'High' AS confidence,
+      failed || ' failed authentication events, ' || mfa || ' MFA failures, and ' || cred
+        || ' credential-access endpoint alerts within 24 hours' AS evidence,
+      {_ts('us')} AS first_observed,
+      {_ts(f'''(SELECT MAX(t) FROM (SELECT w.us AS t FROM iam_f w WHERE w.link_user = u AND w.us BETWEEN k.us AND k.us + {_DAY}
+         UNION ALL SELECT w.us FROM end_f w WHERE w.link_user = u AND w.cred AND w.us BETWEEN k.us AND k.us + {_DAY}))''')} AS last_observed,
+      (SELECT first(h ORDER BY src, t, h) FROM (SELECT w.h AS h, 0 AS src, w.us AS t FROM iam_f w
+          WHERE w.link_user = u AND w.us BETWEEN k.us AND k.us + {_DAY} AND w.h IS NOT NULL
+        UNION ALL SELECT w.h, 1, w.us FROM end_f w WHERE w.link_user = u AND w.cred AND w.us BETWEEN k.us AND k.us + {_DAY}
+          AND w.h IS NOT NULL)) AS related_hostname,
+      cred AS related_alert_count,
+      'Investigate the authentication sequence, MFA failures, and credential-access activity' AS recommended_action
+    FROM (SELECT * FROM anchors WHERE failed >= 3 AND mfa >= 2 AND cred >= 1
+          QUALIFY ROW_NUMBER() OVER (PARTITION BY u ORDER BY us) = 1) k""")
+_pair = "LEAST(l, r)", "GREATEST(l, r)"
+CTES["t_mal"] = (("end_f",), f"""
+    SELECT 3 AS rule, u AS user_id, 'Malware + Lateral Movement' AS threat_type,
+      CASE WHEN host IS NOT NULL THEN 'Critical' ELSE 'High' END AS severity,
+      CASE WHEN host IS NOT NULL THEN 'High' ELSE 'Medium' END AS confidence,
+      CASE WHEN host IS NOT NULL THEN 'Malware and lateral-movement alerts were observed on the same hostname (' || host || ') within 24 hours'
+        ELSE 'Malware and lateral-movement alerts were observed for the same user within 24 hours, but same-host corroboration was unavailable' END AS evidence,
+      {_ts(_pair[0])} AS first_observed, {_ts(_pair[1])} AS last_observed, host AS related_hostname, CAST(2 AS BIGINT) AS related_alert_count,
+      CASE WHEN host IS NOT NULL THEN 'Isolate the affected endpoint and investigate lateral-movement indicators immediately'
+        ELSE 'Review endpoint telemetry and validate the affected asset before escalation' END AS recommended_action
+    FROM (SELECT a.link_user AS u, a.us AS l, b.us AS r, CASE WHEN a.h = b.h THEN a.h END AS host
+      FROM end_f a JOIN end_f b ON a.link_user = b.link_user AND a.malware AND b.lateral_move AND ABS(a.us - b.us) <= {_DAY}
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY a.link_user
+        ORDER BY CASE WHEN a.h = b.h THEN 0 ELSE 1 END, ABS(a.us - b.us), a.us, b.us, CASE WHEN a.h = b.h THEN a.h END) = 1)""")
+CTES["t_adm"] = (("iam_f", "end_f"), f"""
+    SELECT 4 AS rule, u AS user_id, 'Suspicious Administrative Activity' AS threat_type, 'High' AS severity,
+      CASE WHEN host IS NOT NULL THEN 'High' ELSE 'Medium' END AS confidence,
+      'A high-risk IAM event and ' || concat_ws(' and ', CASE WHEN ps THEN 'PowerShell' END, CASE WHEN tamper THEN 'security-tampering' END)
+        || ' activity were observed ' || CASE WHEN host IS NOT NULL THEN 'on the same hostname (' || host || ') within 24 hours'
+        ELSE 'for the same user within 24 hours, but same-host corroboration was unavailable' END AS evidence,
+      {_ts(_pair[0])} AS first_observed, {_ts(_pair[1])} AS last_observed, host AS related_hostname, CAST(2 AS BIGINT) AS related_alert_count,
+      'Review the administrative command/process activity and ' || CASE WHEN host IS NOT NULL THEN '' ELSE 'validate the ' END
+        || 'associated account actions' AS recommended_action
+    FROM (SELECT a.link_user AS u, a.us AS l, b.us AS r, b.ps AS ps, b.tamper AS tamper, CASE WHEN a.h = b.h THEN a.h END AS host
+      FROM iam_f a JOIN end_f b ON a.link_user = b.link_user AND a.high AND (b.ps OR b.tamper) AND ABS(a.us - b.us) <= {_DAY}
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY a.link_user
+        ORDER BY CASE WHEN a.h = b.h THEN 0 ELSE 1 END, ABS(a.us - b.us), a.us, b.us, CASE WHEN a.h = b.h THEN a.h END,
+          b.alert_id, b.ps, b.tamper) = 1)""")
+for _name, _compat in (("t_mis", False), ("t_mis_compat", True)):
+    _h = _host("hostname", _compat)
+    CTES[_name] = (("identity", "iam_f", "end_f"), f"""
+    SELECT 5 AS rule, u AS user_id, 'Identity / Hostname Mismatch' AS threat_type, 'Medium' AS severity, 'Medium' AS confidence,
+      n || ' telemetry events observed on hostname ' || h2 || ', which is not assigned to this user in the identity master' AS evidence,
+      {_ts('lo')} AS first_observed, {_ts('hi')} AS last_observed, h2 AS related_hostname, n AS related_alert_count,
+      'Verify asset ownership, account sharing, and recent device changes' AS recommended_action
+    FROM (SELECT u, h2, COUNT(*) AS n, MIN(us) AS lo, MAX(us) AS hi FROM (
+        SELECT link_user AS u, {_h} AS h2, us FROM iam_f UNION ALL SELECT link_user, {_h}, us FROM end_f) e
+      WHERE u IS NOT NULL AND h2 IS NOT NULL
+        AND NOT EXISTS (SELECT 1 FROM identity i WHERE upper(i.user_id) = e.u AND {_host('i.hostname', _compat)} = e.h2)
+      GROUP BY u, h2 HAVING COUNT(*) >= 2)""")
+_det = """CAST(first_observed AS VARCHAR) AS first_observed, CAST(last_observed AS VARCHAR) AS last_observed"""
+for _name, _cte in (("post_termination_detections", "t_post"), ("credential_compromise_detections", "t_cred"),
+                    ("malware_lateral_detections", "t_mal"), ("administrative_abuse_detections", "t_adm"),
+                    ("hostname_mismatch_detections", "t_mis"), ("hostname_mismatch_detections_compat", "t_mis_compat")):
+    add(_name, _cte, f"SELECT * EXCLUDE (rule, first_observed, last_observed), CAST(rule AS BIGINT) AS rule, {_det} FROM {_cte}")
+add("temporal_closest_pairs", ("iam_f", "end_f"), f"""
+    SELECT a.link_user AS user_key, ABS(a.us - b.us) / 3600000000 AS delta_hours,
+      CAST({_ts('a.us')} AS VARCHAR) AS timestamp_left, CAST({_ts('b.us')} AS VARCHAR) AS timestamp_right
+    FROM iam_f a JOIN end_f b ON a.link_user = b.link_user AND a.high AND (b.ps OR b.tamper) AND ABS(a.us - b.us) <= {_DAY}
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY a.link_user ORDER BY ABS(a.us - b.us), a.us, b.us) = 1""")
+CTES["threats"] = (("t_post", "t_cred", "t_mal", "t_adm", "t_mis"), """
+    SELECT 'THR' || CASE WHEN rn < 100000 THEN lpad(CAST(rn AS VARCHAR), 5, '0') ELSE CAST(rn AS VARCHAR) END AS threat_id,
+      * EXCLUDE (rule, rn)
+    FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY rule, user_id, related_hostname NULLS FIRST) AS rn FROM (
+      SELECT * FROM t_post UNION ALL SELECT * FROM t_cred UNION ALL SELECT * FROM t_mal
+      UNION ALL SELECT * FROM t_adm UNION ALL SELECT * FROM t_mis))""")
+add("threat_detections", "threats", f"SELECT * EXCLUDE (first_observed, last_observed), {_det} FROM threats")
+add("threat_type_summary", "threats", "SELECT threat_type, COUNT(*) AS detection_count FROM threats GROUP BY 1")
+add("threat_severity_summary", "threats", "SELECT severity, COUNT(*) AS detection_count FROM threats GROUP BY 1")
+add("threat_affected_users", "threats",
+    "SELECT COUNT(*) AS detections, COUNT(DISTINCT user_id) AS affected_users FROM threats")
+
+# --- queue ----------------------------------------------------------------------------------
+_level = lambda v, names: "CASE " + v + " " + " ".join(f"WHEN {r} THEN '{n}'" for n, r in names) + " ELSE 'Low' END"
+_sev = "MAX(CASE severity WHEN 'Critical' THEN 3 WHEN 'High' THEN 2 WHEN 'Medium' THEN 1 ELSE 0 END)"
+_conf = "MAX(CASE confidence WHEN 'High' THEN 3 WHEN 'Medium' THEN 2 WHEN 'Low' THEN 1 ELSE 0 END)"
+CTES["corr"] = (("threats",), f"""
+    SELECT user_id, COUNT(*) AS threat_detection_count, COUNT(DISTINCT threat_type) AS distinct_threat_types,
+      string_agg(DISTINCT threat_type, ' | ' ORDER BY threat_type) AS threat_types,
+      COUNT(*) FILTER (WHERE severity = 'Critical') AS critical_detections,
+      COUNT(*) FILTER (WHERE severity = 'High') AS high_detections,
+      COUNT(*) FILTER (WHERE severity = 'Medium') AS medium_detections,
+      CAST({_sev} AS BIGINT) AS highest_severity_rank, CAST({_conf} AS BIGINT) AS highest_confidence_rank,
+      {_level(_sev, (('Critical', 3), ('High', 2), ('Medium', 1)))} AS highest_severity,
+      {_level(_conf, (('High', 3), ('Medium', 2), ('Low', 1)))} AS highest_confidence
+    FROM threats GROUP BY user_id""")
+add("threat_corroboration", "corr", "SELECT * FROM corr")
+_qord = ", ".join(f'"{c}" ASC NULLS FIRST' for c in (
+    "full_name", "role", "department", "location", "status", "username", "hostname", "device_id",
+    "manager_username", "device_id_conflict", "device_user_count"))
+CTES["ident1"] = (("identity",), f"""
+    SELECT * FROM identity QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY {_qord}) = 1""")
+CTES["queue"] = (("risk", "corr", "ident1"), """
+    SELECT ROW_NUMBER() OVER (ORDER BY investigation_priority_score DESC, risk_score DESC, critical_detections DESC,
+        high_detections DESC, user_id) AS priority_rank, *,
+      CASE WHEN investigation_priority_score >= 80 THEN 'Critical' WHEN investigation_priority_score >= 60 THEN 'High'
+        WHEN investigation_priority_score >= 40 THEN 'Medium' ELSE 'Low' END AS investigation_priority,
+      COALESCE(NULLIF(concat_ws('; ',
+        CASE WHEN risk_score >= 80 THEN 'very high user risk score (' || printf('%.1f', risk_score) || ')'
+             WHEN risk_score >= 60 THEN 'high user risk score (' || printf('%.1f', risk_score) || ')' END,
+        CASE WHEN distinct_threat_types >= 2 THEN distinct_threat_types || ' distinct threat types' END,
+        CASE WHEN critical_detections > 0 THEN critical_detections || ' critical detection(s)' END,
+        CASE WHEN high_detections > 0 THEN high_detections || ' high-severity detection(s)' END), ''),
+        threat_detection_count || ' threat detection(s)') AS investigation_reason,
+      CASE WHEN critical_detections > 0 AND distinct_threat_types >= 2 THEN 'Immediate investigation: correlate endpoint, IAM and identity evidence; validate affected account and assets.'
+        WHEN critical_detections > 0 THEN 'Prioritize investigation of critical telemetry and validate affected account and asset.'
+        WHEN high_detections > 0 THEN 'Review high-severity detections and correlate supporting IAM and endpoint evidence.'
+        ELSE 'Review detection evidence and validate identity and asset context.' END AS recommended_action
+    FROM (SELECT r.user_id, i.full_name, r.department, r.role, r.status, i.location, i.hostname, i.device_id, r.risk_score,
+        r.risk_band AS risk_level, i.device_id_conflict, i.device_user_count, c.* EXCLUDE (user_id, highest_severity_rank, highest_confidence_rank),
+        LEAST(100, r.risk_score + CASE WHEN distinct_threat_types >= 2 THEN 5 ELSE 0 END
+          + CASE WHEN distinct_threat_types >= 3 THEN 5 ELSE 0 END + CASE WHEN critical_detections >= 1 THEN 5 ELSE 0 END
+          + CASE WHEN critical_detections >= 2 THEN 5 ELSE 0 END + CASE WHEN high_detections >= 2 THEN 2 ELSE 0 END)::DOUBLE AS investigation_priority_score
+      FROM risk r JOIN corr c ON r.user_id = c.user_id LEFT JOIN ident1 i ON r.user_id = i.user_id)""")
+add("investigation_queue", "queue",
+    "SELECT * REPLACE (CAST(device_id_conflict AS VARCHAR) AS device_id_conflict) FROM queue")
+add("investigation_queue_summary", "queue",
+    "SELECT investigation_priority, COUNT(*) AS user_count FROM queue GROUP BY 1")
