@@ -524,3 +524,232 @@ add("investigation_queue", "queue",
     "SELECT * REPLACE (CAST(device_id_conflict AS VARCHAR) AS device_id_conflict) FROM queue")
 add("investigation_queue_summary", "queue",
     "SELECT investigation_priority, COUNT(*) AS user_count FROM queue GROUP BY 1")
+
+
+# --- investigation ----------------------------------------------------------------------------
+_known = "SELECT upper(user_id) AS user_id FROM identity WHERE user_id IS NOT NULL UNION SELECT upper(user_id) FROM risk"
+add("known_iam_users", ("identity", "risk", "iam"),
+    f"SELECT DISTINCT user_id FROM iam WHERE user_id IN ({_known})")
+CTES["mentioned"] = (("messages", "identity", "risk"), f"""
+    SELECT conv_id, turn, user_id, user_id IN ({_known}) AS found, 'id' AS how FROM (
+      SELECT conv_id, turn, CASE WHEN starts_with(m, 'USR') AND contains(m, '-') THEN m
+          ELSE regexp_replace(m, '[\\s_-]', '', 'g') END AS user_id
+      FROM (SELECT conv_id, turn, upper(unnest(regexp_extract_all(text,
+        '(?i)\\b(EMP\\s*[-_]?\\s*\\d{{1,6}}|USR\\s*[-_]?\\s*\\d{{1,6}})\\b', 1))) AS m FROM messages))
+    UNION ALL
+    SELECT conv_id, turn, n.user_id, TRUE, 'name' FROM messages m JOIN (
+      SELECT user_id, full_name AS name FROM identity WHERE user_id IS NOT NULL
+      UNION SELECT user_id, username FROM identity WHERE user_id IS NOT NULL) n
+      ON length(n.name) >= 4 AND contains(lower(m.text), lower(n.name))
+    WHERE regexp_matches(m.text, '(?i)\\b' || regexp_escape(n.name) || '\\b')""")
+add("user_mentions", "mentioned", """SELECT conv_id, turn, user_id, CAST(bool_or(found) AS VARCHAR) AS found,
+    MIN(how) AS how FROM mentioned GROUP BY conv_id, turn, user_id""")
+_iord = ", ".join(f'"{c}" ASC NULLS FIRST' for c in CLEAN_COLUMNS["identity"] if c != "user_id")
+CTES["context"] = (("identity",), f"""
+    SELECT user_id, COALESCE(full_name, username, user_id) AS user_name, COALESCE(username, '') AS username,
+      COALESCE(department, 'Unknown') AS department, COALESCE(role, 'Employee') AS role,
+      COALESCE(location, 'Unknown') AS location, COALESCE(status, 'Active') AS employment_status, hire_date, termination_date,
+      COALESCE(hostname, '') AS hostname, COALESCE(device_id, '') AS device_id, COALESCE(manager_username, 'None') AS manager,
+      device_id_conflict, CASE WHEN COALESCE(device_user_count, 0) = 0 THEN 1 ELSE device_user_count END AS device_user_count,
+      COALESCE(NULLIF(concat_ws(', ', NULLIF(hostname, ''), NULLIF(device_id, '')), ''), 'None') AS assigned_assets
+    FROM identity WHERE user_id IS NOT NULL
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY {_iord}) = 1""")
+add("identity_context", "context", """SELECT * REPLACE (CAST(hire_date AS VARCHAR) AS hire_date,
+    CAST(termination_date AS VARCHAR) AS termination_date, CAST(device_id_conflict AS VARCHAR) AS device_id_conflict)
+    FROM context""")
+_parts = (("authentication", "authentication_risk"), ("iam", "iam_risk"), ("endpoint", "endpoint_severity_risk"),
+          ("threat_behaviour", "threat_behavior_risk"), ("context", "contextual_risk"), ("cross_signal", "cross_signal_bonus"))
+_break = ", ".join(f"round_even({c} * 10, 0) / 10 AS {n}" for n, c in _parts)
+add("user_risk_profile", "risk", f"""
+    SELECT user_id, COALESCE(username, '') AS username, COALESCE(department, '') AS department, COALESCE(role, '') AS role,
+      COALESCE(status, 'Active') AS status, round_even(risk_score * 10, 0) / 10 AS risk_score, risk_band, risk_drivers,
+      CAST(post_termination_activity > 0 AS VARCHAR) AS post_termination_flag, {_break},
+      iam_events, iam_failed_auth, iam_mfa_failures, iam_high_risk_events, endpoint_alerts, endpoint_critical_alerts,
+      endpoint_malware_alerts, endpoint_powershell, post_termination_iam_events, post_termination_endpoint_events FROM risk""")
+_at = "severity || '|' || confidence || '|' || threat_type || '|' || threat_id"
+add("user_threats", ("threats", "queue"), f"""
+    SELECT t.user_id, threat_id, threat_type AS threat_name, upper(severity) AS severity, confidence, evidence,
+      CAST(first_observed AS VARCHAR) AS first_observed, CAST(last_observed AS VARCHAR) AS last_observed,
+      COALESCE(related_hostname, '') AS related_hostname, t.recommended_action AS recommended_action,
+      {_at} AS threat_order, CAST(q.priority_rank AS VARCHAR) AS priority_rank, q.investigation_priority,
+      q.recommended_action AS queue_action
+    FROM threats t LEFT JOIN queue q ON t.user_id = q.user_id""")
+
+
+def _iam_events(n: int) -> str:
+    blanks = ", ".join(f"COALESCE({c}, '') AS {c}" for c in (
+        "event_id", "event_type", "auth_method", "source_ip", "hostname", "device_id", "risk_level",
+        "failure_reason", "geo_location"))
+    return f"""SELECT user_id, no AS event_no, "timestamp", mfa_passed, COALESCE(risk_score, 0)::DOUBLE AS risk_score, {blanks}
+      FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY "timestamp" NULLS LAST, event_id, event_type NULLS FIRST,
+        hostname NULLS FIRST) AS no FROM iam WHERE user_id IS NOT NULL) WHERE no <= {n}"""
+
+
+def _endpoint_events(n: int) -> str:
+    return f"""SELECT user_id, no AS event_no, detected_timestamp, COALESCE(alert_id, '') AS alert_id,
+        COALESCE(alert_name, '') AS alert_name, upper(COALESCE(severity, 'Medium')) AS severity, COALESCE(status, 'New') AS status,
+        COALESCE(process_name, 'N/A') AS process_name, COALESCE(file_path, 'N/A') AS file_path,
+        COALESCE(hostname, 'N/A') AS hostname, COALESCE(description, '') AS description
+      FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY detected_timestamp NULLS LAST, alert_id NULLS FIRST,
+        alert_name NULLS FIRST, hostname NULLS FIRST, process_name NULLS FIRST) AS no FROM endpoint WHERE user_id IS NOT NULL)
+      WHERE no <= {n}"""
+
+
+def _firewall_events(n: int) -> str:
+    def rows(column: str, keep: str) -> str:
+        return f"SELECT h.user_id, f.* FROM host_keys h JOIN firewall f ON lower(f.{column}) = h.host_key WHERE h.user_id {keep} (SELECT user_id FROM direct_users)"
+
+    return f"""SELECT user_id, no AS event_no, "timestamp", COALESCE(log_id, '') AS log_id, COALESCE(hostname, '') AS hostname,
+        COALESCE(src_ip, '') AS src_ip, COALESCE(dst_ip, '') AS dst_ip, COALESCE(CAST(dst_port AS VARCHAR), '') AS dst_port,
+        COALESCE(rule_name, '') AS rule_name, COALESCE(geo_country, '') AS geo_country, COALESCE(protocol, 'TCP') AS protocol,
+        COALESCE(action, 'ALLOW') AS action, COALESCE(bytes_sent, 0) AS bytes_sent, COALESCE(bytes_received, 0) AS bytes_received,
+        COALESCE(bytes_sent, 0) + COALESCE(bytes_received, 0) AS total_bytes, threat_flag
+      FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY "timestamp" NULLS LAST, log_id NULLS FIRST, src_ip NULLS FIRST,
+          dst_ip NULLS FIRST, src_port NULLS FIRST, dst_port NULLS FIRST, bytes_sent NULLS FIRST, bytes_received NULLS FIRST) AS no
+        FROM ({rows('hostname_join_key', 'IN')} UNION ALL {rows('hostname', 'NOT IN')})) WHERE no <= {n}"""
+
+
+CTES["iam100"] = (("iam",), _iam_events(100))
+CTES["end100"] = (("endpoint",), _endpoint_events(100))
+CTES["hosts"] = (("context", "iam100", "end100"), """
+    SELECT DISTINCT user_id, trim(host) AS host FROM (SELECT user_id, hostname AS host FROM context
+      UNION ALL SELECT user_id, hostname FROM iam100 UNION ALL SELECT user_id, hostname FROM end100 WHERE hostname <> 'N/A')
+    WHERE trim(host) <> ''""")
+CTES["host_keys"] = (("hosts",), "SELECT DISTINCT user_id, lower(host) AS host_key FROM hosts")
+CTES["direct_users"] = (("host_keys", "firewall"), """
+    SELECT DISTINCT user_id FROM host_keys WHERE host_key IN (SELECT DISTINCT lower(hostname_join_key) FROM firewall
+      WHERE hostname_join_key IS NOT NULL)""")
+for _n in (20, 30, 50, 100):
+    CTES[f"fw{_n}"] = (("direct_users", "firewall"), _firewall_events(_n))
+add("iam_events_per_user", "iam", f"""SELECT * REPLACE (CAST("timestamp" AS VARCHAR) AS "timestamp",
+    CAST(mfa_passed AS VARCHAR) AS mfa_passed) FROM ({_iam_events(50)})""")
+add("endpoint_events_per_user", "endpoint", f"""SELECT * REPLACE (CAST(detected_timestamp AS VARCHAR) AS detected_timestamp)
+    FROM ({_endpoint_events(50)})""")
+add("related_hosts", "hosts",
+    "SELECT user_id, string_agg(host, ',' ORDER BY host) AS hosts FROM hosts GROUP BY user_id")
+add("firewall_events_per_user", "fw50", """SELECT * REPLACE (CAST("timestamp" AS VARCHAR) AS "timestamp",
+    CAST(threat_flag AS VARCHAR) AS threat_flag) FROM fw50""")
+
+
+def _timeline(iam: str, end: str, fw: str, n: int) -> str:
+    return f"""SELECT user_id, position, ts, source, event_type, severity, details FROM (
+      SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, src, event_no) AS position FROM (
+        SELECT user_id, event_no, 1 AS src, "timestamp" AS ts, 'IAM Audit Trail' AS source, event_type,
+          CASE WHEN COALESCE(NOT mfa_passed, FALSE) OR contains(event_type, 'FAIL') THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+          'Event: ' || event_type || ', Method: ' || auth_method || ', IP: ' || source_ip || ', MFA: '
+            || CASE WHEN mfa_passed THEN 'True' WHEN NOT mfa_passed THEN 'False' ELSE 'Unknown' END
+            || CASE WHEN failure_reason <> '' THEN ', Reason: ' || failure_reason ELSE '' END AS details FROM ({iam})
+        UNION ALL
+        SELECT user_id, event_no, 2, detected_timestamp, 'Endpoint Alert (EDR)', alert_name, severity,
+          'Process: ' || process_name || ', Host: ' || hostname || ', Status: ' || status FROM ({end})
+        UNION ALL
+        SELECT user_id, event_no, 3, "timestamp", 'Firewall Logs', 'NETWORK_TRAFFIC (' || protocol || ')',
+          CASE WHEN threat_flag THEN 'CRITICAL' WHEN total_bytes > 10000000 THEN 'HIGH' ELSE 'MEDIUM' END,
+          'Host: ' || hostname || ', Dst: ' || dst_ip || ':' || dst_port || ', Bytes: ' || format('{{:,}}', total_bytes)
+            || ', Action: ' || action || ', Country: ' || geo_country FROM {fw})
+      WHERE ts IS NOT NULL) WHERE position <= {n}"""
+
+
+CTES["timeline"] = (("iam100", "end100", "fw100"), _timeline("FROM iam100", "FROM end100", "fw100", 100))
+add("evidence_timeline", "timeline", """SELECT user_id, position, CAST(ts AS VARCHAR) AS "timestamp", source, event_type,
+    severity, details FROM timeline""")
+add("timeline_chart_points", "timeline", """SELECT user_id, position, CAST(ts AS VARCHAR) AS "timestamp",
+    CAST(CASE severity WHEN 'CRITICAL' THEN 10 WHEN 'HIGH' THEN 7 WHEN 'MEDIUM' THEN 4 WHEN 'LOW' THEN 1 ELSE 3 END AS BIGINT)
+      AS severity_level, source AS event_source, event_type FROM timeline""")
+CTES["header"] = (("context", "risk", "timeline"), f"""
+    SELECT c.user_id, user_name, employment_status, c.termination_date, c.hostname, c.device_id, c.device_id_conflict,
+      c.device_user_count, COALESCE(round_even(r.risk_score * 10, 0) / 10, 0) AS risk_score,
+      upper(COALESCE(risk_band, 'Low')) AS risk_band, risk_drivers,
+      COALESCE(post_termination_activity > 0, FALSE) OR (upper(employment_status) IN ('DISABLED', 'INACTIVE', 'TERMINATED')
+        AND EXISTS (SELECT 1 FROM timeline t WHERE t.user_id = c.user_id AND t.ts > c.termination_date)) AS post_termination,
+      {_break}
+    FROM context c LEFT JOIN risk r ON c.user_id = r.user_id""")
+add("investigation_report", "header", """SELECT * REPLACE (CAST(termination_date AS VARCHAR) AS termination_date,
+    CAST(device_id_conflict AS VARCHAR) AS device_id_conflict, CAST(post_termination AS VARCHAR) AS post_termination) FROM header""")
+CTES["named"] = (("threats", "header"), f"""
+    SELECT user_id, {_at} AS place, threat_id, threat_type, upper(severity) AS severity, evidence FROM threats
+    WHERE user_id IN (SELECT user_id FROM header)""")
+_post = "h.post_termination"
+_steps = f"""list_filter([
+    CASE WHEN {_post} THEN 'Immediately revoke all active identity credentials, SSO tokens, and IAM session access.' END,
+    CASE WHEN {_post} AND hostname <> '' THEN 'Isolate assigned endpoint device (' || hostname || ') from the enterprise network.' END,
+    (SELECT recommended_action FROM queue q WHERE q.user_id = h.user_id),
+    CASE WHEN risk_score >= 80 THEN 'Escalate case to Tier 2 Incident Response Team for priority containment.'
+      WHEN risk_score >= 50 THEN 'Schedule mandatory credential rotation and verify multi-factor authentication enrollment.'
+      ELSE 'Continue standard telemetry monitoring in triage queue.' END,
+    CASE WHEN risk_score >= 80 THEN 'Collect endpoint forensic memory dump and inspect authentication audit logs.' END],
+    lambda s: s IS NOT NULL)"""
+add("investigation_report_lines", ("header", "named", "queue"), f"""
+    SELECT user_id, section, CAST(part AS BIGINT) AS part, line_order, line FROM (
+    SELECT user_id, 'key_drivers' AS section, 1 AS part, CAST(pos - 1 AS VARCHAR) AS line_order,
+      upper(left(trim(piece), 1)) || substring(trim(piece), 2) AS line
+    FROM (SELECT user_id, unnest(string_split(risk_drivers, ';')) AS piece,
+            generate_subscripts(string_split(risk_drivers, ';'), 1) AS pos FROM header WHERE risk_drivers IS NOT NULL)
+    UNION ALL SELECT user_id, 'key_drivers', 2, place, 'Active Threat Detection: ' || threat_type || ' (' || severity || ')' FROM named
+    UNION ALL SELECT user_id, 'key_drivers', 3, '0', 'Routine activity monitoring.' FROM header
+      WHERE risk_drivers IS NULL AND user_id NOT IN (SELECT user_id FROM named)
+    UNION ALL SELECT user_id, 'critical_findings', 1, '0', 'CRITICAL: Unauthorized post-termination activity detected for user '
+      || user_id || ' (' || user_name || ') after termination date ' || COALESCE(CAST(termination_date AS VARCHAR), '') || '.'
+      FROM header WHERE post_termination
+    UNION ALL SELECT user_id, 'critical_findings', 2, place, 'Threat Detection [' || threat_id || ']: ' || threat_type || ' ('
+      || severity || ')' || ' — Evidence: ' || evidence FROM named
+    UNION ALL SELECT user_id, 'critical_findings', 3, '0', 'Device Ownership Conflict: Device ' || device_id || ' is linked to '
+      || device_user_count || ' different users.' FROM header WHERE device_id_conflict
+    UNION ALL SELECT user_id, 'critical_findings', 4, '0', 'No critical security anomalies detected.' FROM header
+      WHERE NOT post_termination AND NOT device_id_conflict AND user_id NOT IN (SELECT user_id FROM named)
+    UNION ALL SELECT user_id, 'recommended_next_steps', 1, CAST(pos - 1 AS VARCHAR), step FROM (
+      SELECT user_id, unnest(steps) AS step, generate_subscripts(steps, 1) AS pos FROM (SELECT h.user_id, {_steps} AS steps FROM header h)))""")
+add("critical_accounts", "risk", """
+    SELECT user_id, risk_score, risk_band AS risk_level, department, risk_drivers FROM (
+      SELECT *, MAX(CASE WHEN risk_band = 'Critical' THEN 1 ELSE 0 END) OVER () AS any_critical FROM risk)
+    WHERE any_critical = 0 OR risk_band = 'Critical'
+    ORDER BY CASE WHEN any_critical = 1 THEN 0 ELSE -risk_score END, user_id LIMIT 5""")
+add("system_summary", ("threats", "risk"), """SELECT (SELECT COUNT(*) FROM threats) AS active_threat_detections,
+    (SELECT COUNT(*) FROM risk WHERE risk_band = 'Critical') AS critical_risk_users""")
+add("primary_detections", "threats", """SELECT threat_id, user_id, threat_type, severity FROM threats
+    ORDER BY severity, confidence, threat_type, threat_id LIMIT 5""")
+add("user_comparison", ("context", "risk", "threats"), f"""
+    SELECT c.user_id, user_name, COALESCE(round_even(r.risk_score * 10, 0) / 10, 0) AS risk_score,
+      upper(COALESCE(risk_band, 'Low')) AS risk_band, employment_status, COALESCE(n, 0) AS active_threat_detections, primary_threat
+    FROM context c LEFT JOIN risk r ON c.user_id = r.user_id LEFT JOIN (
+      SELECT user_id, COUNT(*) AS n, first(threat_type || ' (' || upper(severity) || ')' ORDER BY {_at}) AS primary_threat
+      FROM threats GROUP BY user_id) t ON c.user_id = t.user_id""")
+add("traffic_volume", "fw20", """SELECT user_id, CAST(SUM(total_bytes) AS BIGINT) AS total_bytes, COUNT(*) AS log_entries,
+    round_even(CAST(SUM(total_bytes) AS DOUBLE) / 1048576 * 100, 0) / 100 AS traffic_mb FROM fw20 GROUP BY user_id""")
+add("mfa_evidence", "iam", f"""SELECT * REPLACE (CAST("timestamp" AS VARCHAR) AS "timestamp", CAST(mfa_passed AS VARCHAR) AS mfa_passed)
+    FROM ({_iam_events(20)}) WHERE NOT mfa_passed OR contains(event_type, 'MFA')""")
+CTES["timeline30"] = (("iam", "endpoint", "fw30"), _timeline(_iam_events(30), _endpoint_events(30), "fw30", 30))
+add("evidence_bundle", ("identity", "iam", "endpoint", "fw20", "timeline30"), f"""
+    SELECT u.user_id, a.x AS iam, e.x AS endpoint, f.x AS firewall, t.x AS timeline
+    FROM (SELECT DISTINCT user_id FROM identity WHERE user_id IS NOT NULL) u
+    LEFT JOIN (SELECT user_id, string_agg(event_id, ';' ORDER BY event_no) AS x FROM ({_iam_events(20)}) GROUP BY 1) a USING (user_id)
+    LEFT JOIN (SELECT user_id, string_agg(alert_id, ';' ORDER BY event_no) AS x FROM ({_endpoint_events(20)}) GROUP BY 1) e USING (user_id)
+    LEFT JOIN (SELECT user_id, string_agg(log_id, ';' ORDER BY event_no) AS x FROM fw20 GROUP BY 1) f USING (user_id)
+    LEFT JOIN (SELECT user_id, string_agg(details, ';' ORDER BY position) AS x FROM timeline30 GROUP BY 1) t USING (user_id)""")
+
+# --- summaries ----------------------------------------------------------------------------------
+add("snapshot_meta", ("risk", "threats", "queue"), """SELECT (SELECT COUNT(*) FROM risk) AS users,
+    (SELECT COUNT(*) FROM threats) AS threats, (SELECT COUNT(*) FROM queue) AS queue,
+    (SELECT COUNT(*) FROM risk WHERE risk_band = 'Critical') AS critical""")
+add("source_coverage", ("identity", "iam", "endpoint", "firewall"), " UNION ALL ".join(f"""
+    SELECT '{n}' AS source, 'Reviewed' AS status, COUNT(*) AS rows, format('{{:,}}', COUNT(*)) || ' rows' AS coverage,
+      'Schema available' AS issues FROM {t}""" for t, n in (
+        ("identity", "Identity Asset Master"), ("iam", "Iam Audit Trail"), ("endpoint", "Endpoint Alerts"),
+        ("firewall", "Firewall Logs"))))
+_vector = """CASE WHEN lower(threat_type) LIKE '%malware%' OR lower(threat_type) LIKE '%powershell%' OR lower(threat_type) LIKE '%lateral%' THEN 'malware'
+    WHEN lower(threat_type) LIKE '%termination%' OR lower(threat_type) LIKE '%disabled%' OR lower(threat_type) LIKE '%inactive%' THEN 'post_termination'
+    ELSE 'identity' END"""
+add("threat_vector_split", "threats", f"""SELECT v AS vector, COUNT(t.k) AS detections,
+    COUNT(t.k) / GREATEST((SELECT COUNT(*) FROM threats), 1) AS share
+    FROM (VALUES ('malware'), ('post_termination'), ('identity')) AS vs(v) LEFT JOIN (SELECT {_vector} AS k FROM threats) t ON t.k = v GROUP BY v""")
+add("threat_search", "threats", """SELECT threat_id, user_id, threat_type, severity FROM threats
+    WHERE (contains(lower(user_id), 'malware') OR contains(lower(threat_type), 'malware')) AND upper(severity) = 'CRITICAL'""")
+add("user_search", "risk", """SELECT user_id, department, risk_score FROM risk
+    WHERE contains(lower(user_id), 'sale') OR contains(lower(department), 'sale')""")
+add("department_breakdown", "risk", """SELECT COALESCE(NULLIF(department, ''), 'Other') AS department, COUNT(*) AS users,
+    round_even(AVG(risk_score) * 10, 0) / 10 AS average_score FROM risk GROUP BY 1""")
+add("overall_risk", "risk", """SELECT round_even(AVG(risk_score) * 10, 0) / 10 AS average_score,
+    COUNT(*) FILTER (WHERE risk_band = 'Critical') AS critical_users, COUNT(*) FILTER (WHERE risk_band = 'High') AS high_users FROM risk""")
+for _n in (5, 7):
+    add(f"top_{_n}_users", "risk", f"""SELECT user_id, username, department, risk_score, risk_band AS risk_level FROM risk
+        ORDER BY risk_score DESC, user_id LIMIT {_n}""")

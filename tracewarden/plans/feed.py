@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import cleaning
+from ..operators import cleaning, investigate
 from ..operators.detections import detect, with_threat_ids
 from ..operators.queue import build_queue
 from ..operators.risk import score_users
@@ -99,3 +99,14 @@ class Feed:
     def queue(self) -> DataFrame:
         return self.published(
             "investigation_queue", lambda: build_queue(self.threats, self.risk, self.identity))
+
+    @cached_property
+    def timeline(self) -> DataFrame:
+        """The evidence timeline of every user, which the reports read."""
+        def build() -> DataFrame:
+            tables = (self.identity, self.iam, self.endpoint, self.firewall)
+            return investigate.evidence_timeline(
+                investigate.iam_events(self.iam, 100), investigate.endpoint_events(self.endpoint, 100),
+                investigate.firewall_events(*tables, 100))
+
+        return self.published("evidence_timeline", build)

@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.identifiers import risk_key
-from ..operators import dedupe, detections, linkage, quality, queue, risk, signals
+from ..operators import (
+    dedupe,
+    detections,
+    investigate,
+    linkage,
+    quality,
+    queue,
+    risk,
+    signals,
+    summary,
+)
 from ..operators.cleaning import clean
 from ..operators.nearest import closest_pairs
 from ..schemas import RAW_COLUMNS
@@ -326,3 +336,185 @@ def investigation_queue(t: Feed) -> DataFrame:
 @query
 def investigation_queue_summary(t: Feed) -> DataFrame:
     return queue.queue_summary(t.queue)
+
+
+# --- investigation ----------------------------------------------------------------------------
+
+def _events(t: Feed, n: int) -> dict[str, DataFrame]:
+    parts = {
+        "iam": investigate.iam_events(t.iam, n),
+        "endpoint": investigate.endpoint_events(t.endpoint, n),
+        "firewall": investigate.firewall_events(t.identity, t.iam, t.endpoint, t.firewall, n),
+    }
+    return parts
+
+
+def _timeline(t: Feed, n: int = 100) -> DataFrame:
+    parts = _events(t, n)
+    return investigate.evidence_timeline(parts["iam"], parts["endpoint"], parts["firewall"], n)
+
+
+@query
+def known_iam_users(t: Feed) -> DataFrame:
+    return investigate.existing_users(t.iam.select("user_id").distinct(), t.identity, t.risk)
+
+
+@query
+def user_mentions(t: Feed) -> DataFrame:
+    return investigate.user_mentions(t.raw("messages"), ["conv_id", "turn"], t.identity, t.risk)
+
+
+@query
+def identity_context(t: Feed) -> DataFrame:
+    return investigate.identity_context(t.identity)
+
+
+@query
+def user_risk_profile(t: Feed) -> DataFrame:
+    profile = investigate.risk_profile(t.risk)
+    fixed = [n for n in profile.columns if n not in ("score_breakdown", "metrics")]
+    return profile.select(*fixed, "score_breakdown.*", "metrics.*")
+
+
+@query
+def user_threats(t: Feed) -> DataFrame:
+    rows = investigate.user_threats(t.threats, t.queue)
+    entry = F.col("investigation_queue")
+    return rows.select(
+        *[n for n in rows.columns if n != "investigation_queue"],
+        entry["priority_rank"].cast("string").alias("priority_rank"),
+        entry["investigation_priority"].alias("investigation_priority"),
+        entry["recommended_action"].alias("queue_action"))
+
+
+@query
+def iam_events_per_user(t: Feed) -> DataFrame:
+    return investigate.iam_events(t.iam)
+
+
+@query
+def endpoint_events_per_user(t: Feed) -> DataFrame:
+    return investigate.endpoint_events(t.endpoint)
+
+
+@query
+def related_hosts(t: Feed) -> DataFrame:
+    hosts = investigate.related_hosts(t.identity, t.iam, t.endpoint)
+    return investigate.related_host_lists(hosts).withColumn("hosts", F.array_join("hosts", ","))
+
+
+@query
+def firewall_events_per_user(t: Feed) -> DataFrame:
+    return _events(t, 50)["firewall"]
+
+
+@query
+def evidence_timeline(t: Feed) -> DataFrame:
+    return _timeline(t)
+
+
+@query
+def timeline_chart_points(t: Feed) -> DataFrame:
+    return investigate.chart_points(_timeline(t))
+
+
+@query
+def investigation_report(t: Feed) -> DataFrame:
+    headers = investigate.report_headers(t.identity, t.risk, t.timeline)
+    fixed = [n for n in headers.columns if n != "score_breakdown"]
+    return headers.select(*fixed, "score_breakdown.*")
+
+
+@query
+def investigation_report_lines(t: Feed) -> DataFrame:
+    headers = investigate.report_headers(t.identity, t.risk, t.timeline)
+    return investigate.report_lines(headers, t.threats, t.queue)
+
+
+@query
+def critical_accounts(t: Feed) -> DataFrame:
+    return investigate.critical_accounts(t.risk)
+
+
+@query
+def system_summary(t: Feed) -> DataFrame:
+    return investigate.system_summary(t.threats, t.risk)
+
+
+@query
+def primary_detections(t: Feed) -> DataFrame:
+    return investigate.primary_detections(t.threats)
+
+
+@query
+def user_comparison(t: Feed) -> DataFrame:
+    return investigate.user_comparison(t.identity, t.risk, t.threats)
+
+
+@query
+def traffic_volume(t: Feed) -> DataFrame:
+    return investigate.traffic_volume(_events(t, 20)["firewall"])
+
+
+@query
+def mfa_evidence(t: Feed) -> DataFrame:
+    return investigate.mfa_evidence(investigate.iam_events(t.iam, 20))
+
+
+@query
+def evidence_bundle(t: Feed) -> DataFrame:
+    parts = {**_events(t, 20), "timeline": _timeline(t, 30)}
+    bundle = investigate.evidence_bundle(parts, t.identity.where("user_id IS NOT NULL"))
+    ids = {"iam": "event_id", "endpoint": "alert_id", "firewall": "log_id", "timeline": "details"}
+    return bundle.select("user_id", *[
+        F.array_join(F.col(name).getField(field), ";").alias(name)
+        for name, field in ids.items()])
+
+
+# --- summaries ----------------------------------------------------------------------------------
+
+@query
+def snapshot_meta(t: Feed) -> DataFrame:
+    return summary.snapshot_meta(t.risk, t.threats, t.queue)
+
+
+@query
+def source_coverage(t: Feed) -> DataFrame:
+    return summary.source_coverage(
+        {"identity": t.identity, "iam": t.iam, "endpoint": t.endpoint, "firewall": t.firewall})
+
+
+@query
+def threat_vector_split(t: Feed) -> DataFrame:
+    return summary.threat_vectors(t.threats)
+
+
+@query
+def threat_search(t: Feed) -> DataFrame:
+    return summary.search_threats(t.threats, "Malware", "CRITICAL").select(
+        "threat_id", "user_id", "threat_type", "severity")
+
+
+@query
+def user_search(t: Feed) -> DataFrame:
+    return summary.search_users(t.risk, "sale").select("user_id", "department", "risk_score")
+
+
+@query
+def department_breakdown(t: Feed) -> DataFrame:
+    return summary.department_breakdown(t.risk)
+
+
+@query
+def overall_risk(t: Feed) -> DataFrame:
+    return summary.overall(t.risk)
+
+
+@query
+def top_5_users(t: Feed) -> DataFrame:
+    return summary.highest_scores(t.risk, 5)
+
+
+@query
+def top_7_users(t: Feed) -> DataFrame:
+    return summary.highest_scores(t.risk, 7)
