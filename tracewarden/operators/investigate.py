@@ -181,7 +181,9 @@ def user_threats(threats: DataFrame, queue: DataFrame) -> DataFrame:
 
 # --- per-user events ------------------------------------------------------------------------
 
-def _earliest(df: DataFrame, key: str, order: list[Column], n: int, name: str = "event_no") -> DataFrame:
+def _earliest(
+    df: DataFrame, key: str | list[str], order: list[Column], n: int, name: str = "event_no"
+) -> DataFrame:
     """The first n rows per key. The limit is applied per input partition before the shuffle,
     so a busy key sends at most n rows per partition."""
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
@@ -236,7 +238,8 @@ def firewall_events(
 ) -> DataFrame:
     """Earliest firewall rows of a user's hosts.
 
-    Hosts match the firewall's short key; only users without any such row match full names.
+    Hosts match the firewall's short key (``match`` 1); only users without any such row match
+    full names (``match`` 2, which can differ only where the name has its domain suffix).
     The earliest n rows of a user lie within the earliest n rows of each of its hosts, so
     traffic is cut to n rows per host before it meets the users: a host shared by many users
     never multiplies its whole traffic.
@@ -250,17 +253,21 @@ def firewall_events(
     columns = ("log_id", "timestamp", "hostname", "src_ip", "dst_ip", "src_port", "dst_port",
                "protocol", "action", "bytes_sent", "bytes_received", "threat_flag", "rule_name",
                "geo_country")
-
-    def of_hosts(column: str) -> DataFrame:
-        keyed = firewall.where(F.col(column).isNotNull())
-        keyed = keyed.select(*columns, F.lower(column).alias("host_key"))
-        return _earliest(keyed, "host_key", order, n, "host_no").drop("host_no")
-
-    direct = wanted.join(of_hosts("hostname_join_key"), "host_key")
-    without = wanted.join(direct.select("user_id").distinct(), "user_id", "left_anti")
-    fallback = without.join(of_hosts("hostname"), "host_key")
+    short, full = F.lower("hostname_join_key"), F.lower("hostname")
+    names = F.array(
+        F.struct(F.lit(1).alias("match"), short.alias("host_key")),
+        F.struct(F.lit(2).alias("match"), F.when(~short.eqNullSafe(full), full).alias("host_key")),
+    )
+    keyed = (
+        firewall.select(*columns, F.inline(names)).where("host_key IS NOT NULL")
+    )
+    per_host = _earliest(keyed, ["host_key", "match"], order, n, "host_no").drop("host_no")
+    # short-key rows come first, so the first n rows hold a user's short-key rows if it has any
+    first = _earliest(wanted.join(per_host, "host_key"), "user_id", [F.asc("match"), *order], n)
+    best = F.min("match").over(Window.partitionBy("user_id"))
+    matched = first.withColumn("_best", best).where("match = _best")
     sent, received = (F.coalesce(c, F.lit(0)).cast("bigint") for c in ("bytes_sent", "bytes_received"))
-    return _earliest(direct.unionByName(fallback), "user_id", order, n).select(
+    return matched.select(
         "user_id", "event_no", "timestamp",
         *[_text(c).alias(c) for c in (
             "log_id", "hostname", "src_ip", "dst_ip", "dst_port", "rule_name", "geo_country")],

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, investigate
+from ..operators.dedupe import COPIES
 from ..operators.detections import detect, with_threat_ids
 from ..operators.queue import build_queue
 from ..operators.risk import score_users
@@ -47,9 +48,6 @@ class Feed:
         df = sample_feed.load(self.spark, self.sf_dir, table)
         return df if table in ("iam", "messages") else with_null_tokens(df)
 
-    def stage(self, table: str) -> DataFrame:
-        return cleaning.STAGES[table](self.raw(table))
-
     def published(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """The named table, written once per application to the shared checkpoint folder.
 
@@ -65,8 +63,12 @@ class Feed:
             _WRITTEN[key] = folder
         return read(self.spark, _WRITTEN[key], name)
 
+    def stage(self, table: str) -> DataFrame:
+        """The clean table with the number of raw copies of each row."""
+        return self.published(f"{table}_stage", lambda: cleaning.STAGES[table](self.raw(table)))
+
     def _clean(self, table: str) -> DataFrame:
-        return self.published(f"{table}_clean", lambda: cleaning.clean(table, self.raw(table)))
+        return self.stage(table).drop(COPIES)
 
     @cached_property
     def identity(self) -> DataFrame:
