@@ -231,6 +231,7 @@ CTES["firewall_sessions"] = (("firewall",), f"""SELECT upper(session_id) AS s, {
     epoch_us("timestamp") AS us FROM firewall WHERE trim(session_id) <> ''""")
 CTES["session_pairs"] = (("iam_sessions", "firewall_sessions"), """
     SELECT a.s AS s, MIN(ABS(a.us - f.us)) / 1000000 AS lo, MAX(ABS(a.us - f.us)) / 1000000 AS hi,
+      MEDIAN(ABS(a.us - f.us)) / 1000000 AS mid,
       COUNT(DISTINCT CASE WHEN a.h = f.h THEN a.h END) AS common
     FROM iam_sessions a JOIN firewall_sessions f ON a.s = f.s GROUP BY a.s""")
 CTES["evidence"] = (("session_pairs",), """
@@ -251,7 +252,7 @@ _side = "SELECT s, COUNT(*) AS n, COUNT(us) AS nt, COUNT(DISTINCT h) AS nh FROM
 add("shared_session_diagnostic", "session_pairs", f"""
     SELECT p.s AS session_id, a.n AS iam_rows, f.n AS firewall_rows, a.nh AS iam_hostname_count,
       f.nh AS firewall_hostname_count, common AS common_hostname_count, a.nt AS iam_timestamp_count,
-      f.nt AS firewall_timestamp_count, lo AS min_time_diff_seconds, hi AS max_time_diff_seconds,
+      f.nt AS firewall_timestamp_count, lo AS min_time_diff_seconds, mid AS median_time_diff_seconds, hi AS max_time_diff_seconds,
       CAST(common > 0 AS VARCHAR) AS hostname_match
     FROM session_pairs p JOIN ({_side.format(t='iam_sessions')}) a ON a.s = p.s
       JOIN ({_side.format(t='firewall_sessions')}) f ON f.s = p.s""")

@@ -1,10 +1,12 @@
 """Closest pairs against brute force, with one group holding a third of all rows."""
 
 import random
+import statistics
 
 from pyspark.sql import functions as F
 
 from tracewarden.operators.nearest import DAY_MICROS, closest_pairs
+from tracewarden.operators.pair_median import median_gaps
 
 
 def brute(rows, limit=None):
@@ -54,3 +56,19 @@ def test_limit_is_inclusive(spark):
             ("out", 0, True, False, "x"), ("out", DAY_MICROS + 1, False, True, "x"),
             ("before", DAY_MICROS, True, False, "x"), ("before", 0, False, True, "x")]
     assert set(found(spark, rows, DAY_MICROS)) == {"in", "before"}
+
+
+def test_median_against_brute_force(spark):
+    rng = random.Random(11)
+    for span, step in ((40 * 1_000_000, 1), (9 * DAY_MICROS, 1_000_000)):
+        rows = [("hot" if i % 3 == 0 else f"g{rng.randrange(40)}", rng.randrange(0, span, step), rng.random() < 0.5)
+                for i in range(300)]
+        want = {}
+        for group in {g for g, _, _ in rows}:
+            sides = [[us for g, us, left in rows if g == group and left is side] for side in (True, False)]
+            gaps = [abs(a - b) for a in sides[0] for b in sides[1]]
+            if gaps:
+                want[group] = statistics.median(gaps)
+        df = spark.createDataFrame(rows, "g string, us long, l boolean")
+        out = median_gaps(df, ["g"], F.col("us"), F.col("l"), ~F.col("l"))
+        assert {r["g"]: r["median_us"] for r in out.collect()} == want

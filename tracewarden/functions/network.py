@@ -28,35 +28,19 @@ def _ipv6_pattern() -> str:
 
 IPV6 = _ipv6_pattern()
 
-# IPv4 networks (first address, prefix length) that are not globally reachable.
+# IPv4 networks that are not globally reachable, as address prefixes:
+# 0/8 10/8 127/8, 169.254/16, 172.16/12, 192.0.0/24 192.0.2/24, 192.168/16, 198.18/15,
+# 198.51.100/24, 203.0.113/24, 240/4.
 PRIVATE_IPV4 = (
-    ("0.0.0.0", 8), ("10.0.0.0", 8), ("127.0.0.0", 8), ("169.254.0.0", 16),
-    ("172.16.0.0", 12), ("192.0.0.0", 24), ("192.0.2.0", 24), ("192.168.0.0", 16),
-    ("198.18.0.0", 15), ("198.51.100.0", 24), ("203.0.113.0", 24), ("240.0.0.0", 4),
+    r"^(?:(?:0|10|127|24\d|25[0-5])|169\.254|172\.(?:1[6-9]|2\d|3[01])|192\.0\.[02]|192\.168"
+    r"|198\.1[89]|198\.51\.100|203\.0\.113)\."
 )
 # Addresses inside 192.0.0.0/24 that are reachable.
 REACHABLE_IPV4 = ("192.0.0.9", "192.0.0.10")
 
 
-def _address_number(text: str) -> int:
-    number = 0
-    for part in text.split("."):
-        number = number * 256 + int(part)
-    return number
-
-
-def _ipv4_number(c: Column) -> Column:
-    parts = [F.split_part(c, F.lit("."), F.lit(i)).try_cast("bigint") for i in range(1, 5)]
-    return parts[0] * 16777216 + parts[1] * 65536 + parts[2] * 256 + parts[3]
-
-
 def is_private_ipv4(c: Column) -> Column:
-    number = _ipv4_number(c)
-    private = F.lit(False)
-    for first, prefix in PRIVATE_IPV4:
-        low = _address_number(first)
-        private = private | number.between(low, low + 2 ** (32 - prefix) - 1)
-    return private & ~c.isin(*REACHABLE_IPV4)
+    return c.rlike(PRIVATE_IPV4) & ~c.isin(*REACHABLE_IPV4)
 
 
 def ip_status(c: Column) -> Column:

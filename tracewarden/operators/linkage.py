@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.identifiers import link_hostname, link_key
 from ..functions.timestamps import micros
 from .nearest import closest_pairs
+from .pair_median import median_gaps
 from .quality import two_decimals
 
 REPORT_COLUMNS = (
@@ -233,7 +234,7 @@ def session_evidence_summary(evidence: DataFrame) -> DataFrame:
 
 
 def shared_session_diagnostic(iam: DataFrame, firewall: DataFrame, compat: bool = False) -> DataFrame:
-    """Per shared session: counts of rows, hosts and times, and the nearest and farthest pair.
+    """Per shared session: counts of rows, hosts and times; nearest, median and farthest pair.
 
     The farthest pair needs only each side's first and last time. Host names are in
     ``shared_session_hosts``, one row each, because a session may touch any number of hosts.
@@ -256,16 +257,20 @@ def shared_session_diagnostic(iam: DataFrame, firewall: DataFrame, compat: bool
         F.count(F.when(F.col("by_iam") & F.col("by_firewall"), 1)).alias("common_hosts"),
     )
     closest = closest_pairs(events, ["session_id"], us, is_iam, ~is_iam)
+    median = median_gaps(
+        events.join(sizes.select("session_id"), "session_id", "left_semi"), ["session_id"], us,
+        is_iam, ~is_iam)
     count = lambda n: F.coalesce(F.col(n), F.lit(0))
     return (
         sizes.join(hosts, "session_id", "left").join(closest, "session_id", "left")
-        .select(
+        .join(median, "session_id", "left").select(
             "session_id", "iam_rows", "firewall_rows",
             count("iam_hosts").alias("iam_hostname_count"),
             count("firewall_hosts").alias("firewall_hostname_count"),
             count("common_hosts").alias("common_hostname_count"),
             "iam_timestamp_count", "firewall_timestamp_count",
             (F.col("gap_us") / 1_000_000).alias("min_time_diff_seconds"),
+            (F.col("median_us") / 1_000_000).alias("median_time_diff_seconds"),
             F.when(F.col("gap_us").isNotNull(), F.col("farthest_us") / 1_000_000)
             .alias("max_time_diff_seconds"),
             (count("common_hosts") > 0).alias("hostname_match"),

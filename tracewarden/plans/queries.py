@@ -52,7 +52,8 @@ def clean_endpoint(t: Feed) -> DataFrame:
 @query
 def clean_firewall(t: Feed) -> DataFrame:
     numbers = ("src_port", "dst_port", "bytes_sent", "bytes_received")
-    return t.firewall.withColumns({n: F.col(n).cast("string") for n in numbers})
+    table = clean("firewall", t.raw("firewall"))
+    return table.withColumns({n: F.col(n).cast("string") for n in numbers})
 
 
 # --- duplicates -------------------------------------------------------------------------
