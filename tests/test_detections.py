@@ -1,5 +1,6 @@
 """Boundary cases of the threat rules, ids and ranking."""
 
+import random
 from datetime import timedelta
 
 from helpers import at, endpoint, iam, identity
@@ -107,3 +108,36 @@ def test_ids_follow_rule_user_host(spark):
         ("THR00001", "Post-Termination Activity", "h0"),
         ("THR00002", "Identity / Hostname Mismatch", "h0"),
         ("THR00003", "Identity / Hostname Mismatch", "h1")]
+
+
+def test_credential_rule_against_brute_force(spark):
+    """Random events; user U0 holds a third of them."""
+    rng = random.Random(3)
+    pick = lambda i: "U0" if i % 3 == 0 else f"U{rng.randrange(1, 5)}"
+    moment = lambda: T0 + timedelta(seconds=rng.randrange(0, 12 * 86400, 1800))
+    events = [{"user_id": pick(i), "event_id": str(i), "timestamp": moment() if rng.random() > 0.05 else None,
+               "event_type": rng.choice(["LOGIN_FAILURE", "LOGIN_SUCCESS"]), "hostname": rng.choice(["A", "B", None]),
+               "mfa_passed": rng.choice([True, False, None])} for i in range(240)]
+    alerts = [{"user_id": pick(i), "alert_id": str(i), "detected_timestamp": moment(), "hostname": "e",
+               "alert_name": rng.choice(["Keylogger", "Port scan"])} for i in range(60)]
+    want = {}
+    for anchor in sorted((e for e in events if e["timestamp"]), key=lambda e: e["timestamp"]):
+        user, start = anchor["user_id"], anchor["timestamp"]
+        if user in want:
+            continue
+        near = [e for e in events if e["user_id"] == user and e["timestamp"] and start <= e["timestamp"] <= start + H24]
+        hits = [a for a in alerts if a["user_id"] == user and a["alert_name"] == "Keylogger"
+                and start <= a["detected_timestamp"] <= start + H24]
+        failed = sum(e["event_type"] == "LOGIN_FAILURE" for e in near)
+        mfa = sum(e["mfa_passed"] is False for e in near)
+        if failed >= 3 and mfa >= 2 and hits:
+            last = max([e["timestamp"] for e in near] + [a["detected_timestamp"] for a in hits])
+            named = sorted((e["timestamp"], e["hostname"].lower()) for e in near if e["hostname"])
+            want[user] = (start, last, len(hits), named[0][1] if named else "e", f"{failed} failed", f", {mfa} MFA")
+    got = users(det.credential_compromise(iam(spark, *events), endpoint(spark, *alerts)))
+    assert set(got) == set(want) and "U0" in want and len(want) > 2
+    for user, (start, last, count, host, failed, mfa) in want.items():
+        row = got[user]
+        assert (row["first_observed"], row["last_observed"], row["related_alert_count"],
+                row["related_hostname"]) == (start, last, count, host)
+        assert row["evidence"].startswith(failed) and mfa in row["evidence"]

@@ -18,7 +18,7 @@ def exports(spark, tmp_path_factory):
         df, path = sample_feed.load(spark, SF, table), str(base / table)
         if table == "iam":
             df.coalesce(1).write.json(path)
-            inputs[table] = (path, "json")
+            inputs[table] = (path, "jsonl")
         elif table == "endpoint":
             df.write.parquet(path)
             inputs[table] = (path, "parquet")
@@ -30,11 +30,7 @@ def exports(spark, tmp_path_factory):
 
 def test_pipeline_publishes_everything(spark, exports, tmp_path):
     out = str(tmp_path / "out")
-    inputs = dict(exports)
-    lines = raw.scan_json(spark, exports["iam"][0], lines=True)
-    lines.write.parquet(str(tmp_path / "iam"))
-    inputs["iam"] = (str(tmp_path / "iam"), "parquet")
-    pipeline.run(spark, inputs, out)
+    pipeline.run(spark, exports, out)
     report = {r["name"]: (r["exists"], r["rows"]) for r in published.verify_outputs(spark, out).collect()}
     assert set(report) == set(PUBLISHED) and all(exists for exists, _ in report.values())
     users = {r[0] for r in published.read(spark, out, "investigation_queue").select("user_id").collect()}
@@ -45,6 +41,9 @@ def test_pipeline_publishes_everything(spark, exports, tmp_path):
     parts = sum(F.col(c) for c in ("authentication_risk", "iam_risk", "endpoint_severity_risk",
                                    "threat_behavior_risk", "contextual_risk", "cross_signal_bonus"))
     assert scores.where(F.col("risk_score") != F.least(parts, F.lit(100.0))).count() == 0
+    summary = {r["metric"]: r["value"]
+               for r in published.read(spark, out, "identity_pipeline_summary").collect()}
+    assert (summary["raw_rows"], summary["exact_duplicate_rows"]) == (159, 5)
     linked = published.read(spark, out, "relationship_quality_report").where("matched IS NOT NULL")
     assert linked.where("matched + missing + unmatched != rows").count() == 0
 

@@ -144,11 +144,21 @@ def _missing(*names: str) -> dict[str, Column]:
     return {f"missing_{n}": _count_if(F.col(n).isNull()) for n in names}
 
 
-def identity_summary(stage: DataFrame) -> DataFrame:
+def _raw_and_clean(raw_rows: int | None, names: tuple[str, str, str]) -> dict[str, Column]:
+    """Raw rows, exact duplicates and clean rows of a stage, or of a clean table whose raw row
+    count was observed while it was written."""
+    raw = F.sum(COPIES) if raw_rows is None else F.lit(raw_rows)
+    clean = F.count(F.lit(1))
+    return dict(zip(names, (raw, raw - clean, clean), strict=True))
+
+
+def _width(df: DataFrame) -> Column:
+    return F.lit(len([n for n in df.columns if n != COPIES]))
+
+
+def identity_summary(stage: DataFrame, raw_rows: int | None = None) -> DataFrame:
     figures = {
-        "raw_rows": F.sum(COPIES),
-        "exact_duplicate_rows": F.sum(F.col(COPIES) - 1),
-        "clean_rows": F.count(F.lit(1)),
+        **_raw_and_clean(raw_rows, ("raw_rows", "exact_duplicate_rows", "clean_rows")),
         **_missing("user_id", "username", "hostname", "device_id"),
         "device_conflict_records": _count_if(F.col("device_id_conflict")),
         "conflicting_devices": F.countDistinct(F.when(F.col("device_id_conflict"), F.col("device_id"))),
@@ -161,13 +171,11 @@ def identity_summary(stage: DataFrame) -> DataFrame:
     return _metrics(stage, figures).unionByName(repeated)
 
 
-def iam_summary(stage: DataFrame, raw_columns: int) -> DataFrame:
+def iam_summary(stage: DataFrame, raw_columns: int, raw_rows: int | None = None) -> DataFrame:
     figures = {
-        "raw_rows": F.sum(COPIES),
+        **_raw_and_clean(raw_rows, ("raw_rows", "exact_duplicates_removed", "final_rows")),
         "raw_columns": F.lit(raw_columns),
-        "exact_duplicates_removed": F.sum(F.col(COPIES) - 1),
-        "final_rows": F.count(F.lit(1)),
-        "final_columns": F.lit(len(stage.columns) - 1),
+        "final_columns": _width(stage),
         "missing_timestamps": _count_if(F.col("timestamp").isNull()),
         "missing_user_ids": _count_if(F.col("user_id").isNull()),
         "missing_session_ids": _count_if(F.col("session_id").isNull()),
@@ -182,7 +190,7 @@ def iam_summary(stage: DataFrame, raw_columns: int) -> DataFrame:
     return _metrics(stage, figures).unionByName(repeated).unionByName(devices)
 
 
-def endpoint_summary(stage: DataFrame) -> DataFrame:
+def endpoint_summary(stage: DataFrame, raw_rows: int | None = None) -> DataFrame:
     # duplicate removal keeps every alert id, so raw and final distinct ids agree
     flags = {
         "remaining_duplicate_alert_id_rows": "duplicate_alert_id_flag",
@@ -197,9 +205,7 @@ def endpoint_summary(stage: DataFrame) -> DataFrame:
         "invalid_sha256": "invalid_sha256_flag",
     }
     figures = {
-        "raw_rows": F.sum(COPIES),
-        "exact_duplicate_rows_removed": F.sum(F.col(COPIES) - 1),
-        "final_rows": F.count(F.lit(1)),
+        **_raw_and_clean(raw_rows, ("raw_rows", "exact_duplicate_rows_removed", "final_rows")),
         "raw_unique_alert_ids": F.countDistinct("alert_id"),
         "final_unique_alert_ids": F.countDistinct("alert_id"),
         **{name: _count_if(F.col(flag)) for name, flag in flags.items()},
@@ -208,7 +214,7 @@ def endpoint_summary(stage: DataFrame) -> DataFrame:
     return _metrics(stage, figures)
 
 
-def firewall_summary(stage: DataFrame) -> DataFrame:
+def firewall_summary(stage: DataFrame, raw_rows: int | None = None) -> DataFrame:
     c = F.col
 
     def states(column: str, flag: str, good, bad) -> dict[str, Column]:
@@ -219,10 +225,8 @@ def firewall_summary(stage: DataFrame) -> DataFrame:
         }
 
     figures = {
-        "raw_rows": F.sum(COPIES),
-        "exact_duplicate_rows": F.sum(c(COPIES) - 1),
-        "clean_rows": F.count(F.lit(1)),
-        "clean_columns": F.lit(len(stage.columns) - 1),
+        **_raw_and_clean(raw_rows, ("raw_rows", "exact_duplicate_rows", "clean_rows")),
+        "clean_columns": _width(stage),
         "missing_log_ids": _count_if(c("log_id").isNull()),
         "standardized_timestamps": F.count("timestamp"),
         "missing_timestamps": _count_if(c("timestamp").isNull()),

@@ -6,7 +6,8 @@ also be run alone on tables read with ``published.read``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import detections, linkage, quality, queue, risk
 from ..operators.cleaning import STAGES
@@ -20,15 +21,18 @@ from ..sources.raw import check_raw_inputs, scan
 def clean_and_report(table: str, raw: DataFrame, folder: str) -> DataFrame:
     """Publish a clean table with its quality report and pipeline summary.
 
-    The stage (with raw copy counts) is written once; table, report and summary read it back.
+    The raw row count is observed while the clean table is written; everything else in the
+    reports is read back from that table.
     """
-    stage = publish(STAGES[table](raw), folder, f"_{table}_stage")
+    seen = Observation()
+    stage = STAGES[table](raw).observe(seen, F.sum(COPIES).alias("raw_rows"))
     clean = publish(stage.drop(COPIES), folder, f"{table}_clean")
+    raw_rows = seen.get["raw_rows"] or 0
     summaries = {
-        "identity": lambda: quality.identity_summary(stage),
-        "iam": lambda: quality.iam_summary(stage, len(raw.columns)),
-        "endpoint": lambda: quality.endpoint_summary(stage),
-        "firewall": lambda: quality.firewall_summary(stage),
+        "identity": lambda: quality.identity_summary(clean, raw_rows),
+        "iam": lambda: quality.iam_summary(clean, len(raw.columns), raw_rows),
+        "endpoint": lambda: quality.endpoint_summary(clean, raw_rows),
+        "firewall": lambda: quality.firewall_summary(clean, raw_rows),
     }
     columns = list(RAW_COLUMNS["firewall"]) if table == "firewall" else None
     publish(quality.column_profile(clean, columns), folder, f"{table}_quality_report")

@@ -39,32 +39,51 @@ def _all_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(name).cast("string") for name in df.columns])
 
 
-def scan_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+def scan_csv(
+    spark: SparkSession, path: str, table: str, multi_line: bool | None = None
+) -> DataFrame:
     """Identity, endpoint and firewall exports.
 
     The header decides the columns, so an absent column is reported and an extra one is
-    visible to the caller; every column is text.
+    visible to the caller; every column is text. ``multi_line`` lets quoted fields hold line
+    breaks but keeps a file in one task; by default it is off for firewall logs, whose
+    machine-written fields have none, so that large files are split.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+    breaks = table != "firewall" if multi_line is None else multi_line
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", breaks)
     return with_null_tokens(require_columns(reader.csv(path), table))
 
 
 def scan_json(spark: SparkSession, path: str, table: str = "iam", lines: bool = False) -> DataFrame:
-    """IAM export: an array of records, or one record per line for splittable input."""
+    """IAM export: an array of records, or one record per line for splittable input.
+
+    The columns are looked up in the first file; only if one is absent there (a writer may
+    leave out nulls) are the others inspected.
+    """
     options = {"multiLine": not lines, "primitivesAsString": True}
-    present = spark.read.options(**options).json(path).columns
-    absent = [name for name in RAW_COLUMNS[table] if name not in present]
-    if absent:
+    reader = spark.read.options(**options)
+    for sample in (spark.read.text(path).inputFiles()[:1], path):
+        present = reader.json(sample).columns
+        absent = [name for name in RAW_COLUMNS[table] if name not in present]
+        if not absent:
+            break
+    else:
         raise ValueError(f"Missing required columns: {absent}")
     return spark.read.options(**options).schema(text_schema(table)).json(path)
 
 
+def scan_json_lines(spark: SparkSession, path: str, table: str = "iam") -> DataFrame:
+    return scan_json(spark, path, table, lines=True)
+
+
 def scan_parquet(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Parquet export of a raw table; columns become text."""
     return _all_text(require_columns(spark.read.parquet(path), table))
 
 
-SCANS = {"csv": scan_csv, "json": scan_json, "parquet": scan_parquet}
+SCANS = {
+    "csv": scan_csv, "json": scan_json, "jsonl": scan_json_lines, "parquet": scan_parquet,
+}
 
 
 def scan(spark: SparkSession, table: str, path: str, kind: str) -> DataFrame:
