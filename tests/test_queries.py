@@ -12,6 +12,8 @@ import __spark_entry__ as entry
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
+# no Python in the data path, no cross joins
+FORBIDDEN = ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "BroadcastNestedLoopJoin")
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
@@ -44,6 +46,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [node for node in FORBIDDEN if node in plan]
     columns = sorted(df.columns)
     cursor = duck.execute(SQL[name])
     names = [d[0] for d in cursor.description]

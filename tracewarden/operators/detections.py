@@ -117,7 +117,8 @@ def credential_compromise(
 
 
 def closest_by_host_then_user(
-    events: DataFrame, is_left: Column, is_right: Column, right_info: Column, window_hours: int
+    events: DataFrame, is_left: Column, is_right: Column, right_info: Column | None,
+    window_hours: int,
 ) -> DataFrame:
     """Per user the closest pair on one host within the window, else the closest pair at all.
 
@@ -148,8 +149,8 @@ def malware_lateral_movement(
     endpoint: DataFrame, window_hours: int = 24, compat: bool = False
 ) -> DataFrame:
     pairs = closest_by_host_then_user(
-        endpoint_signals(endpoint, compat), F.col("malware_flag"), F.col("lateral_flag"),
-        F.lit(None).cast("string"), window_hours,
+        endpoint_signals(endpoint, compat), F.col("malware_flag"), F.col("lateral_flag"), None,
+        window_hours,
     )
     c, on_host = F.col, F.col("host").isNotNull()
     within = f"within {window_hours} hours"

@@ -430,12 +430,14 @@ def report_lines(headers: DataFrame, threats: DataFrame, queue: DataFrame) -> Da
 
 def critical_accounts(risk: DataFrame, n: int = 5) -> DataFrame:
     """The first n critical accounts by id; with none, the n highest scores."""
-    columns = ("user_id", "risk_score", "risk_level", "department", "risk_drivers")
-    critical = risk.where(F.lower("risk_level") == "critical").orderBy("user_id").limit(n)
-    highest = risk.orderBy(F.desc("risk_score"), "user_id").limit(n)
-    any_critical = critical.select(F.lit(1).alias("one")).distinct()
-    fallback = highest.withColumn("one", F.lit(1)).join(any_critical, "one", "left_anti")
-    return critical.select(*columns).unionByName(fallback.select(*columns))
+    critical = as_flag(F.lower("risk_level") == "critical")
+    order = [F.desc("is_critical"), F.when(F.col("is_critical"), F.col("user_id")).asc_nulls_last(),
+             F.desc("risk_score"), F.asc("user_id")]
+    first = risk.withColumn("is_critical", critical).orderBy(*order).limit(n)
+    # over the n rows left, not over the users
+    any_critical = F.max("is_critical").over(Window.partitionBy())
+    return first.withColumn("any_critical", any_critical).where("is_critical = any_critical").select(
+        "user_id", "risk_score", "risk_level", "department", "risk_drivers")
 
 
 def system_summary(threats: DataFrame, risk: DataFrame) -> DataFrame:

@@ -48,16 +48,17 @@ def closest_pairs(
     equal distance the one with the smallest left time, right time and right facts is kept.
     Groups without a pair (within ``max_gap_us``, if given) are absent.
     """
-    info = F.lit(None).cast("string") if right_info is None else right_info
+    sides = [F.max(is_left).alias("has_left"), F.max(is_right).alias("has_right")]
+    if right_info is not None:
+        sides.append(F.min(F.when(is_right, right_info)).alias("right_info"))
+    collapsed = (
+        events.where(time_us.isNotNull()).where(is_left | is_right)
+        .groupBy(*keys, time_us.alias("us")).agg(*sides)
+    )
+    if right_info is None:  # without right-side facts the grouping stays a hash aggregation
+        collapsed = collapsed.withColumn("right_info", F.lit(None).cast("string"))
     moments = (
-        events.where(time_us.isNotNull())
-        .where(is_left | is_right)
-        .groupBy(*keys, time_us.alias("us"))
-        .agg(
-            F.max(is_left).alias("has_left"),
-            F.max(is_right).alias("has_right"),
-            F.min(F.when(is_right, info)).alias("right_info"),
-        )
+        collapsed
         .withColumn("day", F.floor(F.col("us") / DAY_MICROS))
         .withColumn("event", F.struct("us", "has_left", "has_right", "right_info"))
     )
