@@ -20,7 +20,7 @@ from tracewarden.llm.common import ASCII_LOWER, map_batches, strings
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 K = 3
 NEIGHBOUR = 8
-ACCEPT = 0.6
+ACCEPT = 0.8
 # Phrases and labels of the base
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 # Opening words of public licences
@@ -28,6 +28,7 @@ TEMPLATES = {
     "apache-2.0": "licensed under the apache license version 2.0",
     "mit": "permission is hereby granted free of charge to any person obtaining a copy of this software",
     "mit-name": "released under the mit license",
+    "gpl-name": "licensed under the gnu general public license",
     "bsd": "redistribution and use in source and binary forms with or without modification are permitted",
     "gpl-notice": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license",
     "cc-by-sa": "licensed under a creative commons attribution sharealike license",
