@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import groupby
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -17,18 +18,20 @@ from pyspark.sql import functions as F
 
 from tracewarden.llm.common import keep_rows, map_batches, strings
 
-WINDOW, STRIDE = 32, 16
+WINDOW, STRIDE = 32, 24
 WORD_ROWS, GRAM_ROWS, PART, HIDDEN = 4096, 2048, 12, 8
 # the bounds of the training sample: labelled texts, and evenly spread windows of each
-TRAIN_ROWS, TRAIN_WINDOWS = 3000, 48
-EPOCHS = 14
+TRAIN_ROWS, TRAIN_WINDOWS = 3000, 16
+EPOCHS, STEPS, BATCH, RATE, DECAY, DROPPED = 6, 160, 128, 0.02, 0.3, 0.2
+# rows of the word and character tables that fewer training texts use (a share of 1/300 at least) stay zero
+LEAST_TEXTS = 4
 THRESHOLD = 0.7
 CACHE_WORDS = 200_000
 _WORDS = re.compile(r"[^\W_]+")
 
 
 def _sigmoid(x):
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return np.float32(0.5) * np.tanh(np.float32(0.5) * x) + np.float32(0.5)
 
 
 def word_rows(word: str) -> tuple[int, list[int]]:
@@ -38,6 +41,11 @@ def word_rows(word: str) -> tuple[int, list[int]]:
             [zlib.crc32(marked[i:i + 3].encode()) % GRAM_ROWS for i in range(max(1, len(marked) - 2))])
 
 
+def words_of(text: str) -> list[str]:
+    """Lower-case words; a run of one word counts once, as its length says nothing."""
+    return [w for w, _ in groupby(_WORDS.findall(text.lower()))]
+
+
 class Network:
     def __init__(self, seed: int = 3):
         rng = np.random.default_rng(seed)
@@ -59,35 +67,38 @@ class Network:
         mean = np.add.reduceat(grams, np.r_[0, np.cumsum(sizes)[:-1]], axis=0) / sizes[:, None]
         return np.hstack([self.p["word"][[w for w, _ in words]], mean]).astype(np.float32)
 
-    def _run(self, gates, mask, d, keep):
-        """Hidden states (time, batch, hidden) of one direction from the projected inputs."""
-        u, n = self.p[f"u{d}"], HIDDEN
+    def _run(self, gate, mask, d, keep):
+        """Hidden states (time, batch, hidden) of one direction from the projected inputs gate(t)."""
+        n = HIDDEN
+        u_zr, u_c = (np.ascontiguousarray(m) for m in np.split(self.p[f"u{d}"], [2 * n], axis=1))
         steps, batch = mask.shape[1], len(mask)
+        full = mask.all(axis=0)
         h = np.zeros((batch, n), np.float32)
         states, tape = np.zeros((steps, batch, n), np.float32), []
         for t in (range(steps) if d == "f" else range(steps - 1, -1, -1)):
-            g = gates[:, t]
-            zr = _sigmoid(g[:, :2 * n] + h @ u[:, :2 * n])
+            g = gate(t)
+            zr = _sigmoid(g[:, :2 * n] + h @ u_zr)
             z, r = zr[:, :n], zr[:, n:]
-            c = np.tanh(g[:, 2 * n:] + (r * h) @ u[:, 2 * n:])
+            c = np.tanh(g[:, 2 * n:] + (r * h) @ u_c)
             m = mask[:, t:t + 1]
-            new = h + m * z * (c - h)
+            change = z * (c - h)
+            new = h + (change if full[t] else m * change)
             if keep:
                 tape.append((t, h, z, r, c, m))
             h = states[t] = new
         return states, tape
 
-    def forward(self, gates_f, gates_b, mask, keep=False):
+    def forward(self, gate_f, gate_b, mask, keep=False):
         """Score of each window; mask marks its real words (a window without words scores the bias)."""
         mask = mask.astype(np.float32)
-        hf, tape_f = self._run(gates_f, mask, "f", keep)
-        hb, tape_b = self._run(gates_b, mask, "b", keep)
+        hf, tape_f = self._run(gate_f, mask, "f", keep)
+        hb, tape_b = self._run(gate_b, mask, "b", keep)
         h = np.concatenate([hf, hb], axis=2)
         a = np.tanh(h @ self.p["wa"])
         e = (a @ self.p["va"]).T + (mask - 1) * 30
         w = np.exp(e - e.max(axis=1, keepdims=True)) * mask
         w /= np.maximum(w.sum(axis=1, keepdims=True), 1e-9)
-        pooled = np.einsum("bt,tbh->bh", w, h)
+        pooled = (w.T[:, :, None] * h).sum(axis=0)
         score = _sigmoid(pooled @ self.p["wo"] + self.p["bo"])
         return score, (h, a, w, pooled, tape_f, tape_b)
 
@@ -95,7 +106,7 @@ class Network:
         """Loss gradients of the dense weights and of the input rows x (batch, time, input)."""
         n, p = HIDDEN, self.p
         gates = {d: x @ p[f"w{d}"] + p[f"b{d}"] for d in "fb"}
-        score, (h, a, w, pooled, tape_f, tape_b) = self.forward(gates["f"], gates["b"], mask, keep=True)
+        score, (h, a, w, pooled, tape_f, tape_b) = self.forward(lambda t: gates["f"][:, t], lambda t: gates["b"][:, t], mask, keep=True)
         g = {}
         d_logit = (score - y) * weight
         g["wo"], g["bo"] = pooled.T @ d_logit, d_logit.sum()
@@ -138,8 +149,8 @@ def windows_of(n: int) -> list[int]:
 class Scorer:
     """Scores whole texts; the projections of each distinct word are computed once and cached."""
 
-    def __init__(self, network: Network):
-        self.network = network
+    def __init__(self, network: Network, rows_of: dict | None = None):
+        self.network, self.rows_of = network, rows_of or {}
         self.reset()
 
     def reset(self):
@@ -150,7 +161,7 @@ class Scorer:
         if new:
             for i, w in enumerate(new):
                 self.number[w] = len(self.fw) + i
-            x, p = self.network.inputs([word_rows(w) for w in new]), self.network.p
+            x, p = self.network.inputs([self.rows_of.get(w) or word_rows(w) for w in new]), self.network.p
             self.fw = np.vstack([self.fw, x @ p["wf"] + p["bf"]])
             self.bw = np.vstack([self.bw, x @ p["wb"] + p["bb"]])
 
@@ -158,24 +169,28 @@ class Scorer:
         if len(self.number) > CACHE_WORDS:
             self.reset()
         self._learn(dict.fromkeys(w for t in texts for w in t))
-        rows, owner = [], []
+        starts, owner, flat = [], [], []
         for k, t in enumerate(texts):
-            ids = np.array([self.number[w] for w in t], np.int32)
-            for s in windows_of(len(ids)):
-                part = ids[s:s + WINDOW]
-                rows.append(np.pad(part, (0, WINDOW - len(part))))
-                owner.append(k)
-        scores = np.concatenate([self._score(np.array(rows[i:i + 4096])) for i in range(0, len(rows), 4096)] or [np.zeros(0)])
+            at = windows_of(len(t))
+            starts += [len(flat) + s for s in at]
+            owner += [k] * len(at)
+            flat += [self.number[w] for w in t]
+            if len(t) < WINDOW:
+                flat += [0] * (WINDOW - len(t))
+        ids, starts = np.array(flat, np.int32), np.array(starts, np.int64)
+        scores = np.concatenate([self._score(ids[starts[i:i + 1024, None] + np.arange(WINDOW)])
+                                 for i in range(0, len(starts), 1024)] or [np.zeros(0)])
         cut = np.searchsorted(owner, np.arange(1, len(texts)))
         return np.split(scores, cut)
 
     def _score(self, ids):
-        return self.network.forward(self.fw[ids], self.bw[ids], ids > 0)[0]
+        by_time = np.ascontiguousarray(ids.T)
+        return self.network.forward(lambda t: self.fw[by_time[t]], lambda t: self.bw[by_time[t]], ids > 0)[0]
 
     def scores(self, texts: list[str]) -> list[float]:
         out = []
         for at in range(0, len(texts), 64):
-            words = [_WORDS.findall(t.lower()) for t in texts[at:at + 64]]
+            words = [words_of(t) for t in texts[at:at + 64]]
             out += [float(s.max()) for s in self.window_scores(words)]
         return out
 
@@ -184,7 +199,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     network, rng = Network(seed), np.random.default_rng(seed)
     words, gathered = [], []
     for t in texts:
-        found = _WORDS.findall(t.lower())
+        found = words_of(t)
         starts = windows_of(len(found))
         if len(starts) > TRAIN_WINDOWS:
             starts = [starts[i] for i in np.linspace(0, len(starts) - 1, TRAIN_WINDOWS).astype(int)]
@@ -193,12 +208,24 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     if not len(y) or y.min() == y.max():
         network.p["bo"] = np.float32(4.0 if len(y) and y[0] else -4.0)
         return network
-    rate_pos = min(4.0, (len(y) - y.sum()) / y.sum())
+    rate_pos = min(2.0, (len(y) - y.sum()) / y.sum())
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.p.items()}
-    rows_of = {w: word_rows(w) for ws in gathered for win in ws for w in win}
-    step = 0
+    rows_of = {w: word_rows(w) for w in {w for ws in gathered for win in ws for w in win}}
+    # a row of few texts could only be learnt by heart
+    used = {"word": np.zeros(WORD_ROWS), "gram": np.zeros(GRAM_ROWS)}
+    for ws in gathered:
+        mine = {w for win in ws for w in win}
+        used["word"][list({rows_of[w][0] for w in mine})] += 1
+        used["gram"][list({q for w in mine for q in rows_of[w][1]})] += 1
+    live = {k: (v >= max(LEAST_TEXTS, len(y) / 300)).astype(np.float32)[:, None] for k, v in used.items()}
+    for k, v in live.items():
+        network.p[k] = network.p[k] * v
+    step, batch = 0, min(BATCH, max(16, len(y) // 16))
+    # a small sample is passed over more often, to the same number of steps
+    epochs = max(epochs, -(-STEPS * batch // len(y)))
     for epoch in range(epochs):
-        scorer = Scorer(network)
+        scorer = Scorer(network, rows_of)
+        scorer._learn(rows_of)
         flat = [win for ws in gathered for win in ws]
         scores = np.concatenate([np.concatenate(scorer.window_scores(flat[i:i + 2048])) for i in range(0, len(flat), 2048)])
         words, at = [], 0
@@ -206,14 +233,17 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
             words.append(ws[int(np.argmax(scores[at:at + len(ws)]))])
             at += len(ws)
         order = rng.permutation(len(words))
-        for at in range(0, len(order), 64):
-            some = order[at:at + 64]
+        for at in range(0, len(order), batch):
+            some = order[at:at + batch]
             distinct = {w: i for i, w in enumerate(dict.fromkeys(w for k in some for w in words[k]))}
             rows = [rows_of[w] for w in distinct]
             table = np.vstack([network.inputs(rows), np.zeros((1, 2 * PART), np.float32)])
             ids = np.full((len(some), WINDOW), len(distinct))
             for i, k in enumerate(some):
                 ids[i, :len(words[k])] = [distinct[w] for w in words[k]]
+            lost = (rng.random(ids.shape) < DROPPED) & (ids < len(distinct))
+            lost[:, 0] = False
+            ids[lost] = len(distinct)
             mask = ids < len(distinct)
             g, d_x, _ = network.gradients(table[ids], mask, y[some], np.where(y[some] > 0, rate_pos, 1.0).astype(np.float32) / len(some))
             d_table = np.zeros_like(table)
@@ -224,11 +254,13 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
             if len(rows):
                 np.add.at(g["gram"], np.concatenate([q for _, q in rows]), np.repeat(d_table[:-1, PART:] / sizes[:, None], sizes, axis=0))
             step += 1
+            for k in live:
+                g[k] *= live[k]
             for k, v in g.items():
                 m, s = moments[k]
                 m += 0.1 * (v - m)
                 s += 0.001 * (v * v - s)
-                network.p[k] = (network.p[k] - 0.01 * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
+                network.p[k] = (network.p[k] * (1 - RATE * DECAY) - RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
                 moments[k] = m, s
     return network
 
