@@ -13,11 +13,11 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewarden.llm.common import ASCII_LOWER, WORD, components, keep_rows, map_batches, saved, strings  # noqa: F401
+from tracewarden.llm.common import components, map_batches, saved
+from tracewarden.llm.flat_words import LOWER, SPACE_WORDS, Spans, flat, mix, pieces
 
 SHINGLE = 5
 PERCENT = 85
@@ -28,46 +28,41 @@ DEPTH = 6
 # estimates from 64 coordinates stray by 0.045 (one sigma) at 0.85
 SURE, SLACK = 0.92, 0.19
 _SEEDS = np.random.default_rng(11).integers(1, 2 ** 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
-_STEPS = np.random.default_rng(12).integers(1, 2 ** 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
-
-
-def shingle_set(text: str) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a whole text."""
-    words = WORD.findall(text.translate(ASCII_LOWER))
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(words) < SHINGLE:
-        return np.array([xxhash.xxh3_64_intdigest(" ".join(words), seed=len(words))], np.uint64)
-    known: dict[str, int] = {}
-    for w in words:
-        if w not in known:
-            known[w] = xxhash.xxh3_64_intdigest(w)
-    h = np.fromiter((known[w] for w in words), np.uint64, len(words))
-    n = len(h) - SHINGLE + 1
-    rolled = np.zeros(n, np.uint64)
-    for i, step in enumerate(_STEPS):
-        rolled += _mix(h[i:n + i] + np.uint64(i)) * step
-    return np.unique(_mix(rolled))
+
+
+def shingle_sets(column) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the shingles of each whole text of an Arrow column."""
+    out = []
+    for piece in pieces(column):
+        data, offsets = flat(piece)
+        words = Spans(LOWER[data], offsets, SPACE_WORDS)
+        grams, _ = words.grams(SHINGLE)
+        for low, high in zip(words.first[:-1], words.first[1:]):
+            if high - low >= SHINGLE:
+                out.append(np.unique(grams[low:high - SHINGLE + 1]))
+            elif high > low:
+                h = np.full(1, high - low, np.uint64)
+                for i in range(low, high):
+                    h = mix(h * np.uint64(0x9E3779B97F4A7C15) + words.hashes[i])
+                out.append(h)
+            else:
+                out.append(np.zeros(0, np.uint64))
+    return out
 
 
 def minwise(shingles: np.ndarray) -> np.ndarray:
-    """32 bits of the smallest hash per coordinate, in slices so that a huge set stays small."""
+    """32 bits of the smallest hash per coordinate (the shingles are mixed hashes, so an odd factor
+    orders them anew), in slices so that a huge set stays small."""
     low = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 4096):
-        low = np.minimum(low, _mix(shingles[at:at + 4096, None] ^ _SEEDS[None, :]).min(axis=0))
+    for at in range(0, len(shingles), 2048):
+        low = np.minimum(low, (_SEEDS[:, None] * shingles[None, at:at + 2048]).min(axis=1))
     return (low >> np.uint64(16)).astype(np.uint32).view(np.int32)
 
 
 def _fingerprints(docs: DataFrame) -> DataFrame:
     def make():
         def step(batch):
-            sets = [shingle_set(t) for t in strings(batch, "text")]
+            sets = shingle_sets(batch.column("text"))
             return {"doc_id": batch.column("doc_id"), "n_shingles": [len(s) for s in sets],
                     "node": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
                     "sig": [minwise(s) if len(s) else None for s in sets]}
@@ -131,7 +126,7 @@ def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     def make():
         def step(batch):
             return {"doc_id": batch.column("doc_id"),
-                    "shingles": [shingle_set(t).view(np.int64) for t in strings(batch, "text")]}
+                    "shingles": [s.view(np.int64) for s in shingle_sets(batch.column("text"))]}
         return step
 
     sets = saved(map_batches(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), make,
