@@ -39,7 +39,7 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pareto_mix.pareto_mix(table(spark, sf_dir, "documents")).select(
+    return pareto_mix.pareto_mix(table(spark, sf_dir, "documents"), columns=["doc_id"]).select(
         "row.doc_id", "size", "source_size", "target", "taken")
 
 
