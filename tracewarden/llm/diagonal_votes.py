@@ -11,13 +11,15 @@ import re
 from difflib import SequenceMatcher
 
 import numpy as np
-import xxhash
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewarden.llm.common import ASCII_LOWER, map_batches, strings
+from tracewarden.llm.common import ASCII_LOWER, map_batches
+from tracewarden.llm.flat_words import LOWER, Spans, byte_set, flat, pieces
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+WORD_BYTES = byte_set(lambda b: 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80)
 K = 3
 NEIGHBOUR = 8
 ACCEPT = 0.8
@@ -40,32 +42,52 @@ def words_of(text: str) -> list[str]:
     return WORDS.findall(text.translate(ASCII_LOWER))
 
 
+def spans_of(column: pa.Array) -> Spans:
+    """The lower-cased words of a column of texts."""
+    data, offsets = flat(column)
+    return Spans(LOWER[data], offsets, WORD_BYTES)
+
+
 def gram_hashes(words: list[str], k: int = K) -> np.ndarray:
-    """One 64-bit hash per run of k words."""
-    if len(words) < k:
-        return np.zeros(0, np.int64)
-    known = {w: xxhash.xxh3_64_intdigest(w) for w in set(words)}
-    h = np.fromiter((known[w] for w in words), np.uint64, len(words))
-    n = len(h) - k + 1
-    out = np.zeros(n, np.uint64)
-    for i in range(k):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + h[i:n + i]
-        out ^= out >> np.uint64(29)
-    return out.view(np.int64)
-
-
-def _base(words: list[str]):
-    text = " " + " ".join(words) + " "
-    starts, labels = [], set()
+    """One 64-bit hash per run of k words of a template."""
+    return spans_of(pa.array([" ".join(words)], pa.large_string())).grams(k)[0].view(np.int64)
+
+
+def text_grams(column: pa.Array, k: int = K) -> list[np.ndarray]:
+    """The hashes of all runs of k words of each text."""
+    out = []
+    for piece in pieces(column):
+        words = spans_of(piece)
+        grams = words.grams(k)[0].view(np.int64)
+        out += [grams[low:max(low, high - k + 1)] for low, high in zip(words.first[:-1], words.first[1:])]
+    return out
+
+
+def base_places(words: Spans) -> list[tuple[str, np.ndarray]]:
+    """Label and start words (counted through all texts) of the places of each phrase."""
+    found = []
     for phrase, label in PHRASES.items():
-        if f" {phrase} " not in text:
-            continue
-        parts = phrase.split()
-        hits = [i for i in range(len(words) - len(parts) + 1) if words[i:i + len(parts)] == parts]
-        if hits:
-            starts += hits
-            labels.add(label)
-    return starts, labels
+        n = phrase.count(" ") + 1
+        grams, whole = words.grams(n)
+        found.append((label, np.flatnonzero((grams == gram_hashes(phrase.split(), n)[0].view(np.uint64)) & whole)))
+    return found
+
+
+def base_columns(words: Spans) -> dict[str, list]:
+    """n_words, n_base, first_word, last_word and base labels of each text."""
+    rows = len(words.counts)
+    labels, places = [set() for _ in range(rows)], []
+    for label, at in base_places(words):
+        for i in np.unique(words.owner[at]):
+            labels[i].add(label)
+        places.append(at)
+    at = np.sort(np.concatenate(places))
+    owner = words.owner[at]
+    low, high = np.searchsorted(owner, np.arange(rows)), np.searchsorted(owner, np.arange(rows), "right")
+    starts = at - words.first[owner]
+    return {"n_words": words.counts.tolist(), "n_base": (high - low).tolist(),
+            "first_word": [int(starts[x]) if y > x else None for x, y in zip(low, high)],
+            "last_word": [int(starts[y - 1]) if y > x else None for x, y in zip(low, high)], "base": labels}
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, k: int = K, accept: float = ACCEPT) -> DataFrame:
@@ -85,8 +107,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, k: int
 
     def make_grams():
         def step(batch):
-            out = [gram_hashes(words_of(t), k) for t in strings(batch, "text")]
-            return {"doc_id": batch.column("doc_id"), "row_hash": batch.column("row_hash"), "grams": out}
+            return {"doc_id": batch.column("doc_id"), "row_hash": batch.column("row_hash"), "grams": text_grams(batch.column("text"), k)}
         return step
 
     grams = map_batches(texts, make_grams, "doc_id long, row_hash long, grams array<long>").select(
@@ -99,28 +120,38 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, k: int
               .groupBy("doc_id", "row_hash", "template", "span")
               .agg(F.min("diagonal").alias("low"), F.max("diagonal").alias("high"), F.sum("votes").alias("votes")))
     spans = merged.groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct("template", "low", "high", "votes")).alias("found"))
-    whole = dict(named)
+    whole = {name: [w.encode() for w in words] for name, words in named}
+
+    def verified(words: Spans, i: int, found: list):
+        """Labels, best share and spans of one text, from its merged diagonals."""
+        first, n = int(words.first[i]), int(words.counts[i])
+        labels, score, spans = set(), 0.0, []
+        for hit in found:
+            template = whole[hit["template"]]
+            begin, end = max(0, hit["low"]), min(n, hit["high"] + len(template))
+            own = [words.data[x:y].tobytes() for x, y in zip(words.starts[first + begin:first + end], words.ends[first + begin:first + end])]
+            share = sum(b.size for b in SequenceMatcher(None, own, template, autojunk=False).get_matching_blocks()) / len(template)
+            if share >= accept:
+                labels.add(hit["template"])
+                score = max(score, share)
+                spans.append({"label": hit["template"], "begin": begin, "end": end, "share": share})
+        return labels, score, spans
 
     def make_labels():
         def step(batch):
             out = {key: [] for key in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans")}
-            for text, found in zip(strings(batch, "text"), batch.column("found").to_pylist()):
-                words = words_of(text)
-                starts, base = _base(words)
-                score, labels, spans = float(bool(starts)), set(base), []
-                for hit in found or []:
-                    template = whole[hit["template"]]
-                    begin, end = max(0, hit["low"]), min(len(words), hit["high"] + len(template))
-                    blocks = SequenceMatcher(None, words[begin:end], template, autojunk=False).get_matching_blocks()
-                    share = sum(b.size for b in blocks) / len(template)
-                    if share >= accept:
-                        labels.add(hit["template"])
-                        score = max(score, share)
-                        spans.append({"label": hit["template"], "begin": begin, "end": end, "share": share})
-                for key, value in (("n_words", len(words)), ("n_base", len(starts)), ("first_word", min(starts, default=None)),
-                                   ("last_word", max(starts, default=None)), ("base_labels", ",".join(sorted(base))),
-                                   ("labels", ",".join(sorted(labels))), ("score", score), ("spans", spans)):
-                    out[key].append(value)
+            hits = iter(batch.column("found").to_pylist())
+            for piece in pieces(batch.column("text")):
+                words = spans_of(piece)
+                columns = base_columns(words)
+                for i, base in enumerate(columns.pop("base")):
+                    labels, score, spans = verified(words, i, next(hits) or [])
+                    out["base_labels"].append(",".join(sorted(base)))
+                    out["labels"].append(",".join(sorted(base | labels)))
+                    out["score"].append(max(float(bool(base)), score))
+                    out["spans"].append(spans)
+                for key, values in columns.items():
+                    out[key] += values
             return {"doc_id": batch.column("doc_id"), **out}
         return step
 
