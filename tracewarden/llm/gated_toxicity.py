@@ -41,6 +41,31 @@ def word_rows(word: str) -> tuple[int, list[int]]:
             [zlib.crc32(marked[i:i + 3].encode()) % GRAM_ROWS for i in range(max(1, len(marked) - 2))])
 
 
+def _crc_table() -> np.ndarray:
+    """The byte table of the common 32-bit checksum, from its polynomial."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> np.uint32(1)) ^ np.uint32(0xEDB88320), table >> np.uint32(1))
+    return table
+
+
+_CRC = _crc_table()
+
+
+def many_rows(words: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """word_rows of many words: word rows, all rows of the character table, and how many each word has."""
+    data = np.frombuffer("".join(f"^{w}$" for w in words).encode(), np.uint8)
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    sizes = np.array([len(w) for w in words])
+    heads = np.repeat(np.cumsum(sizes + 2) - sizes - 2, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    begin, end = at[heads], np.append(at, len(data))[heads + 3]
+    crc = np.full(len(heads), 0xFFFFFFFF, np.uint32)
+    for i in range(int((end - begin).max(initial=0))):
+        new = _CRC[(crc ^ data[np.minimum(begin + i, len(data) - 1)]) & np.uint32(255)] ^ (crc >> np.uint32(8))
+        crc = np.where(begin + i < end, new, crc)
+    return [zlib.crc32(w.encode()) % WORD_ROWS for w in words], ~crc % np.uint32(GRAM_ROWS), sizes
+
+
 def words_of(text: str) -> list[str]:
     """Lower-case words; a run of one word counts once, as its length says nothing."""
     return [w for w, _ in groupby(_WORDS.findall(text.lower()))]
@@ -62,10 +87,12 @@ class Network:
         """One input row per word."""
         if not words:
             return np.zeros((0, 2 * PART), np.float32)
-        sizes = np.array([len(g) for _, g in words])
-        grams = self.p["gram"][np.concatenate([g for _, g in words])]
-        mean = np.add.reduceat(grams, np.r_[0, np.cumsum(sizes)[:-1]], axis=0) / sizes[:, None]
-        return np.hstack([self.p["word"][[w for w, _ in words]], mean]).astype(np.float32)
+        return self.joined([w for w, _ in words], np.concatenate([g for _, g in words]), np.array([len(g) for _, g in words]))
+
+    def joined(self, words: list[int], grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Word vectors beside the means of their character vectors."""
+        sums = np.add.reduceat(self.p["gram"][grams], np.r_[0, np.cumsum(sizes)[:-1]], axis=0)
+        return np.hstack([self.p["word"][words], sums / sizes[:, None]]).astype(np.float32)
 
     def _run(self, gate, mask, d, keep):
         """Hidden states (time, batch, hidden) of one direction from the projected inputs gate(t)."""
@@ -161,7 +188,9 @@ class Scorer:
         if new:
             for i, w in enumerate(new):
                 self.number[w] = len(self.fw) + i
-            x, p = self.network.inputs([self.rows_of.get(w) or word_rows(w) for w in new]), self.network.p
+            p = self.network.p
+            known = all(w in self.rows_of for w in new)
+            x = self.network.inputs([self.rows_of[w] for w in new]) if known else self.network.joined(*many_rows(new))
             self.fw = np.vstack([self.fw, x @ p["wf"] + p["bf"]])
             self.bw = np.vstack([self.bw, x @ p["wb"] + p["bb"]])
 
