@@ -72,6 +72,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     pairs = saved(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                   .where("a < b").distinct())
+    def state(df):
+        # count and checksum of the pairs: equal before and after a round once nothing changes
+        return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first())
+
+    known = state(pairs)
     for _ in range(max_rounds):
         both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -82,10 +87,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         following = saved(
             small.select(F.col("m").alias("a"), "b")
             .union(small.where("a != m").select(F.col("m").alias("a"), F.col("a").alias("b"))).distinct())
-        same = (following.count() == pairs.count()
-                and following.join(pairs, ["a", "b"], "left_anti").isEmpty())
-        pairs = following
-        if same:
+        pairs, before, known = following, known, state(following)
+        if known == before:
             break
     else:
         raise RuntimeError("components did not settle")
