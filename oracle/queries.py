@@ -536,7 +536,7 @@ CTES["mentioned"] = (("messages", "identity", "risk"), f"""
       SELECT conv_id, turn, CASE WHEN starts_with(m, 'USR') AND contains(m, '-') THEN m
           ELSE regexp_replace(m, '[\\s_-]', '', 'g') END AS user_id
       FROM (SELECT conv_id, turn, upper(unnest(regexp_extract_all(text,
-        '(?i)\\b(EMP\\s*[-_]?\\s*\\d{{1,6}}|USR\\s*[-_]?\\s*\\d{{1,6}})\\b', 1))) AS m FROM messages))
+        '(?i)\\b(EMP\\s*[-_]?\\s*\\d+|USR\\s*[-_]?\\s*\\d+)\\b', 1))) AS m FROM messages))
     UNION ALL
     SELECT conv_id, turn, n.user_id, TRUE, 'name' FROM messages m JOIN (
       SELECT user_id, full_name AS name FROM identity WHERE user_id IS NOT NULL

@@ -80,3 +80,14 @@ def test_absent_inputs_and_outputs(spark, exports, tmp_path):
     assert tuple(report) == ("nothing", False, 0)
     with pytest.raises(FileNotFoundError):
         published.require_outputs(spark, str(tmp_path))
+
+
+def test_csv_files_with_other_header_order_are_refused(spark, tmp_path):
+    from tracewarden.schemas import RAW_COLUMNS
+    from tracewarden.sources.raw import scan_csv
+
+    names = list(RAW_COLUMNS["firewall"])
+    for i, header in enumerate((names, names[::-1])):
+        (tmp_path / f"{i}.csv").write_text(",".join(header) + "\n" + ",".join(f"{i}_{n}" for n in header) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_csv(spark, str(tmp_path), "firewall").collect()

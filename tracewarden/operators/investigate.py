@@ -45,7 +45,8 @@ def existing_users(candidates: DataFrame, identity: DataFrame, risk: DataFrame)
     return wanted.join(known_users(identity, risk), "user_id", "left_semi")
 
 
-_ID = r"(?i)\b(EMP\s*[-_]?\s*\d{1,6}|USR\s*[-_]?\s*\d{1,6})\b"
+# ids of any length: beyond six digits they are as valid in a large directory
+_ID = r"(?i)\b(EMP\s*[-_]?\s*\d+|USR\s*[-_]?\s*\d+)\b"
 _SHORTEST_NAME = 4
 
 

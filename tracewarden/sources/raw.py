@@ -50,7 +50,9 @@ def scan_csv(
     machine-written fields have none, so that large files are split.
     """
     breaks = table != "firewall" if multi_line is None else multi_line
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", breaks)
+    # without enforceSchema a file whose header differs from the first one's is an error
+    reader = (spark.read.option("header", True).option("escape", '"').option("multiLine", breaks)
+              .option("enforceSchema", False))
     return with_null_tokens(require_columns(reader.csv(path), table))
 
 
@@ -77,8 +79,9 @@ def scan_json_lines(spark: SparkSession, path: str, table: str = "iam") -> DataF
 
 
 def scan_parquet(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Parquet export of a raw table; columns become text."""
-    return _all_text(require_columns(spark.read.parquet(path), table))
+    """Parquet export of a raw table; columns become text, under the missing-value rule of CSV."""
+    df = _all_text(require_columns(spark.read.parquet(path), table))
+    return df if table == "iam" else with_null_tokens(df)
 
 
 SCANS = {
