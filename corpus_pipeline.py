@@ -11,6 +11,9 @@ from tracewarden.llm.common import table
 from tracewarden.llm.queries import WORD_VOCABULARY, vocabulary
 from tracewarden.session import ensure_checkpoint_dir
 
+# similarity of word shingles that counts as near in the pipeline (op4 has its own)
+NEAR_PERCENT = 80
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_cascade.quality_filter(docs)
@@ -21,7 +24,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return chosen_path.distinct_documents(docs)
+    return chosen_path.distinct_documents(docs, NEAR_PERCENT)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
