@@ -52,3 +52,29 @@ def test_pipeline_stage_links_from_80_percent(spark):
     assert len(want) < len({i for i, c in enumerate(brute(texts, 85)) if i == c})
     df = spark.createDataFrame(list(enumerate(texts)), DOCS)
     assert {r.doc_id for r in corpus_pipeline.dedup_stage(spark, df, "").collect()} == want
+
+
+def test_refused_attachments_keep_their_links(spark):
+    """Hundreds of texts just below the similarity to the first one, each linked by one that is above it."""
+    rng = np.random.default_rng(9)
+    base = [f"w{x}" for x in range(404)]
+    texts = [" ".join(base)]
+    for k in range(400):
+        # y changes a few words at the end, x those and a run in front: x is at 0.848 to the base, 0.852 to y
+        y, x = list(base), list(base)
+        y[-1] = x[-1] = f"end{k}"
+        run = 28
+        at = int(rng.integers(5, 360))
+        x[at:at + run] = [f"new{k}x{i}" for i in range(run)]
+        texts += [" ".join(y), " ".join(x)]
+    got = chosen_path.near_documents(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()
+    want = brute(texts, 85)
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(want))
+
+
+def test_large_group_of_similarities_between_80_and_90(spark):
+    rng = np.random.default_rng(10)
+    base = [f"w{x}" for x in range(204)]
+    texts = [" ".join(base)] + [" ".join(changed(rng, base, 1, 24)) for _ in range(400)]
+    got = chosen_path.near_documents(spark.createDataFrame(list(enumerate(texts)), DOCS), 80).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(brute(texts, 80)))

@@ -4,8 +4,9 @@ Documents with equal shingle sets become one representative. Independent trees b
 representatives: a node picks two minwise coordinates and sends each member to the children
 named by its tokens there, so similar pairs keep meeting (2 * 0.8 > 1 children each) and others
 die out. Small nodes are compared exhaustively. In a large node the members close to its pivot
-are attached to it and leave; members that the triangle inequality still allows to be near an
-attached one are compared with those, and the rest branches on. Links are confirmed on full sets.
+are attached to it and leave once the link is confirmed on full sets; members that the triangle
+inequality still allows to be near an attached one are compared with those, and the rest, refused
+ones included, branches on. All links are confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -87,11 +88,12 @@ def _pairs(rows: DataFrame, others: DataFrame, least: float) -> DataFrame:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "alike"))
 
 
-def _candidates(reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, alike) of representatives that may reach the similarity."""
+def _candidates(reps: DataFrame, docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs (a, b, alike) of representatives that may reach the similarity, and the confirmed
+    links (a, b) of attached members to their pivots."""
     least = percent / 100 - SLACK
     nodes = reps.select(F.explode(F.array(*[F.lit(t).cast("long") for t in range(TREES)])).alias("node"), "id", "sig")
-    found = None
+    found = tried = linked = None
     for depth in range(DEPTH + 1):
         pick = F.pmod(F.xxhash64("node", F.lit(depth)), F.lit(COORDINATES)).cast("int")
         other = F.pmod(pick + 1 + F.pmod(F.xxhash64("node", F.lit(-1 - depth)), F.lit(COORDINATES - 1)).cast("int"), F.lit(COORDINATES))
@@ -106,17 +108,28 @@ def _candidates(reps: DataFrame, percent: int) -> DataFrame:
         if more:
             pivots = large.where("id = pivot").select("node", F.col("sig").alias("pivot_sig")).dropDuplicates(["node"])
             near = saved(large.join(pivots, "node").withColumn("alike", _alike("sig", "pivot_sig")).drop("pivot_sig"))
-            attached = near.where((F.col("alike") >= SURE) & (F.col("id") != F.col("pivot")))
-            rest = near.where((F.col("alike") < SURE) | (F.col("id") == F.col("pivot")))
+            close = near.where((F.col("alike") >= SURE) & (F.col("id") != F.col("pivot")))
+            pairs = close.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+            # another node may have asked for the same pair already
+            asked = saved(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+            tried = asked if tried is None else tried.union(asked)
+            if not asked.isEmpty():
+                new = saved(_confirm(asked, docs, percent))
+                linked = new if linked is None else linked.union(new)
+            if linked is not None:
+                near = saved(near.join(linked.select(F.col("a").alias("pivot"), F.col("b").alias("id"), F.lit(True).alias("linked")),
+                                       ["pivot", "id"], "left"))
+            else:
+                near = near.withColumn("linked", F.lit(None).cast("boolean"))
+            attached, rest = near.where("linked is not null"), near.where("linked is null")
             edge = rest.where((F.col("id") != F.col("pivot")) & (F.col("alike") >= SURE - (1 - percent / 100) - SLACK))
-            out = (out.union(attached.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"), "alike"))
-                   .union(_pairs(edge, attached, least)))
+            out = out.union(_pairs(edge, attached, least))
             nodes = rest.select("node", "id", "sig")
         out = saved(out.groupBy("a", "b").agg(F.max("alike").alias("alike")))
         found = out if found is None else found.union(out)
         if not more:
             break
-    return saved(found.groupBy("a", "b").agg(F.max("alike").alias("alike")))
+    return saved(found.groupBy("a", "b").agg(F.max("alike").alias("alike"))), linked
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -149,10 +162,14 @@ def near_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     groups = saved(groups)
     reps = (prints.where("node is not null").join(groups, "node").where("doc_id = id")
             .select("id", "sig").dropDuplicates(["id"]))
-    pairs = _candidates(saved(reps), percent)
+    pairs, linked = _candidates(saved(reps), docs, percent)
     # one likely link per document settles most of the groups; only pairs still apart go on
     first = pairs.groupBy("b").agg(F.max_by("a", F.struct("alike", -F.col("a"))).alias("a")).select("a", "b")
-    sure = saved(_confirm(saved(first), docs, percent))
+    if linked is not None:
+        first = first.join(linked.select("b").distinct(), "b", "left_anti").select("a", "b")
+    first = saved(first)
+    sure = _confirm(first, docs, percent)
+    sure = saved(sure if linked is None else sure.union(linked))
     part = components(sure)
     def root(name):
         return part.select(F.col("node").alias(name), F.col("component").alias(f"root_{name}"))
