@@ -78,3 +78,16 @@ def test_large_group_of_similarities_between_80_and_90(spark):
     texts = [" ".join(base)] + [" ".join(changed(rng, base, 1, 24)) for _ in range(400)]
     got = chosen_path.near_documents(spark.createDataFrame(list(enumerate(texts)), DOCS), 80).collect()
     assert {r.doc_id: r.component_id for r in got} == dict(enumerate(brute(texts, 80)))
+
+
+def test_null_and_equal_ids_keep_their_texts(spark):
+    a, b, c, d = ("".join(f"{x}{i} " for i in range(120)) for x in "abcd")
+    rows = [(None, a), (None, b), (None, b + "more"), (3, c), (3, d), (3, d), (-5, c + "more"), (None, ""), (7, "")]
+    df = spark.createDataFrame(rows, DOCS)
+    got = {(r.doc_id, r.text) for r in chosen_path.distinct_documents(df).collect()}
+    either = got & {(None, b), (None, b + "more")}
+    assert len(either) == 1
+    assert got - either == {(None, a), (-5, c + "more"), (3, d), (None, ""), (7, "")}
+    assert chosen_path.distinct_documents(df).count() == 6
+    near = {(r.doc_id, r.component_id, r.kept) for r in chosen_path.near_documents(df).collect()}
+    assert (3, -5, False) in near and (3, 3, True) in near and (-5, -5, True) in near and (7, 7, True) in near

@@ -28,6 +28,7 @@ SMALL = 32
 DEPTH = 6
 # estimates from 64 coordinates stray by 0.045 (one sigma) at 0.85, by 0.05 at 0.80
 SURE, SLACK = 0.92, 0.19
+_LOWEST = -2 ** 63
 _SEEDS = np.random.default_rng(11).integers(1, 2 ** 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
 
 
@@ -60,17 +61,36 @@ def minwise(shingles: np.ndarray) -> np.ndarray:
     return (low >> np.uint64(16)).astype(np.uint32).view(np.int32)
 
 
+def _row_key():
+    """Never null: the id and the text of a row; rows that repeat both are one row."""
+    return F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(" "),
+                    F.coalesce(F.md5("text"), F.lit("null")))
+
+
+def _group_key():
+    """(doc_id, node) as bytes in the order of the ids, null ids last, so that the smallest key of a
+    component belongs to its smallest id."""
+    ordered = F.lpad(F.hex(F.col("doc_id").bitwiseXOR(F.lit(_LOWEST))), 16, "0")
+    return F.concat(F.unhex(F.coalesce(F.concat(F.lit("00"), ordered), F.lit("01" + "F" * 16))), "node")
+
+
+def _key_id(key: str):
+    """The doc_id of a group key."""
+    return F.when(F.hex(F.substring(key, 1, 1)) == "00",
+                  F.conv(F.hex(F.substring(key, 2, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(_LOWEST)))
+
+
 def _fingerprints(docs: DataFrame) -> DataFrame:
     def make():
         def step(batch):
             sets = shingle_sets(batch.column("text"))
-            return {"doc_id": batch.column("doc_id"), "n_shingles": [len(s) for s in sets],
+            return {"doc_id": batch.column("doc_id"), "row_key": batch.column("row_key"), "n_shingles": [len(s) for s in sets],
                     "node": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
                     "sig": [minwise(s) if len(s) else None for s in sets]}
         return step
 
-    return map_batches(docs.select("doc_id", "text"), make,
-                       "doc_id long, n_shingles long, node binary, sig array<int>")
+    return map_batches(docs.select("doc_id", "text", _row_key().alias("row_key")), make,
+                       "doc_id long, row_key string, n_shingles long, node binary, sig array<int>")
 
 
 def _alike(x: str, y: str):
@@ -114,7 +134,7 @@ def _candidates(reps: DataFrame, docs: DataFrame, percent: int) -> tuple[DataFra
             asked = saved(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
             tried = asked if tried is None else tried.union(asked)
             if not asked.isEmpty():
-                new = saved(_confirm(asked, docs, percent))
+                new = saved(_confirm(asked, docs, reps, percent))
                 linked = new if linked is None else linked.union(new)
             if linked is not None:
                 near = saved(near.join(linked.select(F.col("a").alias("pivot"), F.col("b").alias("id"), F.lit(True).alias("linked")),
@@ -132,43 +152,40 @@ def _candidates(reps: DataFrame, docs: DataFrame, percent: int) -> tuple[DataFra
     return saved(found.groupBy("a", "b").agg(F.max("alike").alias("alike"))), linked
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    wanted = reps.select("id", "row_key").join(wanted, "id", "left_semi")
 
     def make():
         def step(batch):
-            return {"doc_id": batch.column("doc_id"),
+            return {"id": batch.column("id"),
                     "shingles": [s.view(np.int64) for s in shingle_sets(batch.column("text"))]}
         return step
 
-    sets = saved(map_batches(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), make,
-                             "doc_id long, shingles array<long>"))
+    texts = docs.select(_row_key().alias("row_key"), "text").join(wanted, "row_key").select("id", "text")
+    # rows may repeat an id and its text
+    sets = saved(map_batches(texts, make, "id binary, shingles array<long>").dropDuplicates(["id"]))
     common = F.size(F.array_intersect("x", "y"))
-    return (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-            .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
+    return (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
+            .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
             .where(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b").distinct())
 
 
-def near_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row.
-
-    Null, empty and wordless texts have no shingles and link with nothing. Rows that repeat an id
-    share its component; a null doc_id gets the smallest id of equal texts. An empty table gives an
-    empty result; other columns are not read.
-    """
-    prints = saved(_fingerprints(docs))
-    groups = prints.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("id"))
-    groups = saved(groups)
-    reps = (prints.where("node is not null").join(groups, "node").where("doc_id = id")
-            .select("id", "sig").dropDuplicates(["id"]))
-    pairs, linked = _candidates(saved(reps), docs, percent)
+def _row_components(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, row_key, n_shingles, component_id, kept of every row."""
+    prints = saved(_fingerprints(docs).withColumn("id", _group_key()))
+    groups = saved(prints.where("node is not null").groupBy("node").agg(F.min(F.struct("id", "row_key")).alias("low"))
+                   .select("node", "low.id", F.col("low.row_key").alias("first_key")))
+    reps = saved(prints.where("node is not null").drop("id").join(groups, "node").where("row_key = first_key")
+                 .select("id", "row_key", "sig").dropDuplicates(["id"]))
+    pairs, linked = _candidates(reps, docs, percent)
     # one likely link per document settles most of the groups; only pairs still apart go on
-    first = pairs.groupBy("b").agg(F.max_by("a", F.struct("alike", -F.col("a"))).alias("a")).select("a", "b")
+    first = pairs.groupBy("b").agg(F.max_by("a", "alike").alias("a")).select("a", "b")
     if linked is not None:
         first = first.join(linked.select("b").distinct(), "b", "left_anti").select("a", "b")
     first = saved(first)
-    sure = _confirm(first, docs, percent)
+    sure = _confirm(first, docs, reps, percent)
     sure = saved(sure if linked is None else sure.union(linked))
     part = components(sure)
     def root(name):
@@ -176,15 +193,30 @@ def near_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     apart = (pairs.select("a", "b").join(root("a"), "a", "left").join(root("b"), "b", "left")
              .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
              .join(first, ["a", "b"], "left_anti"))
-    links = sure.union(_confirm(saved(apart), docs, percent))
+    links = sure.union(_confirm(saved(apart), docs, reps, percent))
     comp = components(links).select(F.col("node").alias("id"), "component")
-    summary = groups.join(comp, "id", "left").select("node", F.coalesce("component", "id").alias("component_id"))
-    return (prints.join(summary, "node", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-            .withColumn("kept", F.expr("doc_id <=> component_id")))
+    own = F.coalesce("component", "id")
+    summary = groups.join(comp, "id", "left").select(
+        "node", "first_key", _key_id(own).alias("component_id"), (own == F.col("id")).alias("leads"))
+    return (prints.drop("id", "sig").join(summary, "node", "left").select(
+        "doc_id", "row_key", "n_shingles",
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce(F.col("leads") & (F.col("row_key") == F.col("first_key")), F.lit(True)).alias("kept")))
+
+
+def near_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row.
+
+    Null, empty and wordless texts have no shingles and link with nothing. Rows are told apart by id
+    and text: of two texts under one id, or under null ids, each is searched. component_id is the
+    smallest id of the component, null only where all its ids are; kept is true for one (id, text)
+    of each. An empty table gives an empty result; other columns are not read.
+    """
+    return _row_components(docs, percent).drop("row_key")
 
 
 def distinct_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One document of each group with all its columns; of rows that repeat an id one stays."""
-    keep = near_documents(docs, percent).where("kept").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One document of each group with all its columns; of rows that repeat id and text one stays."""
+    keep = _row_components(docs, percent).where("kept").select("row_key").distinct()
+    keyed = docs.withColumn("row_key", _row_key())
+    return keyed.join(keep, "row_key", "left_semi").dropDuplicates(["row_key"]).select(*docs.columns)
