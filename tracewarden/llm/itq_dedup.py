@@ -4,8 +4,9 @@ Rotations are learnt on a bounded sample (principal axes, then alternating codes
 rotations) with a median offset per bit, so bits are balanced. Their bits are cut into substrings
 of about log2(n) bits, one hash table each; vectors that agree in a substring and whose whole
 codes are near in Hamming distance are compared by the cosine of the original vectors. The number of tables is
-raised until pairs made at exactly the threshold are found at the wanted rate. Equal vectors
-are one entry with a count, so copies never multiply.
+raised until pairs made at exactly the threshold, and the sample's own near pairs, are found at the
+wanted rate; where the most tables do not reach it (medians cut through a tight cluster), substrings
+are shortened until they do. Equal vectors are one entry with a count, so copies never multiply.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ THRESHOLD = 0.95
 RECALL = 0.97
 SAMPLE_ROWS = 4096
 MOST_TABLES = 96
+# the sample's own pairs count from so many on, and so many of them are looked at
+FEW_PAIRS, MOST_PAIRS = 50, 4096
 
 
 def matrix(values: list, width: int) -> np.ndarray:
@@ -52,6 +55,18 @@ def learn_rotation(sample: np.ndarray, seed: int, rounds: int = 20) -> tuple[np.
     return whole, np.median(sample @ whole, axis=0)
 
 
+def near_pairs(sample: np.ndarray, threshold: float, rng) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the sample's pairs at the threshold or above, a random part where they are many."""
+    parts = []
+    for at in range(0, len(sample), 256):
+        x, y = np.nonzero(sample[at:at + 256] @ sample.T >= threshold)
+        parts.append(np.stack([x + at, y])[:, x + at < y])
+    pairs = np.hstack(parts)
+    if pairs.shape[1] > MOST_PAIRS:
+        pairs = pairs[:, rng.choice(pairs.shape[1], MOST_PAIRS, replace=False)]
+    return pairs[0], pairs[1]
+
+
 class Index:
     """Rotations, tables and the Hamming radius, all learnt from the sample."""
 
@@ -63,23 +78,37 @@ class Index:
         noise -= (noise * sample).sum(axis=1, keepdims=True) * sample
         noise /= np.maximum(np.linalg.norm(noise, axis=1, keepdims=True), 1e-12)
         partner = threshold * sample + math.sqrt(1 - threshold ** 2) * noise
+        x, y = near_pairs(sample, threshold, rng)
         self.rotations, self.tables = [], 0
         while True:
             self.rotations.append(learn_rotation(sample, seed + len(self.rotations)))
-            same = self.codes(sample) == self.codes(partner)
+            codes = self.codes(sample)
+            same = codes == self.codes(partner)
+            # the average over all vectors must not hide the crowded ones
+            kinds = [same] + ([codes[x] == codes[y], same[np.unique(np.append(x, y))]] if len(x) >= FEW_PAIRS else [])
             self.tables = min(same.shape[1] // self.bits, MOST_TABLES)
             if not self.tables:
                 continue
-            found = same[:, :self.tables * self.bits].reshape(len(sample), self.tables, self.bits).all(axis=2)
-            rate = np.logical_or.accumulate(found, axis=1).mean(axis=0)
+            rate = self._rate(kinds)
+            while rate[-1] < recall and self.tables == MOST_TABLES and self.bits > 1:
+                self.bits -= 1
+                rate = self._rate(kinds)
             if rate[-1] >= recall:
                 self.tables = int(np.argmax(rate >= recall)) + 1
                 break
             if self.tables == MOST_TABLES:
-                break
+                raise ValueError(f"recall {rate[-1]:.3f} of near vectors is below {recall}")
         self.recall = float(rate[self.tables - 1])
         self.code_bits = min(64, same.shape[1])
-        self.radius = int((~same[:, :self.code_bits]).sum(axis=1).max(initial=0))
+        self.radius = max(int((~k[:, :self.code_bits]).sum(axis=1).max(initial=0)) for k in kinds)
+
+    def _rate(self, kinds: list[np.ndarray]) -> np.ndarray:
+        """Share of the pairs found by the first 1, 2, ... tables, of the kind found worst."""
+        rates = []
+        for same in kinds:
+            found = same[:, :self.tables * self.bits].reshape(len(same), self.tables, self.bits).all(axis=2)
+            rates.append(np.logical_or.accumulate(found, axis=1).mean(axis=0))
+        return np.min(rates, axis=0)
 
     def codes(self, vectors: np.ndarray) -> np.ndarray:
         return np.hstack([vectors @ r >= offset for r, offset in self.rotations])
