@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -64,6 +65,20 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows as a Parquet table below the shared checkpoint folder, and the folder of that table."""
+    spark = df.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder), folder
+
+
+def discarded(spark: SparkSession, folder: str) -> None:
+    """Delete a table that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of the edges (a, b): the smallest node reachable.
 

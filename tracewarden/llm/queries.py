@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewarden.llm import (block_tree, chat_format, chosen_path, diagonal_votes, gated_toxicity, itq_dedup, merge_rounds,
-                             pareto_mix, quality_cascade, token_counts)
+from tracewarden.llm import (block_tree, chat_format, chosen_path, diagonal_votes, gated_toxicity, itq_dedup,
+                             jacobi_whitening, merkle_manifest, merge_rounds, pareto_mix, quality_cascade, token_counts)
 from tracewarden.llm.common import table
 
 WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -62,7 +62,16 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.conversation_digests(rows.withColumn("turn", F.col("turn").cast("long")).unionByName(extra), vocabulary(BYTE_VOCABULARY))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jacobi_whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_quality_rules, op3_embedding_near_dedup, op4_minhash_near_dedup, op5_html_extraction,
-    op6_source_mix, op7_toxicity, op8_license_scan, op9_bpe_round_trip, op10_chat_format)}
-SQL: dict[str, str] = {}
+    op6_source_mix, op7_toxicity, op8_license_scan, op9_bpe_round_trip, op10_chat_format, op11_merkle_manifest,
+    op12_embedding_whitening)}
+SQL: dict[str, str] = {"op11_merkle_manifest": merkle_manifest.manifest_sql()}
