@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewarden.llm import (block_tree, chat_format, chosen_path, diagonal_votes, gated_toxicity, itq_dedup,
-                             jacobi_whitening, merkle_manifest, merge_rounds, pareto_mix, quality_cascade, token_counts)
+                             jacobi_whitening, merkle_manifest, merge_rounds, pareto_mix, quality_cascade, suffix_dedup, token_counts)
 from tracewarden.llm.common import table
 
 WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -70,8 +70,12 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jacobi_whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_quality_rules, op3_embedding_near_dedup, op4_minhash_near_dedup, op5_html_extraction,
     op6_source_mix, op7_toxicity, op8_license_scan, op9_bpe_round_trip, op10_chat_format, op11_merkle_manifest,
-    op12_embedding_whitening)}
+    op12_embedding_whitening, op13_suffix_array_dedup)}
 SQL: dict[str, str] = {"op11_merkle_manifest": merkle_manifest.manifest_sql()}
