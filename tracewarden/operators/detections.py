@@ -1,4 +1,7 @@
-"""The five threat rules and the published detection table."""
+"""The five threat rules and the published detection table.
+
+The rules read the narrow events of ``signals.user_signals``, published once, instead of the logs.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +12,7 @@ from ..functions.identifiers import link_hostname, link_key
 from ..schemas import DETECTION_COLUMNS
 from .nearest import closest_pairs
 from .ranking import number_rows
-from .signals import at_micros, endpoint_signals, iam_signals, post_termination
+from .signals import HOST_KEYS, at_micros, post_termination, termination_dates
 
 HOUR_MICROS = 3_600_000_000
 
@@ -30,8 +33,8 @@ def _detection(
     )
 
 
-def post_termination_activity(identity: DataFrame, iam: DataFrame, endpoint: DataFrame) -> DataFrame:
-    after = post_termination(identity, iam, endpoint, link_key)
+def post_termination_activity(identity: DataFrame, events: DataFrame) -> DataFrame:
+    after = post_termination(events, termination_dates(identity, link_key))
     n_iam, n_end = F.col("iam_events"), F.col("endpoint_events")
     both = (n_iam > 0) & (n_end > 0)
     parts = F.concat_ws(
@@ -54,56 +57,56 @@ def post_termination_activity(identity: DataFrame, iam: DataFrame, endpoint: Dat
     )
 
 
-def credential_compromise(
-    iam: DataFrame, endpoint: DataFrame, window_hours: int = 24, compat: bool = False
-) -> DataFrame:
+def credential_compromise(events: DataFrame, window_hours: int = 24, compat: bool = False) -> DataFrame:
     """Failed and MFA-failed sign-ins with a credential alert in the window after an IAM event.
 
-    One forward time frame per IAM event; the user's earliest qualifying event reports. Events
-    are first collapsed to (user, time). Frames are cut into window-long slices of a user, each
-    with a copy of the following slice, so a task holds two slices of one user at most.
+    The user's earliest qualifying event reports. Events are first collapsed to (user, time) and
+    cut into window-long slices of a user, so that the window of an anchor is the rest of its own slice
+    and the beginning of the next one. Two points of an anchor read running totals: its own time in its slice,
+    where the total of the slice less what came before is in the window, and its end in the next
+    slice. So the work is linear in the events of a slice, and a busy user is spread over its slices.
+    Hosts are fetched for the reporting events only.
     """
     span = window_hours * HOUR_MICROS
     c = F.col
-    zero = F.lit(0)
-    sign_ins = iam_signals(iam, compat).select(
-        "user_key", "us", F.lit(1).alias("anchors"),
-        c("failed_auth_flag").cast("int").alias("failed"),
-        c("mfa_failure_flag").cast("int").alias("mfa"), zero.alias("alerts"),
-        c("hostname_key").alias("iam_host"), F.lit(None).cast("string").alias("alert_host"),
-    )
-    alerts = endpoint_signals(endpoint, compat).where("credential_flag").select(
-        "user_key", "us", zero.alias("anchors"), zero.alias("failed"), zero.alias("mfa"),
-        F.lit(1).alias("alerts"), F.lit(None).cast("string").alias("iam_host"),
-        c("hostname_key").alias("alert_host"),
-    )
-    sums = ("anchors", "failed", "mfa", "alerts")
-    moments = (
-        sign_ins.unionByName(alerts).where("user_key IS NOT NULL AND us IS NOT NULL")
-        .groupBy("user_key", "us").agg(
-            *[F.sum(n).alias(n) for n in sums],
-            F.min("iam_host").alias("iam_host"), F.min("alert_host").alias("alert_host"),
-        )
-        .withColumn("own_slice", F.floor(c("us") / span))
-        .withColumn("slice", F.explode(F.array(c("own_slice"), c("own_slice") - 1)))
-    )
-    frame = Window.partitionBy("user_key", "slice").orderBy("us").rangeBetween(0, span)
-    host = F.coalesce(
-        F.first("iam_host", ignorenulls=True).over(frame),
-        F.first("alert_host", ignorenulls=True).over(frame),
-    )
-    framed = moments.select(
-        "user_key", "us", "slice", "own_slice", "anchors",
-        *[F.sum(n).over(frame).alias(f"{n}_in") for n in ("failed", "mfa", "alerts")],
-        F.max("us").over(frame).alias("last_us"), host.alias("host"),
-    )
+    signs = events.where("user_key IS NOT NULL AND us IS NOT NULL").where("is_iam OR credential_flag").select(
+        "user_key", "us", "is_iam", c(HOST_KEYS[compat]).alias("host"),
+        (c("is_iam") & c("failed_auth_flag")).cast("int").alias("failed"),
+        (c("is_iam") & c("mfa_failure_flag")).cast("int").alias("mfa"), (~c("is_iam")).cast("int").alias("alerts"))
+    # a user without any credential alert cannot qualify
+    seen = signs.join(signs.where("NOT is_iam").select("user_key").distinct(), "user_key", "left_semi")
+    sums = ("failed", "mfa", "alerts")
+    moments = seen.groupBy("user_key", "us").agg(
+        F.max("is_iam").alias("anchor"), *[F.sum(n).alias(n) for n in sums])
+    slice_of = F.floor(c("us") / span)
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(slice_of.alias("slice"), c("us").alias("at"), F.lit(0).alias("turn"), *sums)
+    end = F.struct((slice_of + 1).alias("slice"), (c("us") + span).alias("at"), F.lit(1).alias("turn"), *[zero.alias(n) for n in sums])
+    turns = moments.select("user_key", c("us").alias("anchor_us"), "anchor", F.inline(
+        F.filter(F.array(start, F.when(c("anchor"), end)), lambda p: p.isNotNull())))
+    whole = Window.partitionBy("user_key", "slice")
+    running = whole.orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    is_start = c("turn") == 0
+    event_us = F.when(is_start, c("at"))
+    points = turns.select(
+        "user_key", "anchor_us", "anchor",
+        *[F.when(is_start, F.sum(n).over(whole) - F.sum(n).over(running) + c(n)).otherwise(F.sum(n).over(running)).alias(n)
+          for n in sums],
+        F.when(is_start, F.max(event_us).over(whole)).otherwise(F.max(event_us).over(running)).alias("last_us"))
     first = (
-        framed.where("slice = own_slice AND anchors > 0")
+        points.where("anchor").groupBy("user_key", "anchor_us").agg(
+            *[F.sum(n).alias(f"{n}_in") for n in sums], F.max("last_us").alias("last_us"))
         .where("failed_in >= 3 AND mfa_in >= 2 AND alerts_in >= 1")
         .groupBy("user_key").agg(F.min(F.struct(
-            "us", "failed_in", "mfa_in", "alerts_in", "last_us", "host")).alias("hit"))
+            c("anchor_us").alias("us"), "failed_in", "mfa_in", "alerts_in", "last_us")).alias("hit"))
         .select("user_key", "hit.*")
     )
+    named = signs.where("host IS NOT NULL").select("user_key", c("us").alias("seen_us"), "is_iam", "host")
+    inside = (named["user_key"] == first["user_key"]) & c("seen_us").between(c("us"), c("us") + span)
+    place = F.struct("seen_us", "host")
+    first = first.join(named, inside, "left").groupBy(first["user_key"], *first.columns[1:]).agg(
+        F.min(F.when(c("is_iam"), place)).alias("iam_host"), F.min(F.when(~c("is_iam"), place)).alias("alert_host")
+    ).withColumn("host", F.coalesce("iam_host.host", "alert_host.host"))
     evidence = F.concat(
         c("failed_in").cast("string"), F.lit(" failed authentication events, "),
         c("mfa_in").cast("string"), F.lit(" MFA failures, and "), c("alerts_in").cast("string"),
@@ -118,7 +121,7 @@ def credential_compromise(
 
 def closest_by_host_then_user(
     events: DataFrame, is_left: Column, is_right: Column, right_info: Column | None,
-    window_hours: int,
+    window_hours: int, host_key: str = "hostname_key",
 ) -> DataFrame:
     """Per user the closest pair on one host within the window, else the closest pair at all.
 
@@ -131,9 +134,9 @@ def closest_by_host_then_user(
         return closest_pairs(df, keys, F.col("us"), is_left, is_right, right_info, limit)
 
     same_host = (
-        closest(["user_key", "hostname_key"], usable.where("hostname_key IS NOT NULL"))
+        closest(["user_key", host_key], usable.where(F.col(host_key).isNotNull()))
         .groupBy("user_key").agg(F.min(F.struct(
-            "gap_us", "left_us", "right_us", F.col("hostname_key").alias("host"), "right_info",
+            "gap_us", "left_us", "right_us", F.col(host_key).alias("host"), "right_info",
         )).alias("on_host"))
     )
     any_host = closest(["user_key"], usable).select("user_key", F.struct(
@@ -145,12 +148,10 @@ def closest_by_host_then_user(
     ).select("user_key", "pair.*")
 
 
-def malware_lateral_movement(
-    endpoint: DataFrame, window_hours: int = 24, compat: bool = False
-) -> DataFrame:
+def malware_lateral_movement(events: DataFrame, window_hours: int = 24, compat: bool = False) -> DataFrame:
     pairs = closest_by_host_then_user(
-        endpoint_signals(endpoint, compat), F.col("malware_flag"), F.col("lateral_flag"), None,
-        window_hours,
+        events.where("malware_flag OR lateral_flag"), F.col("malware_flag"), F.col("lateral_flag"), None,
+        window_hours, HOST_KEYS[compat],
     )
     c, on_host = F.col, F.col("host").isNotNull()
     within = f"within {window_hours} hours"
@@ -172,27 +173,16 @@ def malware_lateral_movement(
     )
 
 
-def administrative_events(iam: DataFrame, endpoint: DataFrame, compat: bool = False) -> DataFrame:
-    """High-risk IAM events (left) and PowerShell or tampering alerts (right)."""
-    left = iam_signals(iam, compat).where("high_risk_flag").select(
-        "user_key", "hostname_key", "us", F.lit(True).alias("is_left"),
-        F.lit(None).cast("string").alias("alert_id"),
-        F.lit(False).alias("powershell_flag"), F.lit(False).alias("tampering_flag"),
-    )
-    right = endpoint_signals(endpoint, compat).where("powershell_flag OR tampering_flag").select(
-        "user_key", "hostname_key", "us", F.lit(False).alias("is_left"), "alert_id",
-        "powershell_flag", "tampering_flag",
-    )
-    return left.unionByName(right)
+# PowerShell or tampering alerts, which pair with high-risk IAM events
+ADMINISTRATIVE = "powershell_flag OR tampering_flag"
 
 
-def administrative_abuse(
-    iam: DataFrame, endpoint: DataFrame, window_hours: int = 24, compat: bool = False
-) -> DataFrame:
+def administrative_abuse(events: DataFrame, window_hours: int = 24, compat: bool = False) -> DataFrame:
     info = F.struct("alert_id", "powershell_flag", "tampering_flag")
+    is_left, is_right = F.col("high_risk_flag"), F.expr(ADMINISTRATIVE)
     pairs = closest_by_host_then_user(
-        administrative_events(iam, endpoint, compat), F.col("is_left"), ~F.col("is_left"), info,
-        window_hours,
+        events.where(is_left | is_right), is_left, is_right, info,
+        window_hours, HOST_KEYS[compat],
     )
     c, on_host = F.col, F.col("host").isNotNull()
     indicators = F.concat_ws(
@@ -219,24 +209,18 @@ def administrative_abuse(
     )
 
 
-def identity_hostname_mismatch(
-    identity: DataFrame, iam: DataFrame, endpoint: DataFrame, compat: bool = False
-) -> DataFrame:
+def identity_hostname_mismatch(identity: DataFrame, events: DataFrame, compat: bool = False) -> DataFrame:
     """(user, host) pairs seen at least twice that the identity master does not list.
 
     Events are counted per pair before the anti join, so the join sees each pair once.
     """
     pair = ["user_key", "hostname_key"]
-
-    def seen(df: DataFrame) -> DataFrame:
-        return df.select(*pair, "us")
-
     known = identity.select(
         link_key(F.col("user_id")).alias("user_key"),
         link_hostname(F.col("hostname"), compat).alias("hostname_key"),
     ).dropna().distinct()
     counted = (
-        seen(iam_signals(iam, compat)).unionByName(seen(endpoint_signals(endpoint, compat)))
+        events.select("user_key", F.col(HOST_KEYS[compat]).alias("hostname_key"), "us")
         .where("user_key IS NOT NULL AND hostname_key IS NOT NULL")
         .groupBy(*pair).agg(
             F.count(F.lit(1)).alias("n"), F.min("us").alias("first_us"), F.max("us").alias("last_us"))
@@ -255,17 +239,14 @@ def identity_hostname_mismatch(
     )
 
 
-def detect(
-    identity: DataFrame, iam: DataFrame, endpoint: DataFrame, window_hours: int = 24,
-    compat: bool = False,
-) -> DataFrame:
-    """All rules, without ids; ``rule`` is the rule's place in the fixed order."""
+def detect(identity: DataFrame, events: DataFrame, window_hours: int = 24, compat: bool = False) -> DataFrame:
+    """All rules over the signals, without ids; ``rule`` is the rule's place in the fixed order."""
     rules = [
-        post_termination_activity(identity, iam, endpoint),
-        credential_compromise(iam, endpoint, window_hours, compat),
-        malware_lateral_movement(endpoint, window_hours, compat),
-        administrative_abuse(iam, endpoint, window_hours, compat),
-        identity_hostname_mismatch(identity, iam, endpoint, compat),
+        post_termination_activity(identity, events),
+        credential_compromise(events, window_hours, compat),
+        malware_lateral_movement(events, window_hours, compat),
+        administrative_abuse(events, window_hours, compat),
+        identity_hostname_mismatch(identity, events, compat),
     ]
     result = rules[0]
     for rule in rules[1:]:

@@ -9,7 +9,7 @@ from ..functions.identifiers import risk_key
 from ..functions.text import as_flag
 from ..schemas import RISK_COLUMNS
 from .quality import two_decimals
-from .signals import alert_flags, iam_flags, identity_users, post_termination
+from .signals import alert_flags, event_moments, iam_flags, identity_users, post_termination, termination_dates
 
 BANDS = ("Low", "Medium", "High", "Critical")
 
@@ -63,7 +63,7 @@ def endpoint_rollup(endpoint: DataFrame) -> DataFrame:
 
 def user_activity(identity: DataFrame, iam: DataFrame, endpoint: DataFrame) -> DataFrame:
     """One row per identity user with all counts; absent activity counts as zero."""
-    after = post_termination(identity, iam, endpoint, risk_key).select(
+    after = post_termination(event_moments(iam, endpoint, risk_key), termination_dates(identity, risk_key)).select(
         "user_key",
         F.col("iam_events").alias("post_termination_iam_events"),
         F.col("endpoint_events").alias("post_termination_endpoint_events"),

@@ -21,6 +21,7 @@ ALERT_PATTERNS = {
     "tampering_flag": "disable security|tamper",
 }
 HIGH_RISK_SCORE = 70
+DAY_MICROS = 86_400_000_000
 
 
 def iam_flags() -> dict[str, Column]:
@@ -41,24 +42,26 @@ def alert_flags(endpoint: DataFrame) -> DataFrame:
     return text.withColumns(flags).drop("_text")
 
 
-def iam_signals(iam: DataFrame, compat: bool = False) -> DataFrame:
-    return iam.select(
-        "event_id", "hostname",
-        link_key(F.col("user_id")).alias("user_key"),
-        link_hostname(F.col("hostname"), compat).alias("hostname_key"),
-        micros(F.col("timestamp")).alias("us"),
-        *[c.alias(n) for n, c in iam_flags().items()],
-    )
+HOST_KEYS = {False: "hostname_key", True: "hostname_key_compat"}
 
 
-def endpoint_signals(endpoint: DataFrame, compat: bool = False) -> DataFrame:
-    return alert_flags(endpoint).select(
-        "alert_id", "hostname",
-        link_key(F.col("user_id")).alias("user_key"),
-        link_hostname(F.col("hostname"), compat).alias("hostname_key"),
-        micros(F.col("detected_timestamp")).alias("us"),
-        *ALERT_PATTERNS,
-    )
+def user_signals(iam: DataFrame, endpoint: DataFrame) -> DataFrame:
+    """The events of both sources with what the rules ask of them, one narrow row per event.
+
+    Texts are matched and keys are formed once, here; all rules read this one table. Flags of the
+    other source are false. Rows are not dealt by user: a busy user's rows stay spread.
+    """
+    def rows(df: DataFrame, is_iam: bool, time: str, alert_id: Column, own: dict[str, Column]) -> DataFrame:
+        names = ("failed_auth_flag", "mfa_failure_flag", "high_risk_flag", *ALERT_PATTERNS)
+        return df.select(
+            link_key(F.col("user_id")).alias("user_key"), F.lit(is_iam).alias("is_iam"),
+            micros(F.col(time)).alias("us"), "hostname",
+            *[link_hostname(F.col("hostname"), compat).alias(n) for compat, n in HOST_KEYS.items()],
+            alert_id.cast("string").alias("alert_id"), *[own.get(n, F.lit(False)).alias(n) for n in names])
+
+    return rows(iam, True, "timestamp", F.lit(None), iam_flags()).unionByName(
+        rows(alert_flags(endpoint), False, "detected_timestamp", F.col("alert_id"),
+             {n: F.col(n) for n in ALERT_PATTERNS}))
 
 
 def identity_users(identity: DataFrame, key: Callable[[Column], Column]) -> DataFrame:
@@ -93,39 +96,35 @@ def termination_dates(identity: DataFrame, key: Callable[[Column], Column]) -> D
     )
 
 
-def post_termination(
-    identity: DataFrame, iam: DataFrame, endpoint: DataFrame, key: Callable[[Column], Column]
-) -> DataFrame:
+def event_moments(iam: DataFrame, endpoint: DataFrame, key: Callable[[Column], Column]) -> DataFrame:
+    """User, source, time and host of the events of both sources."""
+    def moments(df: DataFrame, time: str, is_iam: bool) -> DataFrame:
+        return df.select(key(F.col("user_id")).alias("user_key"), micros(F.col(time)).alias("us"),
+                         F.col("hostname"), F.lit(is_iam).alias("is_iam"))
+
+    return moments(iam, "timestamp", True).unionByName(moments(endpoint, "detected_timestamp", False))
+
+
+def post_termination(events: DataFrame, dates: DataFrame) -> DataFrame:
     """Activity strictly after a user's last termination date, one row per affected user.
 
-    Events are collapsed to (user, source, time) before they meet the dates, so the join sees
-    at most one row per distinct time of a user, however busy that user is.
+    ``events`` has user_key, us, hostname and is_iam, ``dates`` one row per former user. The few
+    dates meet the events first, so events of current users are never grouped. What is left is
+    collapsed by user, source and day with a map-side combine before it is added up per user, so a
+    busy former user is a row per day by then.
     """
-    def moments(df: DataFrame, time: str, is_iam: bool) -> DataFrame:
-        return df.select(
-            key(F.col("user_id")).alias("user_key"), micros(F.col(time)).alias("us"),
-            F.col("hostname"), F.lit(is_iam).alias("is_iam"),
-        )
-
-    events = moments(iam, "timestamp", True).unionByName(
-        moments(endpoint, "detected_timestamp", False)
-    )
-    collapsed = (
-        events.where("user_key IS NOT NULL AND us IS NOT NULL")
-        .groupBy("user_key", "is_iam", "us")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("hostname").alias("hostname"))
-    )
     is_iam, host = F.col("is_iam"), F.col("hostname")
+    late = (events.where("user_key IS NOT NULL AND us IS NOT NULL")
+            .join(dates, "user_key").where("us > left_us"))
     at = F.struct((~is_iam).alias("source_order"), F.col("us"), host.alias("hostname"))
-    return (
-        collapsed.join(termination_dates(identity, key), "user_key")
-        .where("us > left_us").groupBy("user_key").agg(
-            F.coalesce(F.sum(F.when(is_iam, F.col("n"))), F.lit(0)).alias("iam_events"),
-            F.coalesce(F.sum(F.when(~is_iam, F.col("n"))), F.lit(0)).alias("endpoint_events"),
-            F.min("us").alias("first_us"), F.max("us").alias("last_us"),
-            F.min(F.when(host.isNotNull(), at))["hostname"].alias("hostname"),
-        )
-    )
+    days = late.withColumn("day", F.floor(F.col("us") / DAY_MICROS)).groupBy("user_key", "is_iam", "day").agg(
+        F.count(F.lit(1)).alias("n"), F.min("us").alias("first_us"), F.max("us").alias("last_us"),
+        F.min(F.when(host.isNotNull(), at)).alias("at"))
+    return days.groupBy("user_key").agg(
+        F.coalesce(F.sum(F.when(is_iam, F.col("n"))), F.lit(0)).alias("iam_events"),
+        F.coalesce(F.sum(F.when(~is_iam, F.col("n"))), F.lit(0)).alias("endpoint_events"),
+        F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"),
+        F.min("at")["hostname"].alias("hostname"))
 
 
 def at_micros(us: Column) -> Column:

@@ -14,6 +14,7 @@ from ..operators.dedupe import COPIES
 from ..operators.detections import detect, with_threat_ids
 from ..operators.queue import build_queue
 from ..operators.risk import score_users
+from ..operators.signals import user_signals
 from ..session import ensure_checkpoint_dir, prepare
 from ..sources import sample_feed
 from ..sources.published import publish, read
@@ -95,7 +96,11 @@ class Feed:
     def threats(self) -> DataFrame:
         return self.published(
             "threat_detections",
-            lambda: with_threat_ids(detect(self.identity, self.iam, self.endpoint)))
+            lambda: with_threat_ids(detect(self.identity, self.signals)))
+
+    @cached_property
+    def signals(self) -> DataFrame:
+        return self.published("user_signals", lambda: user_signals(self.iam, self.endpoint))
 
     @cached_property
     def queue(self) -> DataFrame:

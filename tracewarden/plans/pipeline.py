@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import detections, linkage, quality, queue, risk
+from ..operators import detections, linkage, quality, queue, risk, signals
 from ..operators.cleaning import STAGES
 from ..operators.dedupe import COPIES
 from ..schemas import RAW_COLUMNS
@@ -64,7 +64,8 @@ def publish_risk(clean: dict[str, DataFrame], folder: str) -> DataFrame:
 
 
 def publish_threats(clean: dict[str, DataFrame], folder: str, compat: bool = False) -> DataFrame:
-    found = detections.detect(clean["identity"], clean["iam"], clean["endpoint"], compat=compat)
+    events = publish(signals.user_signals(clean["iam"], clean["endpoint"]), folder, "user_signals")
+    found = detections.detect(clean["identity"], events, compat=compat)
     threats = publish(
         detections.sorted_detections(detections.with_threat_ids(found)), folder, "threat_detections")
     publish(detections.type_summary(threats), folder, "threat_type_summary")

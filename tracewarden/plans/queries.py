@@ -237,7 +237,8 @@ def endpoint_user_rollup(t: Feed) -> DataFrame:
 
 @query
 def post_termination_counts(t: Feed) -> DataFrame:
-    return signals.post_termination(t.identity, t.iam, t.endpoint, risk_key).select(
+    events = signals.event_moments(t.iam, t.endpoint, risk_key)
+    return signals.post_termination(events, signals.termination_dates(t.identity, risk_key)).select(
         "user_key", "iam_events", "endpoint_events")
 
 
@@ -260,40 +261,39 @@ def top_100_risk_users(t: Feed) -> DataFrame:
 
 @query
 def post_termination_detections(t: Feed) -> DataFrame:
-    return detections.post_termination_activity(t.identity, t.iam, t.endpoint)
+    return detections.post_termination_activity(t.identity, t.signals)
 
 
 @query
 def credential_compromise_detections(t: Feed) -> DataFrame:
-    return detections.credential_compromise(t.iam, t.endpoint)
+    return detections.credential_compromise(t.signals)
 
 
 @query
 def malware_lateral_detections(t: Feed) -> DataFrame:
-    return detections.malware_lateral_movement(t.endpoint)
+    return detections.malware_lateral_movement(t.signals)
 
 
 @query
 def administrative_abuse_detections(t: Feed) -> DataFrame:
-    return detections.administrative_abuse(t.iam, t.endpoint)
+    return detections.administrative_abuse(t.signals)
 
 
 @query
 def hostname_mismatch_detections(t: Feed) -> DataFrame:
-    return detections.identity_hostname_mismatch(t.identity, t.iam, t.endpoint)
+    return detections.identity_hostname_mismatch(t.identity, t.signals)
 
 
 @query
 def hostname_mismatch_detections_compat(t: Feed) -> DataFrame:
-    return detections.identity_hostname_mismatch(t.identity, t.iam, t.endpoint, compat=True)
+    return detections.identity_hostname_mismatch(t.identity, t.signals, compat=True)
 
 
 @query
 def temporal_closest_pairs(t: Feed) -> DataFrame:
     """The closest high-risk sign-in and administrative alert of every user within 24 hours."""
-    events = detections.administrative_events(t.iam, t.endpoint).where("user_key IS NOT NULL")
-    is_left = F.col("is_left")
-    pairs = closest_pairs(events, ["user_key"], F.col("us"), is_left, ~is_left, None,
+    events = t.signals.where("user_key IS NOT NULL")
+    pairs = closest_pairs(events, ["user_key"], F.col("us"), F.col("high_risk_flag"), F.expr(detections.ADMINISTRATIVE), None,
                           24 * detections.HOUR_MICROS)
     return pairs.select(
         "user_key", (F.col("gap_us") / detections.HOUR_MICROS).alias("delta_hours"),
@@ -303,7 +303,7 @@ def temporal_closest_pairs(t: Feed) -> DataFrame:
 
 @query
 def threat_detections(t: Feed) -> DataFrame:
-    found = detections.detect(t.identity, t.iam, t.endpoint)
+    found = detections.detect(t.identity, t.signals)
     return detections.sorted_detections(detections.with_threat_ids(found))
 
 
