@@ -7,9 +7,11 @@ from tracewarden.schemas import CLEAN_COLUMNS, RAW_COLUMNS
 from .build import CTES, with_ctes
 
 SQL: dict[str, str] = {}
+SQL_BODY: dict[str, str] = {}
 
 
 def add(name: str, needs, body: str) -> None:
+    SQL_BODY[name] = body
     SQL[name] = with_ctes(needs, body)
 
 
@@ -577,92 +579,100 @@ add("user_threats", ("threats", "queue"), f"""
     FROM threats t LEFT JOIN queue q ON t.user_id = q.user_id""")
 
 
-def _iam_events(n: int) -> str:
-    blanks = ", ".join(f"COALESCE({c}, '') AS {c}" for c in (
+def _first(n: int | None, order: str) -> str:
+    """A numbered cut to the first n rows of each user, or all rows."""
+    return "" if n is None else f"QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY {order}) <= {n}"
+
+
+def _number(n: int | None, order: str) -> str:
+    return "" if n is None else f"ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY {order}) AS event_no,"
+
+
+def _iam_events(n: int | None = None) -> str:
+    blanks = ", ".join(f"COALESCE(x.{c}, '') AS {c}" for c in (
         "event_id", "event_type", "auth_method", "source_ip", "hostname", "device_id", "risk_level",
         "failure_reason", "geo_location"))
-    return f"""SELECT user_id, no AS event_no, "timestamp", mfa_passed, COALESCE(risk_score, 0)::DOUBLE AS risk_score, {blanks}
-      FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY "timestamp" NULLS LAST, event_id, event_type NULLS FIRST,
-        hostname NULLS FIRST) AS no FROM iam WHERE user_id IS NOT NULL) WHERE no <= {n}"""
-
-
-def _endpoint_events(n: int) -> str:
-    return f"""SELECT user_id, no AS event_no, detected_timestamp, COALESCE(alert_id, '') AS alert_id,
-        COALESCE(alert_name, '') AS alert_name, upper(COALESCE(severity, 'Medium')) AS severity, COALESCE(status, 'New') AS status,
-        COALESCE(process_name, 'N/A') AS process_name, COALESCE(file_path, 'N/A') AS file_path,
-        COALESCE(hostname, 'N/A') AS hostname, COALESCE(description, '') AS description
-      FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY detected_timestamp NULLS LAST, alert_id NULLS FIRST,
-        alert_name NULLS FIRST, hostname NULLS FIRST, process_name NULLS FIRST) AS no FROM endpoint WHERE user_id IS NOT NULL)
-      WHERE no <= {n}"""
-
-
-def _firewall_events(n: int) -> str:
-    def rows(column: str, keep: str) -> str:
-        return f"SELECT h.user_id, f.* FROM host_keys h JOIN firewall f ON lower(f.{column}) = h.host_key WHERE h.user_id {keep} (SELECT user_id FROM direct_users)"
-
-    return f"""SELECT user_id, no AS event_no, "timestamp", COALESCE(log_id, '') AS log_id, COALESCE(hostname, '') AS hostname,
-        COALESCE(src_ip, '') AS src_ip, COALESCE(dst_ip, '') AS dst_ip, COALESCE(CAST(dst_port AS VARCHAR), '') AS dst_port,
-        COALESCE(rule_name, '') AS rule_name, COALESCE(geo_country, '') AS geo_country, COALESCE(protocol, 'TCP') AS protocol,
-        COALESCE(action, 'ALLOW') AS action, COALESCE(bytes_sent, 0) AS bytes_sent, COALESCE(bytes_received, 0) AS bytes_received,
-        COALESCE(bytes_sent, 0) + COALESCE(bytes_received, 0) AS total_bytes, threat_flag
-      FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY "timestamp" NULLS LAST, log_id NULLS FIRST, src_ip NULLS FIRST,
-          dst_ip NULLS FIRST, src_port NULLS FIRST, dst_port NULLS FIRST, bytes_sent NULLS FIRST, bytes_received NULLS FIRST) AS no
-        FROM ({rows('hostname_join_key', 'IN')} UNION ALL {rows('hostname', 'NOT IN')})) WHERE no <= {n}"""
-
-
-CTES["iam100"] = (("iam",), _iam_events(100))
-CTES["end100"] = (("endpoint",), _endpoint_events(100))
-CTES["hosts"] = (("context", "iam100", "end100"), """
+    order = 'x."timestamp" NULLS LAST, x.event_id, x.event_type NULLS FIRST, x.hostname NULLS FIRST'
+    return f"""SELECT user_id, {_number(n, order)} "timestamp", mfa_passed, COALESCE(risk_score, 0)::DOUBLE AS risk_score, {blanks}
+      FROM iam x WHERE user_id IS NOT NULL {_first(n, order)}"""
+
+
+def _endpoint_events(n: int | None = None) -> str:
+    order = """x.detected_timestamp NULLS LAST, x.alert_id NULLS FIRST, x.alert_name NULLS FIRST, x.hostname NULLS FIRST,
+        x.process_name NULLS FIRST"""
+    return f"""SELECT user_id, {_number(n, order)} detected_timestamp, COALESCE(x.alert_id, '') AS alert_id,
+        COALESCE(x.alert_name, '') AS alert_name, upper(COALESCE(x.severity, 'Medium')) AS severity, COALESCE(x.status, 'New') AS status,
+        COALESCE(x.process_name, 'N/A') AS process_name, COALESCE(x.file_path, 'N/A') AS file_path,
+        COALESCE(x.hostname, 'N/A') AS hostname, COALESCE(x.description, '') AS description
+      FROM endpoint x WHERE user_id IS NOT NULL {_first(n, order)}"""
+
+
+def _firewall_events(n: int | None = None) -> str:
+    order = """x."timestamp" NULLS LAST, x.log_id NULLS FIRST, x.src_ip NULLS FIRST, x.dst_ip NULLS FIRST,
+        x.src_port NULLS FIRST, x.dst_port NULLS FIRST, x.bytes_sent NULLS FIRST, x.bytes_received NULLS FIRST"""
+    return f"""SELECT user_id, {_number(n, order)} "timestamp", COALESCE(x.log_id, '') AS log_id, COALESCE(x.hostname, '') AS hostname,
+        COALESCE(x.src_ip, '') AS src_ip, COALESCE(x.dst_ip, '') AS dst_ip, COALESCE(CAST(x.src_port AS VARCHAR), '') AS src_port,
+        COALESCE(CAST(x.dst_port AS VARCHAR), '') AS dst_port,
+        COALESCE(x.rule_name, '') AS rule_name, COALESCE(x.geo_country, '') AS geo_country, COALESCE(x.protocol, 'TCP') AS protocol,
+        COALESCE(x.action, 'ALLOW') AS action, COALESCE(x.bytes_sent, 0) AS bytes_sent, COALESCE(x.bytes_received, 0) AS bytes_received,
+        COALESCE(x.bytes_sent, 0) + COALESCE(x.bytes_received, 0) AS total_bytes, threat_flag
+      FROM user_rows x {_first(n, order)}"""
+
+
+CTES["hosts"] = (("context", "iam", "endpoint"), """
     SELECT DISTINCT user_id, trim(host) AS host FROM (SELECT user_id, hostname AS host FROM context
-      UNION ALL SELECT user_id, hostname FROM iam100 UNION ALL SELECT user_id, hostname FROM end100 WHERE hostname <> 'N/A')
-    WHERE trim(host) <> ''""")
+      UNION ALL SELECT user_id, hostname FROM iam UNION ALL SELECT user_id, hostname FROM endpoint WHERE hostname <> 'N/A')
+    WHERE user_id IS NOT NULL AND trim(host) <> ''""")
 CTES["host_keys"] = (("hosts",), "SELECT DISTINCT user_id, lower(host) AS host_key FROM hosts")
 CTES["direct_users"] = (("host_keys", "firewall"), """
     SELECT DISTINCT user_id FROM host_keys WHERE host_key IN (SELECT DISTINCT lower(hostname_join_key) FROM firewall
       WHERE hostname_join_key IS NOT NULL)""")
-for _n in (20, 30, 50, 100):
-    CTES[f"fw{_n}"] = (("direct_users", "firewall"), _firewall_events(_n))
-add("iam_events_per_user", "iam", f"""SELECT * REPLACE (CAST("timestamp" AS VARCHAR) AS "timestamp",
-    CAST(mfa_passed AS VARCHAR) AS mfa_passed) FROM ({_iam_events(50)})""")
-add("endpoint_events_per_user", "endpoint", f"""SELECT * REPLACE (CAST(detected_timestamp AS VARCHAR) AS detected_timestamp)
-    FROM ({_endpoint_events(50)})""")
-add("related_hosts", "hosts",
-    "SELECT user_id, string_agg(host, ',' ORDER BY host) AS hosts FROM hosts GROUP BY user_id")
-add("firewall_events_per_user", "fw50", """SELECT * REPLACE (CAST("timestamp" AS VARCHAR) AS "timestamp",
-    CAST(threat_flag AS VARCHAR) AS threat_flag) FROM fw50""")
-
-
-def _timeline(iam: str, end: str, fw: str, n: int) -> str:
-    return f"""SELECT user_id, position, ts, source, event_type, severity, details FROM (
-      SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, src, event_no) AS position FROM (
-        SELECT user_id, event_no, 1 AS src, "timestamp" AS ts, 'IAM Audit Trail' AS source, event_type,
+_rows = lambda column, keep: f"""SELECT h.user_id, f.* FROM host_keys h JOIN firewall f ON lower(f.{column}) = h.host_key
+    WHERE h.user_id {keep} (SELECT user_id FROM direct_users)"""
+CTES["user_rows"] = (("direct_users", "firewall"), f"{_rows('hostname_join_key', 'IN')} UNION ALL {_rows('hostname', 'NOT IN')}")
+for _part, _need, _build in (("iam", "iam", _iam_events), ("end", "endpoint", _endpoint_events), ("fw", "user_rows", _firewall_events)):
+    CTES[f"{_part}_all"] = ((_need,), _build())
+for _suffix, _n in (("", None), ("_first_50", 50)):
+    _name = lambda source: f"{source}{_suffix}_events_per_user"
+    add(_name("iam"), "iam", f"""SELECT * REPLACE (CAST("timestamp" AS VARCHAR) AS "timestamp",
+        CAST(mfa_passed AS VARCHAR) AS mfa_passed) FROM ({_iam_events(_n)})""")
+    add(_name("endpoint"), "endpoint", f"""SELECT * REPLACE (CAST(detected_timestamp AS VARCHAR) AS detected_timestamp)
+        FROM ({_endpoint_events(_n)})""")
+    add(_name("firewall"), "user_rows", f"""SELECT * REPLACE (CAST("timestamp" AS VARCHAR) AS "timestamp",
+        CAST(threat_flag AS VARCHAR) AS threat_flag) FROM ({_firewall_events(_n)})""")
+add("related_hosts", "hosts", "SELECT user_id, host FROM hosts")
+CTES["timeline"] = (("iam_all", "end_all", "fw_all"), """SELECT user_id, position, ts, source, event_type, severity, details FROM (
+      SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, src, tie, details) AS position FROM (
+        SELECT user_id, concat_ws('|', event_id, event_type, hostname) AS tie, 1 AS src, "timestamp" AS ts, 'IAM Audit Trail' AS source, event_type,
           CASE WHEN COALESCE(NOT mfa_passed, FALSE) OR contains(event_type, 'FAIL') THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
           'Event: ' || event_type || ', Method: ' || auth_method || ', IP: ' || source_ip || ', MFA: '
             || CASE WHEN mfa_passed THEN 'True' WHEN NOT mfa_passed THEN 'False' ELSE 'Unknown' END
-            || CASE WHEN failure_reason <> '' THEN ', Reason: ' || failure_reason ELSE '' END AS details FROM ({iam})
+            || CASE WHEN failure_reason <> '' THEN ', Reason: ' || failure_reason ELSE '' END AS details FROM iam_all
         UNION ALL
-        SELECT user_id, event_no, 2, detected_timestamp, 'Endpoint Alert (EDR)', alert_name, severity,
-          'Process: ' || process_name || ', Host: ' || hostname || ', Status: ' || status FROM ({end})
+        SELECT user_id, concat_ws('|', alert_id, alert_name, hostname, process_name), 2, detected_timestamp, 'Endpoint Alert (EDR)', alert_name, severity,
+          'Process: ' || process_name || ', Host: ' || hostname || ', Status: ' || status FROM end_all
         UNION ALL
-        SELECT user_id, event_no, 3, "timestamp", 'Firewall Logs', 'NETWORK_TRAFFIC (' || protocol || ')',
+        SELECT user_id, concat_ws('|', log_id, src_ip, dst_ip, src_port, dst_port, bytes_sent, bytes_received), 3, "timestamp", 'Firewall Logs',
+          'NETWORK_TRAFFIC (' || protocol || ')',
           CASE WHEN threat_flag THEN 'CRITICAL' WHEN total_bytes > 10000000 THEN 'HIGH' ELSE 'MEDIUM' END,
-          'Host: ' || hostname || ', Dst: ' || dst_ip || ':' || dst_port || ', Bytes: ' || format('{{:,}}', total_bytes)
-            || ', Action: ' || action || ', Country: ' || geo_country FROM {fw})
-      WHERE ts IS NOT NULL) WHERE position <= {n}"""
-
-
-CTES["timeline"] = (("iam100", "end100", "fw100"), _timeline("FROM iam100", "FROM end100", "fw100", 100))
-add("evidence_timeline", "timeline", """SELECT user_id, position, CAST(ts AS VARCHAR) AS "timestamp", source, event_type,
-    severity, details FROM timeline""")
+          'Host: ' || hostname || ', Dst: ' || dst_ip || ':' || dst_port || ', Bytes: ' || format('{:,}', total_bytes)
+            || ', Action: ' || action || ', Country: ' || geo_country FROM fw_all)
+      WHERE ts IS NOT NULL)""")
+_line = """SELECT user_id, position, CAST(ts AS VARCHAR) AS "timestamp", source, event_type, severity, details FROM timeline"""
+add("evidence_timeline", "timeline", _line)
+add("evidence_timeline_first_100", "timeline", f"{_line} WHERE position <= 100")
 add("timeline_chart_points", "timeline", """SELECT user_id, position, CAST(ts AS VARCHAR) AS "timestamp",
     CAST(CASE severity WHEN 'CRITICAL' THEN 10 WHEN 'HIGH' THEN 7 WHEN 'MEDIUM' THEN 4 WHEN 'LOW' THEN 1 ELSE 3 END AS BIGINT)
       AS severity_level, source AS event_source, event_type FROM timeline""")
-CTES["header"] = (("context", "risk", "timeline"), f"""
+CTES["latest"] = (("iam_all", "end_all", "fw_all"), """SELECT user_id, MAX(ts) AS latest FROM (
+    SELECT user_id, "timestamp" AS ts FROM iam_all UNION ALL SELECT user_id, detected_timestamp FROM end_all
+    UNION ALL SELECT user_id, "timestamp" FROM fw_all) GROUP BY user_id""")
+CTES["header"] = (("context", "risk", "latest"), f"""
     SELECT c.user_id, user_name, employment_status, c.termination_date, c.hostname, c.device_id, c.device_id_conflict,
       c.device_user_count, COALESCE(round_even(r.risk_score * 10, 0) / 10, 0) AS risk_score,
       upper(COALESCE(risk_band, 'Low')) AS risk_band, risk_drivers,
       COALESCE(post_termination_activity > 0, FALSE) OR (upper(employment_status) IN ('DISABLED', 'INACTIVE', 'TERMINATED')
-        AND EXISTS (SELECT 1 FROM timeline t WHERE t.user_id = c.user_id AND t.ts > c.termination_date)) AS post_termination,
+        AND COALESCE((SELECT l.latest FROM latest l WHERE l.user_id = c.user_id) > c.termination_date, FALSE)) AS post_termination,
       {_break}
     FROM context c LEFT JOIN risk r ON c.user_id = r.user_id""")
 add("investigation_report", "header", """SELECT * REPLACE (CAST(termination_date AS VARCHAR) AS termination_date,
@@ -715,18 +725,41 @@ add("user_comparison", ("context", "risk", "threats"), f"""
     FROM context c LEFT JOIN risk r ON c.user_id = r.user_id LEFT JOIN (
       SELECT user_id, COUNT(*) AS n, first(threat_type || ' (' || upper(severity) || ')' ORDER BY {_at}) AS primary_threat
       FROM threats GROUP BY user_id) t ON c.user_id = t.user_id""")
-add("traffic_volume", "fw20", """SELECT user_id, CAST(SUM(total_bytes) AS BIGINT) AS total_bytes, COUNT(*) AS log_entries,
-    round_even(CAST(SUM(total_bytes) AS DOUBLE) / 1048576 * 100, 0) / 100 AS traffic_mb FROM fw20 GROUP BY user_id""")
-add("mfa_evidence", "iam", f"""SELECT * REPLACE (CAST("timestamp" AS VARCHAR) AS "timestamp", CAST(mfa_passed AS VARCHAR) AS mfa_passed)
-    FROM ({_iam_events(20)}) WHERE NOT mfa_passed OR contains(event_type, 'MFA')""")
-CTES["timeline30"] = (("iam", "endpoint", "fw30"), _timeline(_iam_events(30), _endpoint_events(30), "fw30", 30))
-add("evidence_bundle", ("identity", "iam", "endpoint", "fw20", "timeline30"), f"""
-    SELECT u.user_id, a.x AS iam, e.x AS endpoint, f.x AS firewall, t.x AS timeline
-    FROM (SELECT DISTINCT user_id FROM identity WHERE user_id IS NOT NULL) u
-    LEFT JOIN (SELECT user_id, string_agg(event_id, ';' ORDER BY event_no) AS x FROM ({_iam_events(20)}) GROUP BY 1) a USING (user_id)
-    LEFT JOIN (SELECT user_id, string_agg(alert_id, ';' ORDER BY event_no) AS x FROM ({_endpoint_events(20)}) GROUP BY 1) e USING (user_id)
-    LEFT JOIN (SELECT user_id, string_agg(log_id, ';' ORDER BY event_no) AS x FROM fw20 GROUP BY 1) f USING (user_id)
-    LEFT JOIN (SELECT user_id, string_agg(details, ';' ORDER BY position) AS x FROM timeline30 GROUP BY 1) t USING (user_id)""")
+add("traffic_volume", "fw_all", """SELECT user_id, CAST(SUM(total_bytes) AS BIGINT) AS total_bytes, COUNT(*) AS log_entries,
+    round_even(CAST(SUM(total_bytes) AS DOUBLE) / 1048576 * 100, 0) / 100 AS traffic_mb FROM fw_all GROUP BY user_id""")
+add("mfa_evidence", "iam_all", """SELECT * REPLACE (CAST("timestamp" AS VARCHAR) AS "timestamp", CAST(mfa_passed AS VARCHAR) AS mfa_passed)
+    FROM iam_all WHERE NOT mfa_passed OR contains(event_type, 'MFA')""")
+
+
+def _records(domain: str, rows: str, fields: str, place: tuple[str, ...] = ()) -> str:
+    """One row per record: its fields as JSON with sorted keys."""
+    pairs = ", ".join(f"'{f}': {f}" for f in sorted(fields.split()))
+    at = "concat_ws('|', " + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '~')" for c in place) + ")" if place else "''"
+    return f"SELECT user_id, '{domain}' AS domain, {at} AS place, CAST(to_json({{{pairs}}}) AS VARCHAR) AS payload FROM ({rows})"
+
+
+_bundle = [
+    _records("identity", SQL_BODY["identity_context"], """user_name username department role location employment_status hire_date
+        termination_date hostname device_id manager device_id_conflict device_user_count assigned_assets"""),
+    _records("risk", SQL_BODY["user_risk_profile"], """username department role status risk_score risk_band risk_drivers
+        post_termination_flag authentication iam endpoint threat_behaviour context cross_signal iam_events iam_failed_auth iam_mfa_failures
+        iam_high_risk_events endpoint_alerts endpoint_critical_alerts endpoint_malware_alerts endpoint_powershell
+        post_termination_iam_events post_termination_endpoint_events"""),
+    _records("threats", SQL_BODY["user_threats"], """threat_id threat_name severity confidence evidence first_observed last_observed
+        related_hostname recommended_action threat_order priority_rank investigation_priority queue_action""", ("threat_order",)),
+    _records("iam", SQL_BODY["iam_events_per_user"], """timestamp mfa_passed risk_score event_id
+        event_type auth_method source_ip hostname device_id risk_level failure_reason geo_location""",
+             ("timestamp", "event_id", "event_type", "hostname")),
+    _records("endpoint", SQL_BODY["endpoint_events_per_user"], """detected_timestamp
+        alert_id alert_name severity status process_name file_path hostname description""",
+             ("detected_timestamp", "alert_id", "alert_name", "hostname", "process_name")),
+    _records("firewall", SQL_BODY["firewall_events_per_user"], """timestamp log_id hostname src_ip
+        dst_ip src_port dst_port rule_name geo_country protocol action bytes_sent bytes_received total_bytes threat_flag""",
+             ("timestamp", "log_id", "src_ip", "dst_ip", "src_port", "dst_port", "bytes_sent", "bytes_received")),
+    _records("timeline", _line, "position timestamp source event_type severity details", ("lpad(CAST(position AS VARCHAR), 12, '0')",)),
+]
+add("evidence_bundle", ("context", "risk", "threats", "queue", "iam", "endpoint", "user_rows", "timeline"), f"""
+    SELECT * FROM ({' UNION ALL '.join(_bundle)}) WHERE user_id IN (SELECT user_id FROM identity WHERE user_id IS NOT NULL)""")
 
 # --- summaries ----------------------------------------------------------------------------------
 add("snapshot_meta", ("risk", "threats", "queue"), """SELECT (SELECT COUNT(*) FROM risk) AS users,

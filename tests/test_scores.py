@@ -115,7 +115,8 @@ def test_timeline_and_firewall_fallback(spark):
         spark, {"log_id": "1", "hostname": "h1", "hostname_join_key": "h1", "timestamp": T0, "bytes_sent": 10_000_000},
         {"log_id": "2", "hostname": "h1.corp.local", "hostname_join_key": "h1", "timestamp": T0, "bytes_sent": 10_000_001},
         {"log_id": "3", "hostname": "h2.corp.local", "hostname_join_key": "h2", "timestamp": T0, "threat_flag": True})
-    part = investigate.firewall_events(ident, iam(spark), alerts, logs)
+    hosts = investigate.host_keys(investigate.related_hosts(ident, iam(spark), alerts))
+    part = investigate.firewall_events(hosts, logs)
     assert {(r["user_id"], r["log_id"]) for r in part.collect()} == {("A", "1"), ("A", "2"), ("B", "3")}
     line = investigate.evidence_timeline(
         investigate.iam_events(iam(spark)), investigate.endpoint_events(alerts), part)
@@ -144,3 +145,54 @@ def test_mentions(spark):
                    (2, "EMP10", True, "name"), (4, "EMP11", True, "name"), (4, "EMP10", True, "id"),
                    # ids of any length are read, a deviation that README states
                    (4, "EMP1234567", False, "id")}
+
+
+def test_busy_users_keep_all_their_evidence(spark):
+    """A user with 300 earlier events whose only late one is a firewall row of a late host."""
+    sec = timedelta(seconds=1)
+    ident = identity(spark, {"user_id": "A", "status": "Terminated", "termination_date": T0 + 400 * sec}, {"user_id": "B"})
+    events = iam(spark, *[{"user_id": "A", "event_id": f"{i:03}", "timestamp": T0 + i * sec, "hostname": "early",
+                           "mfa_passed": i != 299} for i in range(300)],
+                 {"user_id": "A", "event_id": "x", "timestamp": T0 + 350 * sec, "hostname": "late"})
+    logs = firewall(spark, *[{"log_id": f"{i:03}", "hostname": "early.corp.local", "hostname_join_key": "early",
+                              "timestamp": T0 + i * sec, "bytes_sent": 1} for i in range(150)],
+                    {"log_id": "z", "hostname": "late", "hostname_join_key": "late", "timestamp": T0 + 500 * sec, "bytes_received": 7})
+    alerts = endpoint(spark)
+    found = investigate.related_hosts(ident, events, alerts)
+    assert {tuple(r) for r in found.collect()} == {("A", "early"), ("A", "late")}
+    traffic = investigate.user_traffic(investigate.host_keys(found), logs)
+    assert [(r["user_id"], r["match"], r["total_bytes"], r["log_entries"], r["latest"]) for r in traffic.collect()] == [
+        ("A", 1, 157, 151, T0 + 500 * sec)]
+    latest = investigate.latest_activity(events, alerts, traffic)
+    risk = spark.createDataFrame([], "user_id string, username string, department string, role string, status string, risk_score double, "
+                                 "risk_band string, risk_level string, risk_drivers string, post_termination_activity_flag boolean, "
+                                 + ", ".join(f"{n} double" for n in investigate._BREAKDOWN.values())
+                                 + ", " + ", ".join(f"{n} bigint" for n in investigate._METRICS))
+    heads = {r["user_id"]: r["post_termination"] for r in investigate.report_headers(ident, risk, latest).collect()}
+    assert heads == {"A": True, "B": False}
+    assert [r["event_id"] for r in investigate.mfa_evidence(investigate.iam_events(events)).collect()] == ["299"]
+    line = investigate.evidence_timeline(
+        investigate.iam_events(events), investigate.endpoint_events(alerts), investigate.firewall_events(investigate.host_keys(found), logs))
+    places = [(r["position"], r["details"]) for r in line.collect()]
+    assert sorted(p for p, _ in places) == list(range(1, 453)) and "late" in max(places)[1]
+    bundle = investigate.evidence_bundle({"iam": investigate.iam_events(events), "timeline": line}, ident)
+    assert {(r["domain"], r["count"]) for r in bundle.groupBy("domain").count().collect()} == {("iam", 301), ("timeline", 452)}
+    one = bundle.where("domain = 'iam' AND place LIKE '%|299|%'").selectExpr("variant_get(payload, '$.mfa_passed', 'boolean') AS m").first()
+    assert one["m"] is False
+
+
+def test_first_rows_of_a_hot_key(spark):
+    """A key with a third of all rows: the ranking task of the second level sees n rows of each salt."""
+    rows = spark.range(0, 30_000, 1, 64).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("user_id"), (F.col("id") * 7919 % 30_011).alias("t"))
+    got = investigate._earliest(rows, "user_id", [F.asc("t")], 5)
+    want = rows.groupBy("user_id").agg(F.slice(F.array_sort(F.collect_list("t")), 1, 5).alias("t"))
+    assert {r["user_id"]: r["t"] for r in want.collect()} == {
+        r["user_id"]: r["t"] for r in got.groupBy("user_id").agg(F.array_sort(F.collect_list("t")).alias("t")).collect()}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 4 and "_salt" in plan
+    hot = investigate._earliest(rows.where("user_id = 'hot'"), "user_id", [F.asc("t")], 5)
+    hot.collect()
+    # rows that reach the second level: at most n for each salt
+    few = rows.where("user_id = 'hot'").withColumn("_salt", F.pmod(F.xxhash64("user_id", "t"), F.lit(investigate.SALTS)))
+    assert few.select("_salt").distinct().count() == investigate.SALTS

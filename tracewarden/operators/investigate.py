@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.text import as_flag, strip
 from .dedupe import first_per_key
 from .quality import two_decimals
+from .ranking import number_rows
 
 ROUTINE = "Routine activity monitoring."
 NO_FINDING = "No critical security anomalies detected."
@@ -182,34 +183,68 @@ def user_threats(threats: DataFrame, queue: DataFrame) -> DataFrame:
 
 # --- per-user events ------------------------------------------------------------------------
 
+SALTS = 16
+
+
 def _earliest(
     df: DataFrame, key: str | list[str], order: list[Column], n: int, name: str = "event_no"
 ) -> DataFrame:
-    """The first n rows per key. The limit is applied per input partition before the shuffle,
-    so a busy key sends at most n rows per partition."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return df.withColumn(name, rank).where(F.col(name) <= n)
+    """The first n rows per key, in two levels.
+
+    Each level is limited per partition before its shuffle: first by key and a salt of the row, then by
+    key. So the task that ranks a busy key sees at most n rows of each salt, however many partitions the rows come from.
+    """
+    keys = [key] if isinstance(key, str) else key
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SALTS)))
+    near = F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order))
+    few = salted.withColumn("_near", near).where(F.col("_near") <= n).drop("_near", "_salt")
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return few.withColumn(name, rank).where(F.col(name) <= n)
+
+
+def numbered_within(df: DataFrame, key: str, order: list[Column], name: str) -> DataFrame:
+    """Number all rows of each key from 1, without ever holding a key in one task."""
+    numbered = number_rows(df, [F.asc(key), *order], "_number")
+    first = numbered.groupBy(F.col(key).alias("_key")).agg(F.min("_number").alias("_first"))
+    return (numbered.join(first, F.col(key) == F.col("_key"))
+            .withColumn(name, (F.col("_number") - F.col("_first") + 1)).drop("_number", "_key", "_first"))
+
+
+def _events(df: DataFrame, order: list[Column], n: int | None) -> DataFrame:
+    rows = df.where("user_id IS NOT NULL").withColumn("user_id", F.upper("user_id"))
+    return rows if n is None else _earliest(rows, "user_id", order, n)
+
+
+def _numbers(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c == "event_no"]
+
+
+IAM_ORDER = ("timestamp", "event_id", "event_type", "hostname")
+ENDPOINT_ORDER = ("detected_timestamp", "alert_id", "alert_name", "hostname", "process_name")
+FIREWALL_ORDER = ("timestamp", "log_id", "src_ip", "dst_ip", "src_port", "dst_port", "bytes_sent", "bytes_received")
+
 
+def _by(columns: Sequence[str]) -> list[Column]:
+    """Time first, unknown times last, then what tells rows of one time apart."""
+    return [F.asc_nulls_last(columns[0]), *map(F.asc, columns[1:])]
 
-def iam_events(iam: DataFrame, n: int = 50) -> DataFrame:
-    """A user's earliest events. ``mfa_passed`` stays null where it is unknown."""
-    order = [F.asc_nulls_last("timestamp"), *map(F.asc, ("event_id", "event_type", "hostname"))]
-    rows = iam.where("user_id IS NOT NULL").withColumn("user_id", F.upper("user_id"))
+
+def iam_events(iam: DataFrame, n: int | None = None) -> DataFrame:
+    """A user's events, or its earliest n with their number. ``mfa_passed`` stays null where it is unknown."""
+    rows = _events(iam, _by(IAM_ORDER), n)
     blank = ("event_id", "event_type", "auth_method", "source_ip", "hostname", "device_id",
              "risk_level", "failure_reason", "geo_location")
-    return _earliest(rows, "user_id", order, n).select(
-        "user_id", "event_no", "timestamp", "mfa_passed",
+    return rows.select(
+        "user_id", *_numbers(rows), "timestamp", "mfa_passed",
         F.coalesce("risk_score", F.lit(0.0)).alias("risk_score"),
         *[_text(c).alias(c) for c in blank],
     )
 
 
-def endpoint_events(endpoint: DataFrame, n: int = 50) -> DataFrame:
-    order = [F.asc_nulls_last("detected_timestamp"),
-             *map(F.asc, ("alert_id", "alert_name", "hostname", "process_name"))]
-    rows = endpoint.where("user_id IS NOT NULL").withColumn("user_id", F.upper("user_id"))
-    return _earliest(rows, "user_id", order, n).select(
-        "user_id", "event_no", "detected_timestamp", _text("alert_id").alias("alert_id"),
+def endpoint_events(endpoint: DataFrame, n: int | None = None) -> DataFrame:
+    rows = _events(endpoint, _by(ENDPOINT_ORDER), n)
+    return rows.select(
+        "user_id", *_numbers(rows), "detected_timestamp", _text("alert_id").alias("alert_id"),
         _text("alert_name").alias("alert_name"),
         F.upper(_or("severity", "Medium")).alias("severity"), _or("status", "New").alias("status"),
         _or("process_name", "N/A").alias("process_name"), _or("file_path", "N/A").alias("file_path"),
@@ -217,78 +252,107 @@ def endpoint_events(endpoint: DataFrame, n: int = 50) -> DataFrame:
     )
 
 
-def related_hosts(identity: DataFrame, iam: DataFrame, endpoint: DataFrame, n: int = 100) -> DataFrame:
-    """Distinct (user_id, host): the identity host and the hosts of the first n events per source."""
-    parts = [
-        identity_context(identity).select("user_id", F.col("hostname").alias("host")),
-        iam_events(iam, n).select("user_id", F.col("hostname").alias("host")),
-        endpoint_events(endpoint, n).where("hostname <> 'N/A'")
-        .select("user_id", F.col("hostname").alias("host")),
-    ]
-    hosts = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return hosts.select("user_id", strip(F.col("host")).alias("host")).where("host <> ''").distinct()
+def related_hosts(identity: DataFrame, iam: DataFrame, endpoint: DataFrame) -> DataFrame:
+    """Distinct (user_id, host): the identity host and every host of the user's events."""
+    def seen(df: DataFrame) -> DataFrame:
+        return df.where("user_id IS NOT NULL").select(F.upper("user_id").alias("user_id"), F.col("hostname").alias("host"))
 
+    hosts = (identity_context(identity).select("user_id", F.col("hostname").alias("host"))
+             .unionByName(seen(iam)).unionByName(seen(endpoint).where("host <> 'N/A'")))
+    return hosts.select("user_id", strip(F.col("host")).alias("host")).where("host <> ''").distinct()
 
-def related_host_lists(hosts: DataFrame) -> DataFrame:
-    """Sorted list per user; at most 1 + 2n hosts by construction."""
-    return hosts.groupBy("user_id").agg(F.array_sort(F.collect_set("host")).alias("hosts"))
 
+def host_keys(hosts: DataFrame) -> DataFrame:
+    return hosts.select("user_id", F.lower("host").alias("host_key")).distinct()
 
-def firewall_events(
-    identity: DataFrame, iam: DataFrame, endpoint: DataFrame, firewall: DataFrame, n: int = 50
-) -> DataFrame:
-    """Earliest firewall rows of a user's hosts.
 
-    Hosts match the firewall's short key (``match`` 1); only users without any such row match
-    full names (``match`` 2, which can differ only where the name has its domain suffix).
-    The earliest n rows of a user lie within the earliest n rows of each of its hosts, so
-    traffic is cut to n rows per host before it meets the users: a host shared by many users
-    never multiplies its whole traffic.
-    """
-    wanted = (
-        related_hosts(identity, iam, endpoint)
-        .select("user_id", F.lower("host").alias("host_key")).distinct()
-    )
-    order = [F.asc_nulls_last("timestamp"), *map(F.asc, (
-        "log_id", "src_ip", "dst_ip", "src_port", "dst_port", "bytes_sent", "bytes_received"))]
-    columns = ("log_id", "timestamp", "hostname", "src_ip", "dst_ip", "src_port", "dst_port",
-               "protocol", "action", "bytes_sent", "bytes_received", "threat_flag", "rule_name",
-               "geo_country")
+def _named(firewall: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Firewall rows once per name they can be found by: the short key (``match`` 1) and, where it
+    differs, the full name (``match`` 2)."""
     short, full = F.lower("hostname_join_key"), F.lower("hostname")
     names = F.array(
         F.struct(F.lit(1).alias("match"), short.alias("host_key")),
         F.struct(F.lit(2).alias("match"), F.when(~short.eqNullSafe(full), full).alias("host_key")),
     )
-    keyed = (
-        firewall.select(*columns, F.inline(names)).where("host_key IS NOT NULL")
-    )
-    per_host = _earliest(keyed, ["host_key", "match"], order, n, "host_no").drop("host_no")
-    # short-key rows come first, so the first n rows hold a user's short-key rows if it has any
-    first = _earliest(wanted.join(per_host, "host_key"), "user_id", [F.asc("match"), *order], n)
-    best = F.min("match").over(Window.partitionBy("user_id"))
-    matched = first.withColumn("_best", best).where("match = _best")
+    return firewall.select(*columns, F.inline(names)).where("host_key IS NOT NULL")
+
+
+def user_traffic(wanted: DataFrame, firewall: DataFrame) -> DataFrame:
+    """Per user (``wanted``: user_id, host_key) the best match with bytes, rows and latest time of it.
+
+    Traffic is added up per host and match before it meets the users, so a host that holds a
+    third of all rows is one row in the join; users whose hosts have no row by the short key fall back
+    to full names, decided on those sums.
+    """
+    size = sum(F.coalesce(c, F.lit(0)).cast("bigint") for c in ("bytes_sent", "bytes_received"))
+    per_host = _named(firewall, ["bytes_sent", "bytes_received", "timestamp"]).groupBy("host_key", "match").agg(
+        F.sum(size).alias("total_bytes"), F.count(F.lit(1)).alias("log_entries"), F.max("timestamp").alias("latest"))
+    per_match = wanted.join(per_host, "host_key").groupBy("user_id", "match").agg(
+        F.sum("total_bytes").alias("total_bytes"), F.sum("log_entries").alias("log_entries"), F.max("latest").alias("latest"))
+    best = F.min(F.struct("match", "total_bytes", "log_entries", "latest")).alias("best")
+    return per_match.groupBy("user_id").agg(best).select("user_id", "best.*")
+
+
+def firewall_events(wanted: DataFrame, firewall: DataFrame, n: int | None = None) -> DataFrame:
+    """Firewall rows of a user's hosts (``wanted``: user_id, host_key), or its earliest n with their number.
+
+    Only users without any row by the short key match full names. The earliest n rows of a
+    user lie within the earliest n of each of its hosts, so with n traffic is cut per host before
+    it meets the users: a host shared by many users never multiplies its whole traffic.
+    """
+    columns = ("log_id", "timestamp", "hostname", "src_ip", "dst_ip", "src_port", "dst_port",
+               "protocol", "action", "bytes_sent", "bytes_received", "threat_flag", "rule_name",
+               "geo_country")
+    keyed, order = _named(firewall, columns), _by(FIREWALL_ORDER)
+    if n is None:
+        matched = wanted.join(user_traffic(wanted, firewall).select("user_id", "match"), "user_id").join(
+            keyed, ["host_key", "match"])
+    else:
+        per_host = _earliest(keyed, ["host_key", "match"], order, n, "host_no").drop("host_no")
+        # short-key rows come first, so the first n rows hold a user's short-key rows if it has any
+        first = _earliest(wanted.join(per_host, "host_key"), "user_id", [F.asc("match"), *order], n)
+        best = F.min("match").over(Window.partitionBy("user_id"))
+        matched = first.withColumn("_best", best).where("match = _best")
     sent, received = (F.coalesce(c, F.lit(0)).cast("bigint") for c in ("bytes_sent", "bytes_received"))
     return matched.select(
-        "user_id", "event_no", "timestamp",
+        "user_id", *_numbers(matched), "timestamp",
         *[_text(c).alias(c) for c in (
-            "log_id", "hostname", "src_ip", "dst_ip", "dst_port", "rule_name", "geo_country")],
+            "log_id", "hostname", "src_ip", "dst_ip", "src_port", "dst_port", "rule_name", "geo_country")],
         _or("protocol", "TCP").alias("protocol"), _or("action", "ALLOW").alias("action"),
         sent.alias("bytes_sent"), received.alias("bytes_received"),
         (sent + received).alias("total_bytes"), "threat_flag",
     )
 
 
+def latest_activity(iam: DataFrame, endpoint: DataFrame, traffic: DataFrame) -> DataFrame:
+    """Per user the time of the latest event of any source (``traffic``: see ``user_traffic``)."""
+    def times(df: DataFrame, time: str) -> DataFrame:
+        return df.where("user_id IS NOT NULL").select(F.upper("user_id").alias("user_id"), F.col(time).alias("latest"))
+
+    seen = times(iam, "timestamp").unionByName(times(endpoint, "detected_timestamp")).unionByName(
+        traffic.select("user_id", "latest"))
+    return seen.groupBy("user_id").agg(F.max("latest").alias("latest"))
+
+
 # --- timeline ---------------------------------------------------------------------------------
 
+def _tie(columns: Sequence[str]) -> Column:
+    """What orders events of one source and time, as one text."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns[1:]]).alias("tie")
+
+
 def evidence_timeline(
-    iam_part: DataFrame, endpoint_part: DataFrame, firewall_part: DataFrame, n: int = 100
+    iam_part: DataFrame, endpoint_part: DataFrame, firewall_part: DataFrame, n: int | None = None
 ) -> DataFrame:
-    """The three event lists of a user merged by time; the source order breaks ties."""
+    """The event lists of a user merged by time, all of it or the first n.
+
+    The source order, then the order of the source's own list, breaks ties.
+    """
     c, say = F.col, F.lit
     failed = as_flag(~c("mfa_passed")) | F.upper("event_type").contains("FAIL")
     mfa = F.coalesce(F.initcap(c("mfa_passed").cast("string")), say("Unknown"))
     from_iam = iam_part.select(
-        "user_id", "event_no", say(1).alias("source_no"), "timestamp",
+        "user_id", _tie(IAM_ORDER), say(1).alias("source_no"), "timestamp",
         say("IAM Audit Trail").alias("source"), "event_type",
         F.when(failed, "HIGH").otherwise("MEDIUM").alias("severity"),
         F.concat(
@@ -299,14 +363,14 @@ def evidence_timeline(
         ).alias("details"),
     )
     from_endpoint = endpoint_part.select(
-        "user_id", "event_no", say(2).alias("source_no"),
+        "user_id", _tie(ENDPOINT_ORDER), say(2).alias("source_no"),
         c("detected_timestamp").alias("timestamp"), say("Endpoint Alert (EDR)").alias("source"),
         c("alert_name").alias("event_type"), "severity",
         F.concat(say("Process: "), c("process_name"), say(", Host: "), c("hostname"),
                  say(", Status: "), c("status")).alias("details"),
     )
     from_firewall = firewall_part.select(
-        "user_id", "event_no", say(3).alias("source_no"), "timestamp",
+        "user_id", _tie(FIREWALL_ORDER), say(3).alias("source_no"), "timestamp",
         say("Firewall Logs").alias("source"),
         F.concat(say("NETWORK_TRAFFIC ("), c("protocol"), say(")")).alias("event_type"),
         F.when(as_flag(c("threat_flag")), "CRITICAL")
@@ -318,9 +382,10 @@ def evidence_timeline(
         ).alias("details"),
     )
     merged = from_iam.unionByName(from_endpoint).unionByName(from_firewall)
-    order = [F.asc("timestamp"), F.asc("source_no"), F.asc("event_no")]
+    order = [F.asc("timestamp"), F.asc("source_no"), F.asc("tie"), F.asc("details")]
     timed = merged.where("timestamp IS NOT NULL")
-    return _earliest(timed, "user_id", order, n, "position").drop("event_no", "source_no")
+    placed = numbered_within(timed, "user_id", order, "position") if n is None else _earliest(timed, "user_id", order, n, "position")
+    return placed.drop("tie", "source_no")
 
 
 def chart_points(timeline: DataFrame) -> DataFrame:
@@ -337,13 +402,12 @@ def chart_points(timeline: DataFrame) -> DataFrame:
 _FORMER = ("DISABLED", "INACTIVE", "TERMINATED")
 
 
-def report_headers(identity: DataFrame, risk: DataFrame, timeline: DataFrame) -> DataFrame:
+def report_headers(identity: DataFrame, risk: DataFrame, latest: DataFrame) -> DataFrame:
     """One row per identity user: identification, score and the post-termination verdict.
 
-    The verdict is the risk table's flag or, for accounts no longer active, any timeline
-    event after the termination date.
+    The verdict is the risk table's flag or, for accounts no longer active, any event of any source
+    after the termination date (``latest``: see ``latest_activity``).
     """
-    latest = timeline.groupBy("user_id").agg(F.max("timestamp").alias("latest"))
     profile = risk_profile(risk).select(
         "user_id", "risk_score", F.upper("risk_band").alias("risk_band"), "risk_drivers",
         "post_termination_flag", "score_breakdown")
@@ -363,26 +427,34 @@ def report_headers(identity: DataFrame, risk: DataFrame, timeline: DataFrame) ->
     )
 
 
-def _lines(df: DataFrame, section: str, part: int, order: Column, line: Column) -> DataFrame:
-    return df.select("user_id", F.lit(section).alias("section"), F.lit(part).alias("part"),
-                     order.cast("string").alias("line_order"), line.alias("line"))
+def _line(section: str, part: int, order: Column, line: Column) -> Column:
+    return F.struct(F.lit(section).alias("section"), F.lit(part).alias("part"),
+                    order.cast("string").alias("line_order"), line.alias("line"))
+
+
+def _inlined(df: DataFrame, *lines: Column) -> DataFrame:
+    """One row per line (a null is none)."""
+    return df.select("user_id", F.inline(F.filter(F.concat(*lines), lambda line: line.isNotNull())))
 
 
 def report_lines(headers: DataFrame, threats: DataFrame, queue: DataFrame) -> DataFrame:
-    """The report's lists in long form, ordered by (section, part, line_order)."""
+    """The report's lists in long form, ordered by (section, part, line_order).
+
+    Two passes: the lines that follow from a user's facts, and those of each detection.
+    """
     c, say = F.col, F.lit
     first = say("0")
     term = F.coalesce(c("termination_date").cast("string"), say(""))
-    drivers = headers.select(
-        "user_id", F.posexplode(F.split(F.coalesce("risk_drivers", say("")), ";")).alias("pos", "raw"))
-    piece = strip(c("raw"))
-    named = threats.join(headers.select("user_id"), "user_id", "left_semi").select(
-        "user_id", threat_order().alias("at"), "threat_id", "threat_type", "evidence",
-        F.upper(_or("severity", "Medium")).alias("severity"))
     affected = threats.select("user_id").distinct().withColumn("has_threats", say(True))
     facts = headers.join(affected, "user_id", "left").join(
         queue.select("user_id", c("recommended_action").alias("queue_action")), "user_id", "left")
     quiet = c("has_threats").isNull()
+
+    def driver(raw: Column, place: Column) -> Column:
+        piece = strip(raw)
+        return F.when((piece != "") & (piece != ROUTINE), _line("key_drivers", 1, place, F.concat(
+            F.upper(F.substring(piece, 1, 1)), F.btrim(raw).substr(F.lit(2), F.length(raw)))))
+
     steps = F.filter(F.array_distinct(F.array(
         F.when(c("post_termination"), "Immediately revoke all active identity credentials, SSO "
                                       "tokens, and IAM session access."),
@@ -398,33 +470,32 @@ def report_lines(headers: DataFrame, threats: DataFrame, queue: DataFrame) -> Da
         F.when(c("risk_score") >= 80, "Collect endpoint forensic memory dump and inspect "
                                       "authentication audit logs."),
     )), lambda s: s.isNotNull())
-    parts = [
-        _lines(drivers.where(piece != "").where(piece != ROUTINE), "key_drivers", 1, c("pos"),
-               F.concat(F.upper(F.substring(piece, 1, 1)), F.expr("substring(btrim(raw), 2)"))),
-        _lines(named, "key_drivers", 2, c("at"), F.concat(
-            say("Active Threat Detection: "), c("threat_type"), say(" ("), c("severity"), say(")"))),
-        _lines(facts.where(quiet & (F.coalesce("risk_drivers", say(ROUTINE)) == ROUTINE)),
-               "key_drivers", 3, first, say(ROUTINE)),
-        _lines(facts.where("post_termination"), "critical_findings", 1, first, F.concat(
-            say("CRITICAL: Unauthorized post-termination activity detected for user "), c("user_id"),
-            say(" ("), c("user_name"), say(") after termination date "), term, say("."))),
-        _lines(named, "critical_findings", 2, c("at"), F.concat(
-            say("Threat Detection ["), c("threat_id"), say("]: "), c("threat_type"), say(" ("),
-            c("severity"), say(")"),
-            F.when(_text("evidence") != "", F.concat(say(" — Evidence: "), c("evidence")))
-            .otherwise(""))),
-        _lines(facts.where("device_id_conflict"), "critical_findings", 3, first, F.concat(
-            say("Device Ownership Conflict: Device "), c("device_id"), say(" is linked to "),
-            c("device_user_count").cast("string"), say(" different users."))),
-        _lines(facts.where(quiet & ~c("post_termination") & ~c("device_id_conflict")),
-               "critical_findings", 4, first, say(NO_FINDING)),
-        _lines(facts.select("user_id", F.posexplode(steps).alias("pos", "step")),
-               "recommended_next_steps", 1, c("pos"), c("step")),
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    of_users = _inlined(
+        facts,
+        F.transform(F.split(F.coalesce("risk_drivers", say("")), ";"), driver),
+        F.array(
+            F.when(quiet & (F.coalesce("risk_drivers", say(ROUTINE)) == ROUTINE),
+                   _line("key_drivers", 3, first, say(ROUTINE))),
+            F.when(c("post_termination"), _line("critical_findings", 1, first, F.concat(
+                say("CRITICAL: Unauthorized post-termination activity detected for user "), c("user_id"),
+                say(" ("), c("user_name"), say(") after termination date "), term, say(".")))),
+            F.when(c("device_id_conflict"), _line("critical_findings", 3, first, F.concat(
+                say("Device Ownership Conflict: Device "), c("device_id"), say(" is linked to "),
+                c("device_user_count").cast("string"), say(" different users.")))),
+            F.when(quiet & ~c("post_termination") & ~c("device_id_conflict"),
+                   _line("critical_findings", 4, first, say(NO_FINDING)))),
+        F.transform(steps, lambda step, place: _line("recommended_next_steps", 1, place, step)))
+    severity = F.upper(_or("severity", "Medium"))
+    of_threats = _inlined(
+        threats.join(headers.select("user_id"), "user_id", "left_semi").withColumn("at", threat_order()),
+        F.array(
+            _line("key_drivers", 2, c("at"), F.concat(
+                say("Active Threat Detection: "), c("threat_type"), say(" ("), severity, say(")"))),
+            _line("critical_findings", 2, c("at"), F.concat(
+                say("Threat Detection ["), c("threat_id"), say("]: "), c("threat_type"), say(" ("),
+                severity, say(")"),
+                F.when(_text("evidence") != "", F.concat(say(" — Evidence: "), c("evidence"))).otherwise("")))))
+    return of_users.unionByName(of_threats)
 
 
 # --- analyst summaries ------------------------------------------------------------------------
@@ -472,10 +543,9 @@ def user_comparison(identity: DataFrame, risk: DataFrame, threats: DataFrame) ->
     )
 
 
-def traffic_volume(firewall_part: DataFrame) -> DataFrame:
-    return firewall_part.groupBy("user_id").agg(
-        F.sum("total_bytes").alias("total_bytes"), F.count(F.lit(1)).alias("log_entries"),
-    ).withColumn("traffic_mb", two_decimals(F.col("total_bytes") / (1024 * 1024)))
+def traffic_volume(traffic: DataFrame) -> DataFrame:
+    """The whole traffic of a user's hosts (see ``user_traffic``)."""
+    return traffic.select("user_id", "total_bytes", "log_entries").withColumn("traffic_mb", two_decimals(F.col("total_bytes") / (1024 * 1024)))
 
 
 def mfa_evidence(iam_part: DataFrame) -> DataFrame:
@@ -483,21 +553,33 @@ def mfa_evidence(iam_part: DataFrame) -> DataFrame:
     return iam_part.where(as_flag(~F.col("mfa_passed")) | F.upper("event_type").contains("MFA"))
 
 
-DOMAINS = ("iam", "endpoint", "firewall", "timeline")
+DOMAINS = ("identity", "risk", "threats", "iam", "endpoint", "firewall", "timeline")
+_PLACES = {
+    "threats": ("threat_order",), "iam": IAM_ORDER, "endpoint": ENDPOINT_ORDER, "firewall": FIREWALL_ORDER, "timeline": ("position",)}
 
 
 def evidence_bundle(parts: dict[str, DataFrame], users: DataFrame) -> DataFrame:
-    """Per user one list per selected domain (see ``DOMAINS``).
+    """The selected domains (see ``DOMAINS``) of the users in one long table.
 
-    Each part is already limited per user, which bounds its list.
+    One row per (user, domain, record): ``place`` orders the records of a domain, ``payload`` is the record as a
+    VARIANT. No list is ever gathered, so a domain may hold any number of records.
     """
-    bundle = users.select("user_id").distinct()
-    for name, part in parts.items():
-        place = "position" if name == "timeline" else "event_no"
-        fields = [place, *[n for n in part.columns if n not in ("user_id", place)]]
-        lists = part.groupBy("user_id").agg(
-            F.array_sort(F.collect_list(F.struct(*fields))).alias(name))
-        bundle = bundle.join(lists, "user_id", "left")
-    return bundle
-
-
+    wanted = users.select("user_id").distinct()
+    rows = None
+    for name in DOMAINS:
+        if name not in parts:
+            continue
+        part = parts[name]
+        fields = [c for c in part.columns if c != "user_id"]
+        place = [F.coalesce(F.lpad(F.col(c).cast("string"), 12, "0") if c == "position" else F.col(c).cast("string"), F.lit("~"))
+                 for c in _PLACES.get(name, ())]
+        record = part.select("user_id", F.lit(name).alias("domain"), F.concat_ws("|", *place).alias("place"),
+                             F.to_variant_object(F.struct(*[_plain(part, c).alias(c) for c in fields])).alias("payload"))
+        rows = record if rows is None else rows.unionByName(record)
+    return rows.join(wanted, "user_id", "left_semi")
+
+
+def _plain(df: DataFrame, name: str) -> Column:
+    """Times as text, which every reader of a VARIANT understands alike."""
+    kind = dict(df.dtypes)[name]
+    return F.col(name).cast("string") if kind.startswith("timestamp") else F.col(name)

@@ -107,13 +107,26 @@ class Feed:
         return self.published(
             "investigation_queue", lambda: build_queue(self.threats, self.risk, self.identity))
 
+    @cached_property
+    def hosts(self) -> DataFrame:
+        """Every host of every user."""
+        return self.published("related_hosts", lambda: investigate.related_hosts(self.identity, self.iam, self.endpoint))
+
+    @cached_property
+    def traffic(self) -> DataFrame:
+        return self.published(
+            "user_traffic", lambda: investigate.user_traffic(investigate.host_keys(self.hosts), self.firewall))
+
+    def firewall_events(self, n: int | None = None) -> DataFrame:
+        return investigate.firewall_events(investigate.host_keys(self.hosts), self.firewall, n)
+
     @cached_property
     def timeline(self) -> DataFrame:
-        """The evidence timeline of every user, which the reports read."""
-        def build() -> DataFrame:
-            tables = (self.identity, self.iam, self.endpoint, self.firewall)
-            return investigate.evidence_timeline(
-                investigate.iam_events(self.iam, 100), investigate.endpoint_events(self.endpoint, 100),
-                investigate.firewall_events(*tables, 100))
-
-        return self.published("evidence_timeline", build)
+        """The whole evidence timeline of every user."""
+        return self.published("evidence_timeline", lambda: investigate.evidence_timeline(
+            investigate.iam_events(self.iam), investigate.endpoint_events(self.endpoint), self.firewall_events()))
+
+    @cached_property
+    def report_headers(self) -> DataFrame:
+        return investigate.report_headers(
+            self.identity, self.risk, investigate.latest_activity(self.iam, self.endpoint, self.traffic))

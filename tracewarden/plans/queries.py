@@ -341,20 +341,6 @@ def investigation_queue_summary(t: Feed) -> DataFrame:
 
 # --- investigation ----------------------------------------------------------------------------
 
-def _events(t: Feed, n: int) -> dict[str, DataFrame]:
-    parts = {
-        "iam": investigate.iam_events(t.iam, n),
-        "endpoint": investigate.endpoint_events(t.endpoint, n),
-        "firewall": investigate.firewall_events(t.identity, t.iam, t.endpoint, t.firewall, n),
-    }
-    return parts
-
-
-def _timeline(t: Feed, n: int = 100) -> DataFrame:
-    parts = _events(t, n)
-    return investigate.evidence_timeline(parts["iam"], parts["endpoint"], parts["firewall"], n)
-
-
 @query
 def known_iam_users(t: Feed) -> DataFrame:
     return investigate.existing_users(t.iam.select("user_id").distinct(), t.identity, t.risk)
@@ -399,37 +385,56 @@ def endpoint_events_per_user(t: Feed) -> DataFrame:
 
 
 @query
-def related_hosts(t: Feed) -> DataFrame:
-    hosts = investigate.related_hosts(t.identity, t.iam, t.endpoint)
-    return investigate.related_host_lists(hosts).withColumn("hosts", F.array_join("hosts", ","))
+def firewall_events_per_user(t: Feed) -> DataFrame:
+    return t.firewall_events()
 
 
 @query
-def firewall_events_per_user(t: Feed) -> DataFrame:
-    return _events(t, 50)["firewall"]
+def iam_first_50_events_per_user(t: Feed) -> DataFrame:
+    return investigate.iam_events(t.iam, 50)
+
+
+@query
+def endpoint_first_50_events_per_user(t: Feed) -> DataFrame:
+    return investigate.endpoint_events(t.endpoint, 50)
+
+
+@query
+def firewall_first_50_events_per_user(t: Feed) -> DataFrame:
+    return t.firewall_events(50)
+
+
+@query
+def related_hosts(t: Feed) -> DataFrame:
+    return investigate.related_hosts(t.identity, t.iam, t.endpoint)
 
 
 @query
 def evidence_timeline(t: Feed) -> DataFrame:
-    return _timeline(t)
+    return investigate.evidence_timeline(
+        investigate.iam_events(t.iam), investigate.endpoint_events(t.endpoint), t.firewall_events())
+
+
+@query
+def evidence_timeline_first_100(t: Feed) -> DataFrame:
+    return t.timeline.where("position <= 100")
 
 
 @query
 def timeline_chart_points(t: Feed) -> DataFrame:
-    return investigate.chart_points(_timeline(t))
+    return investigate.chart_points(t.timeline)
 
 
 @query
 def investigation_report(t: Feed) -> DataFrame:
-    headers = investigate.report_headers(t.identity, t.risk, t.timeline)
+    headers = t.report_headers
     fixed = [n for n in headers.columns if n != "score_breakdown"]
     return headers.select(*fixed, "score_breakdown.*")
 
 
 @query
 def investigation_report_lines(t: Feed) -> DataFrame:
-    headers = investigate.report_headers(t.identity, t.risk, t.timeline)
-    return investigate.report_lines(headers, t.threats, t.queue)
+    return investigate.report_lines(t.report_headers, t.threats, t.queue)
 
 
 @query
@@ -454,22 +459,22 @@ def user_comparison(t: Feed) -> DataFrame:
 
 @query
 def traffic_volume(t: Feed) -> DataFrame:
-    return investigate.traffic_volume(_events(t, 20)["firewall"])
+    return investigate.traffic_volume(t.traffic)
 
 
 @query
 def mfa_evidence(t: Feed) -> DataFrame:
-    return investigate.mfa_evidence(investigate.iam_events(t.iam, 20))
+    return investigate.mfa_evidence(investigate.iam_events(t.iam))
 
 
 @query
 def evidence_bundle(t: Feed) -> DataFrame:
-    parts = {**_events(t, 20), "timeline": _timeline(t, 30)}
-    bundle = investigate.evidence_bundle(parts, t.identity.where("user_id IS NOT NULL"))
-    ids = {"iam": "event_id", "endpoint": "alert_id", "firewall": "log_id", "timeline": "details"}
-    return bundle.select("user_id", *[
-        F.array_join(F.col(name).getField(field), ";").alias(name)
-        for name, field in ids.items()])
+    parts = {
+        "identity": identity_context(t), "risk": user_risk_profile(t), "threats": user_threats(t),
+        "iam": investigate.iam_events(t.iam), "endpoint": investigate.endpoint_events(t.endpoint),
+        "firewall": t.firewall_events(), "timeline": t.timeline}
+    bundle = investigate.evidence_bundle({n: portable(part) for n, part in parts.items()}, t.identity.where("user_id IS NOT NULL"))
+    return bundle.withColumn("payload", F.to_json("payload"))
 
 
 # --- summaries ----------------------------------------------------------------------------------
