@@ -196,3 +196,19 @@ def test_first_rows_of_a_hot_key(spark):
     # rows that reach the second level: at most n for each salt
     few = rows.where("user_id = 'hot'").withColumn("_salt", F.pmod(F.xxhash64("user_id", "t"), F.lit(investigate.SALTS)))
     assert few.select("_salt").distinct().count() == investigate.SALTS
+
+
+def test_names_among_many_words(spark):
+    """Names of one to five words, odd separators, against a plain search; no shuffle but of filtered runs."""
+    import re
+
+    people = ["Ann O'Neil", "Bo-Lin", "José de la Cruz Vega", "Zoë", "Ann", "x_y 9", "Maria  Two-Spaces", "Åsa Öst"]
+    ident = identity(spark, *[{"user_id": f"EMP{i}", "full_name": n} for i, n in enumerate(people)])
+    lines = ["ann o'neil met ANN O'NEIL.", "bo-lin, bo lin", "josé de la cruz vega!", "zoë zoës zoë", "", None, "!!! ...", "x_y 9x x_y 9",
+             "maria  two-spaces maria two-spaces", "the åsa öst-side åsa", "ann " * 3000 + "åsa öst"]
+    texts = spark.createDataFrame(list(enumerate(lines)), "k int, text string")
+    got = {(r["k"], r["user_id"]) for r in investigate.name_mentions(texts, ["k"], ident).collect()}
+    want = {(k, f"EMP{i}") for k, t in enumerate(lines) for i, n in enumerate(people) if t and len(n) >= 4
+            and re.search(rf"(?<!\w){re.escape(n.lower())}(?!\w)", t.lower())}
+    assert got == want and len(want) >= 7
+    assert investigate.name_mentions(texts, ["k"], identity(spark)).collect() == []

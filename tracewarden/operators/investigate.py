@@ -78,24 +78,54 @@ def directory_names(identity: DataFrame) -> DataFrame:
     )
 
 
+# bits of the filter of name beginnings: a fixed size, whatever the directory's
+FILTER_BITS = 1 << 20
+
+
+def _beginning(word: Column, count: Column) -> Column:
+    """Place of a first word and a number of words in the filter."""
+    return F.pmod(F.xxhash64(word, count), F.lit(FILTER_BITS))
+
+
+def beginnings_filter(names: DataFrame) -> list[int]:
+    """Words of 64 bits, FILTER_BITS in all, with the beginnings of the names set (``words``, ``first``)."""
+    at = _beginning(F.col("first"), F.col("words"))
+    bit = F.expr("shiftleft(1L, cast(at % 64 as int))")
+    rows = names.select(at.alias("at")).distinct().select((F.col("at") / 64).cast("int").alias("place"), bit.alias("bit"))
+    found = rows.groupBy("place").agg(F.bit_or("bit").alias("bits")).collect()  # at most FILTER_BITS / 64 rows
+    words = [0] * (FILTER_BITS // 64)
+    for r in found:
+        words[r["place"]] = r["bits"]
+    return words
+
+
 def name_mentions(texts: DataFrame, keys: Sequence[str], identity: DataFrame) -> DataFrame:
     """Whole-word, case-insensitive name mentions.
 
-    Every run of 1..k words of a text is compared with the names by an equi-join, k being the
-    largest number of words in a name (one number read from the directory). Runs are reduced
-    to distinct (text, run) first. Names begin and end with a word character.
+    A text is cut once into words and what stands between them. A fixed-size filter of the names'
+    first words and word counts tells where a name may begin; only there are runs of words formed
+    and compared with the names by an equi-join. So neither the words nor the runs of all texts are shuffled.
+    Names begin and end with a word character.
     """
-    names = directory_names(identity)
-    words = F.size(F.regexp_extract_all("name", F.lit(r"(?U)\w+"), F.lit(0)))
-    longest = names.agg(F.max(words)).first()[0] or 0
-    lowered = texts.select(*keys, F.lower("text").alias("text"))
-    runs = [
-        F.regexp_extract_all(
-            "text", F.lit(rf"(?U)(?=\b(\w+(?:\W+\w+){{{n}}})\b)"), F.lit(1))
-        for n in range(longest)
-    ] or [F.array().cast("array<string>")]
-    found = lowered.select(*keys, F.explode(F.array_distinct(F.flatten(F.array(*runs)))).alias("name"))
-    return found.join(names, "name").select(
+    every = F.regexp_extract_all("name", F.lit(r"(?U)\w+"), F.lit(0))
+    names = directory_names(identity).withColumns({"words": F.size(every), "first": F.get(every, F.lit(0))}).where("words > 0")
+    counts = sorted(r["words"] for r in names.select("words").distinct().collect())  # lengths of names, not names
+    bits = F.from_json(F.lit(str(beginnings_filter(names))), "array<bigint>")
+    tokens = texts.select(*keys, F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\w+|\W+"), F.lit(0)).alias("_tokens"))
+    token, size = F.col("_tokens"), F.size("_tokens")
+
+    def may_begin(place: Column, count: Column) -> Column:
+        at = _beginning(F.get(token, place), count)
+        word = F.get(bits, (at / 64).cast("int"))
+        return (F.getbit(word, (at % 64).cast("int")) == 1) & (place + 2 * count - 1 <= size)
+
+    def runs(place: Column) -> Column:
+        lengths = F.filter(F.array(*[F.lit(n) for n in counts]).cast("array<int>"), lambda n: may_begin(place, n))
+        return F.transform(lengths, lambda n: F.array_join(F.slice(token, place + 1, 2 * n - 1), ""))
+
+    places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
+    found = tokens.select(*keys, F.explode(F.array_distinct(F.flatten(F.transform(places, runs)))).alias("name"))
+    return found.join(names.select("name", "user_id"), "name").select(
         *keys, "user_id", F.lit(True).alias("found"), F.lit("name").alias("how"))
 
 
