@@ -72,3 +72,18 @@ def test_median_against_brute_force(spark):
         df = spark.createDataFrame(rows, "g string, us long, l boolean")
         out = median_gaps(df, ["g"], F.col("us"), F.col("l"), ~F.col("l"))
         assert {r["g"]: r["median_us"] for r in out.collect()} == want
+
+
+def test_median_of_a_hot_day(spark):
+    """One group with all its events on one day, next to groups that are found in the first rounds."""
+    rows = spark.range(6000).select(
+        F.lit("hot").alias("g"), (F.col("id") * 14_400_000 + F.pmod(F.col("id") * 7919, F.lit(1000))).alias("us"), (F.col("id") % 4 == 0).alias("l"))
+    small = [("one", 5, True), ("one", 5, False), ("two", 0, True), ("two", 7, False), ("two", 9, False)]
+    df = rows.unionByName(spark.createDataFrame(small, "g string, us long, l boolean"))
+    by = {}
+    for r in rows.collect():
+        by.setdefault(r["l"], []).append(r["us"])
+    import numpy as np
+    gaps = np.abs(np.array(by[True])[:, None] - np.array(by[False])[None, :])
+    got = {r["g"]: r["median_us"] for r in median_gaps(df, ["g"], F.col("us"), F.col("l"), ~F.col("l")).collect()}
+    assert got == {"hot": float(np.median(gaps)), "one": 0.0, "two": 8.0}
