@@ -71,31 +71,62 @@ def _induce_arrays(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray) -> np.nd
 
 def _induce_places(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """The same one suffix at a time, for alphabets about as large as the text."""
-    n, ends = len(s), np.cumsum(np.bincount(s))
-    heads, tails = (ends - np.bincount(s)).tolist(), ends.tolist()
-    symbols, small = s.tolist(), smaller.tolist()
-    out = [-1] * n
-    last = tails[:]
-    for p in lms[::-1].tolist():
-        c = symbols[p]
+    n, counts = len(s), np.bincount(s)
+    ends = np.cumsum(counts)
+    heads, tails = (ends - counts).tolist(), ends.tolist()
+    # the symbol on the left of each place if its suffix is of the wanted class, else -1; the last entry is for gaps
+    left = np.full(n + 1, -1)
+    left[1:n] = np.where(smaller[:-1], -1, s[:-1])
+    larger_left = left.tolist()
+    left[1:n] = np.where(smaller[:-1], s[:-1], -1)
+    smaller_left = left.tolist()
+    out, last = [-1] * n, tails[:]
+    for p, c in zip(lms[::-1].tolist(), s[lms[::-1]].tolist()):
         last[c] -= 1
         out[last[c]] = p
-    for at in range(n):
-        p = out[at] - 1
-        if p >= 0 and not small[p]:
-            c = symbols[p]
-            out[heads[c]] = p
+    # both loops read what they have written further on
+    for p in out:
+        c = larger_left[p]
+        if c >= 0:
+            out[heads[c]] = p - 1
             heads[c] += 1
-    for at in range(n - 1, -1, -1):
-        p = out[at] - 1
-        if p >= 0 and small[p]:
-            c = symbols[p]
+    for p in reversed(out):
+        c = smaller_left[p]
+        if c >= 0:
             tails[c] -= 1
-            out[tails[c]] = p
+            out[tails[c]] = p - 1
     out[0] = n - 1
     return np.array(out, np.int64)
 
 
+def sorted_substrings(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The leftmost smaller places in the order of their substrings, and where another substring begins.
+
+    One symbol (with its class) a round orders the groups still tied; tied substrings end together.
+    """
+    length = np.zeros(len(s), np.int64)
+    length[lms] = np.append(np.diff(lms) + 1, 1)
+    order = lms[np.argsort(s[lms], kind="stable")]
+    new = np.concatenate([[True], np.diff(s[order]) != 0])
+    place = np.arange(len(order))
+    group = np.maximum.accumulate(np.where(new, place, 0))
+    scale, step, open_ = 2 * (int(s.max()) + 1), 1, place
+    while len(open_):
+        fresh = new[open_]
+        open_ = open_[~fresh | np.append(~fresh[1:], False)]
+        open_ = open_[length[order[open_]] > step]
+        if not len(open_):
+            break
+        p = order[open_]
+        key = group[open_] * scale + 2 * s[p + step] + smaller[p + step]
+        turn = np.argsort(key, kind="stable")
+        order[open_], key = p[turn], key[turn]
+        new[open_[1:][key[1:] != key[:-1]]] = True
+        group[open_] = np.maximum.accumulate(np.where(new[open_], open_, 0))
+        step += 1
+    return order, new
+
+
 def suffix_array(s: np.ndarray) -> np.ndarray:
     """Order of all suffixes of whole numbers >= 0 whose last one is 0, the only 0."""
     n = len(s)
@@ -105,24 +136,10 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     alphabet = int(s.max()) + 1
     induce = _induce_arrays if alphabet <= _SMALL_ALPHABET or n > _WIDE_BUCKET * alphabet else _induce_places
-    first = induce(s, smaller, lms[np.argsort(s[lms], kind="stable")])
-    is_lms = np.zeros(n, bool)
-    is_lms[lms] = True
-    order = first[is_lms[first]]
-    length = np.zeros(n, np.int64)
-    length[lms] = np.append(np.diff(lms) + 1, 1)
-    a, b = order[:-1], order[1:]
-    equal = length[a] == length[b]
-    open_, step = np.flatnonzero(equal), 0
-    while len(open_):
-        same = s[a[open_] + step] == s[b[open_] + step]
-        equal[open_[~same]] = False
-        step += 1
-        open_ = open_[same]
-        open_ = open_[length[a[open_]] > step]
-    names = np.zeros(n, np.int64)
-    names[order] = np.concatenate([[0], np.cumsum(~equal)])
-    if int(names[order[-1]]) + 1 < len(order):
+    order, new = sorted_substrings(s, smaller, lms)
+    if not new.all():
+        names = np.zeros(n, np.int64)
+        names[order] = np.cumsum(new) - 1
         order = lms[suffix_array(names[lms])]
     return induce(s, smaller, order)
 

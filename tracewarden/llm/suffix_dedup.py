@@ -3,7 +3,8 @@
 Every window of WINDOW bytes is dealt by the smallest hash among its GRAM-byte strings, so equal
 windows meet whatever document they stand in; neighbouring windows with one such anchor form a
 piece. A piece whose anchor occurs once, in all documents, holds no repeat. Of the others equal ones collapse to one
-with a count, and the different pieces of an anchor go to one shard. A shard lays its pieces end
+with a count, and the different pieces of an anchor go to one shard (an anchor with a single one is settled by
+its count). A shard lays its pieces end
 to end, sorts their suffixes by induced sorting and reads from the permuted common prefixes which
 windows stand there twice. An anchor with too many different pieces for one shard is
 dealt anew by whole windows, which are counted. The verdicts return to all occurrences.
@@ -225,20 +226,27 @@ def covered_spans(docs: DataFrame, window: int = WINDOW, hot_pieces: int = HOT_P
     again = occurrences.groupBy("anchor").agg(F.count("*").alias("n"), F.max("inner").alias("inner")).where("n > 1 OR inner").select("anchor")
     met, met_folder = written(occurrences.drop("inner").join(again, "anchor", "left_semi"))
     distinct, distinct_folder = written(met.groupBy("anchor", "seg", "windows").agg(
-        F.count("*").alias("n"), F.min(F.struct("key", "start")).alias("at")).select("anchor", "seg", "windows", "n", "at.key", "at.start"))
+        F.count("*").alias("n"), F.min(F.struct("key", "start")).alias("at"))
+        .select("anchor", "seg", "windows", "n", "at.key", "at.start"))
     discarded(spark, folder)
-    hot, hot_folder = written(distinct.groupBy("anchor").count().where(F.col("count") > hot_pieces).select("anchor"))
-    common = distinct.join(hot, "anchor", "left_anti")
+    # anchors by their number of different pieces: one that occurs again, some, or too many for a shard
+    kinds, kinds_folder = written(distinct.groupBy("anchor").agg(F.count("*").alias("different"), F.max("n").alias("most"))
+                                  .select("anchor", (F.col("different") > hot_pieces).alias("hot"),
+                                          ((F.col("different") == 1) & (F.col("most") > 1)).alias("settled")))
+    common = distinct.join(kinds.where("NOT hot AND NOT settled"), "anchor", "left_semi")
+    hot = kinds.where("hot")
+    settled = distinct.join(kinds.where("settled"), "anchor", "left_semi").select(
+        "anchor", "seg", "windows", F.lit(0).cast("long").alias("low"), F.col("windows").cast("long").alias("high"))
     schema = "anchor long, seg long, windows long, low long, high long"
     runs = (_bytes_of(docs, common, window).repartition("anchor").sortWithinPartitions("anchor", "seg", "windows")
-            .mapInArrow(lambda batches: _shards(batches, window), schema))
+            .mapInArrow(lambda batches: _shards(batches, window), schema)).unionByName(settled)
     if not hot.isEmpty():
         runs = runs.unionByName(_by_windows(_bytes_of(docs, distinct.join(hot, "anchor", "left_semi"), window), window))
     spans = (met.join(runs, ["anchor", "seg", "windows"])
              .select("key", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high") + window - 1).alias("high"))
              .distinct().groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("spans")))
     spans, spans_folder = written(spans)
-    for used in (met_folder, distinct_folder, hot_folder):
+    for used in (met_folder, distinct_folder, kinds_folder):
         discarded(spark, used)
     return spans, [spans_folder]
 
