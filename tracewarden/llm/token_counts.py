@@ -17,6 +17,7 @@ from tracewarden.llm.common import map_batches, strings
 
 CHUNK, OVERLAP = 1 << 15, 1 << 10
 LIMIT = 2048
+CACHED_PIECES = 300_000
 _GAP = " \t\n\r"
 
 
@@ -62,6 +63,36 @@ def count_long(starts, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) ->
     return total + len(left)
 
 
+class PieceCounts:
+    """Tokens of texts as sums over the pieces between stable boundaries, each piece encoded once."""
+
+    def __init__(self, tokenizer, most: int = CACHED_PIECES):
+        self.tokenizer, self.most, self.known = tokenizer, most, {}
+
+    def _encoded(self, texts: list[str]) -> list[int]:
+        out = []
+        for at in range(0, len(texts), 256):
+            out += [len(e.ids) for e in self.tokenizer.encode_batch_fast(texts[at:at + 256], add_special_tokens=False)]
+        return out
+
+    def counts(self, texts: list[str]) -> list[int]:
+        pieces = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        if len(self.known) > self.most:
+            self.known = {}
+        new = list(set().union(*pieces) - self.known.keys()) if pieces else []
+        # a piece that begins with a combining mark may belong to what stands before it: no boundary there
+        whole = {p: None for p in new if p and unicodedata.combining(p[0])}
+        new = [p for p in new if p not in whole]
+        self.known |= whole | dict(zip(new, self._encoded(new)))
+        out = []
+        for text, parts in zip(texts, pieces):
+            try:
+                out.append(sum(map(self.known.__getitem__, parts)))
+            except TypeError:
+                out += self._encoded([text])
+        return out
+
+
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT,
                  chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row.
@@ -72,6 +103,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT,
 
     def make():
         tokenizer = load(tokenizer_path)
+        pieces = PieceCounts(tokenizer)
 
         def starts(piece):
             offsets = tokenizer.encode(piece, add_special_tokens=False).offsets
@@ -83,8 +115,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT,
             short = [i for i, t in enumerate(texts) if len(t) <= chunk]
             for at in range(0, len(short), 64):
                 some = short[at:at + 64]
-                for i, e in zip(some, tokenizer.encode_batch_fast([texts[i] for i in some], add_special_tokens=False)):
-                    counts[i] = len(e.ids)
+                for i, n in zip(some, pieces.counts([texts[i] for i in some])):
+                    counts[i] = n
             for i, t in enumerate(texts):
                 if len(t) > chunk:
                     counts[i] = count_long(starts, t, chunk, overlap)
