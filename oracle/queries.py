@@ -101,6 +101,10 @@ add("identity_pipeline_summary", ("raw_identity", "identity"), _summary({
     "device_conflict_records": _n("identity", "device_id_conflict"),
     "conflicting_devices": "SELECT COUNT(DISTINCT device_id) FROM identity WHERE device_id_conflict",
     "termination_before_hire": _n("identity", "termination_date < hire_date"),
+    # texts that are no token of absence, less those that gave a date
+    "unparsed_dates": """SELECT (SELECT COUNT(*) FILTER (WHERE lower(trim(hire_date)) NOT IN ('not available', 'na', 'n/a', 'none', 'null', ''))
+        + COUNT(*) FILTER (WHERE lower(trim(termination_date)) NOT IN ('not available', 'na', 'n/a', 'none', 'null', ''))
+        FROM (SELECT DISTINCT * FROM raw_identity)) - (SELECT COUNT(hire_date) + COUNT(termination_date) FROM identity)""",
 }))
 _iam_conf = "SELECT device_id FROM iam WHERE device_id IS NOT NULL GROUP BY device_id HAVING COUNT(DISTINCT user_id) > 1"
 add("iam_pipeline_summary", ("raw_iam", "iam"), _summary({
@@ -109,6 +113,8 @@ add("iam_pipeline_summary", ("raw_iam", "iam"), _summary({
     "duplicate_event_ids": "SELECT COUNT(*) - COUNT(DISTINCT COALESCE(event_id, '~')) FROM iam",
     "missing_timestamps": _n("iam", '"timestamp" IS NULL'), "missing_user_ids": _n("iam", "user_id IS NULL"),
     "missing_session_ids": _n("iam", "session_id IS NULL"),
+    "unparsed_timestamps": """SELECT (SELECT COUNT(*) FILTER (WHERE trim("timestamp") <> '') FROM (SELECT DISTINCT * FROM raw_iam))
+        - (SELECT COUNT("timestamp") FROM iam)""",
     "device_conflicting_ids": f"SELECT COUNT(*) FROM ({_iam_conf})",
     "device_conflict_records": _n("iam", f"device_id IN ({_iam_conf})"),
 }))

@@ -32,12 +32,14 @@ IDENTITY_DEPARTMENTS = _spellings({
     "Innovation": ("Innovation",),
 })
 
-_OFFICE_LIKE = ("Branch Office", "Data Center", "Head Office", "Regional Office", "Work From Home")
-_ONE_WORD = ("Remote", "Warehouse")
-# Fixed rule: upper, title, lower case; multi-word sites also with underscores in title case.
 IDENTITY_LOCATIONS = _spellings({
-    **{v: (v.upper(), v, v.replace(" ", "_"), v.lower()) for v in _OFFICE_LIKE},
-    **{v: (v.upper(), v, v.lower()) for v in _ONE_WORD},
+    "Branch Office": ("BRANCH OFFICE", "Branch Office", "Branch_Office", "branch office"),
+    "Data Center": ("DATA CENTER", "Data Center", "Data_Center", "data center"),
+    "Head Office": ("HEAD OFFICE", "Head Office", "Head_Office", "head office"),
+    "Regional Office": ("REGIONAL OFFICE", "Regional Office", "Regional_Office", "regional office"),
+    "Remote": ("REMOTE", "Remote", "remote"),
+    "Warehouse": ("WAREHOUSE", "Warehouse", "warehouse"),
+    "Work From Home": ("WORK FROM HOME", "Work From Home", "Work_From_Home", "work from home"),
 })
 
 IDENTITY_STATUSES = _spellings({

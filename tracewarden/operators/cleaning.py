@@ -6,7 +6,7 @@ Each ``*_stage`` keeps the number of raw copies per row, so the summaries need o
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import categories as cat
@@ -16,7 +16,7 @@ from ..functions import timestamps as times
 from ..functions.text import as_flag, stripped
 from ..schemas import CLEAN_COLUMNS, ENDPOINT_ISSUE_FLAGS, RAW_COLUMNS
 from ..sources.raw import expected_only
-from .dedupe import COPIES, distinct_with_copies, flag_duplicate_keys
+from .dedupe import COPIES, UNPARSED, distinct_with_copies, flag_duplicate_keys
 
 
 def device_users(df: DataFrame) -> DataFrame:
@@ -28,6 +28,15 @@ def device_users(df: DataFrame) -> DataFrame:
     )
 
 
+# Texts that stand for no date in the identity master
+NO_DATE = ("not available", "na", "n/a", "none", "null", "")
+
+
+def unparsed(*fields: tuple[Column, Column, tuple[str, ...]]) -> Column:
+    """How many (text, time, tokens) hold a text that is no token of absence and yet gave no time."""
+    return sum(as_flag(~F.lower(text).isin(*tokens) & time.isNull()).cast("bigint") for text, time, tokens in fields).alias(UNPARSED)
+
+
 def identity_stage(raw: DataFrame) -> DataFrame:
     rows = stripped(distinct_with_copies(expected_only(raw, "identity")), RAW_COLUMNS["identity"][2:])
     c = F.col
@@ -43,13 +52,14 @@ def identity_stage(raw: DataFrame) -> DataFrame:
         ids.identity_hostname(c("hostname")).alias("hostname"),
         ids.identity_device_id(c("device_id")).alias("device_id"),
         ids.identity_username(c("manager_username")).alias("manager_username"),
+        unparsed(*[(c(n), times.identity_timestamp(c(n)), NO_DATE) for n in ("hire_date", "termination_date")]),
         COPIES,
     )
     counted = cleaned.join(device_users(cleaned), "device_id", "left")
     count = F.coalesce(c("device_user_count"), F.lit(0))
     return counted.withColumns(
         {"device_user_count": count, "device_id_conflict": c("device_id").isNotNull() & (count > 1)}
-    ).select(*CLEAN_COLUMNS["identity"], COPIES)
+    ).select(*CLEAN_COLUMNS["identity"], UNPARSED, COPIES)
 
 
 def iam_stage(raw: DataFrame) -> DataFrame:
@@ -73,6 +83,7 @@ def iam_stage(raw: DataFrame) -> DataFrame:
         net.iam_score(c("risk_score")).alias("risk_score"),
         cat.iam_risk_level(c("risk_score")).alias("risk_level"),
         cat.iam_geo(c("geo_location")).alias("geo_location"),
+        unparsed((c("timestamp"), times.mixed_timestamp(c("timestamp")), ("",))),
         COPIES,
     )
 
@@ -177,4 +188,4 @@ STAGES = {
 
 
 def clean(table: str, raw: DataFrame) -> DataFrame:
-    return STAGES[table](raw).drop(COPIES)
+    return STAGES[table](raw).drop(COPIES, UNPARSED)

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 COPIES = "_copies"
+# time fields of a row that hold a text no date family reads
+UNPARSED = "_unparsed"
 
 
 def distinct_with_copies(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

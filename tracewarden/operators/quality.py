@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import categories as cat
 from ..functions.text import as_flag, strip
 from .cleaning import device_users
-from .dedupe import COPIES, duplicate_key_summary
+from .dedupe import COPIES, UNPARSED, duplicate_key_summary
 
 
 def two_decimals(c: Column) -> Column:
@@ -153,16 +153,22 @@ def _raw_and_clean(raw_rows: int | None, names: tuple[str, str, str]) -> dict[st
 
 
 def _width(df: DataFrame) -> Column:
-    return F.lit(len([n for n in df.columns if n != COPIES]))
+    return F.lit(len([n for n in df.columns if n not in (COPIES, UNPARSED)]))
 
 
-def identity_summary(stage: DataFrame, raw_rows: int | None = None) -> DataFrame:
+def _seen_or_sum(seen: int | None, column: str) -> Column:
+    """A sum over the stage, or its value as observed while a clean table without the column was written."""
+    return F.coalesce(F.sum(column), F.lit(0)) if seen is None else F.lit(seen)
+
+
+def identity_summary(stage: DataFrame, raw_rows: int | None = None, unparsed: int | None = None) -> DataFrame:
     figures = {
         **_raw_and_clean(raw_rows, ("raw_rows", "exact_duplicate_rows", "clean_rows")),
         **_missing("user_id", "username", "hostname", "device_id"),
         "device_conflict_records": _count_if(F.col("device_id_conflict")),
         "conflicting_devices": F.countDistinct(F.when(F.col("device_id_conflict"), F.col("device_id"))),
         "termination_before_hire": _count_if(termination_before_hire(stage)),
+        "unparsed_dates": _seen_or_sum(unparsed, UNPARSED),
     }
     repeated = duplicate_key_summary(stage, "user_id").select(
         F.lit("duplicate_user_id_rows").alias("metric"),
@@ -171,7 +177,9 @@ def identity_summary(stage: DataFrame, raw_rows: int | None = None) -> DataFrame
     return _metrics(stage, figures).unionByName(repeated)
 
 
-def iam_summary(stage: DataFrame, raw_columns: int, raw_rows: int | None = None) -> DataFrame:
+def iam_summary(
+    stage: DataFrame, raw_columns: int, raw_rows: int | None = None, unparsed: int | None = None
+) -> DataFrame:
     figures = {
         **_raw_and_clean(raw_rows, ("raw_rows", "exact_duplicates_removed", "final_rows")),
         "raw_columns": F.lit(raw_columns),
@@ -179,6 +187,7 @@ def iam_summary(stage: DataFrame, raw_columns: int, raw_rows: int | None = None)
         "missing_timestamps": _count_if(F.col("timestamp").isNull()),
         "missing_user_ids": _count_if(F.col("user_id").isNull()),
         "missing_session_ids": _count_if(F.col("session_id").isNull()),
+        "unparsed_timestamps": _seen_or_sum(unparsed, UNPARSED),
     }
     repeated = duplicate_key_summary(stage, "event_id").select(
         F.lit("duplicate_event_ids").alias("metric"), F.col("extra_duplicate_rows").alias("value")

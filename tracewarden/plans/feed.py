@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, investigate
-from ..operators.dedupe import COPIES
+from ..operators.dedupe import COPIES, UNPARSED
 from ..operators.detections import detect, with_threat_ids
 from ..operators.queue import build_queue
 from ..operators.risk import score_users
@@ -69,7 +69,7 @@ class Feed:
         return self.published(f"{table}_stage", lambda: cleaning.STAGES[table](self.raw(table)))
 
     def _clean(self, table: str) -> DataFrame:
-        return self.stage(table).drop(COPIES)
+        return self.stage(table).drop(COPIES, UNPARSED)
 
     @cached_property
     def identity(self) -> DataFrame:

@@ -11,32 +11,40 @@ from pyspark.sql import functions as F
 
 from ..operators import detections, linkage, quality, queue, risk, signals
 from ..operators.cleaning import STAGES
-from ..operators.dedupe import COPIES
+from ..operators.dedupe import COPIES, UNPARSED
 from ..schemas import RAW_COLUMNS
 from ..session import ensure_checkpoint_dir, prepare
 from ..sources.published import publish, require_outputs
-from ..sources.raw import check_raw_inputs, scan
+from ..sources.raw import check_raw_inputs, scan, unexpected_columns
 
 
 def clean_and_report(table: str, raw: DataFrame, folder: str) -> DataFrame:
     """Publish a clean table with its quality report and pipeline summary.
 
-    The raw row count is observed while the clean table is written; everything else in the
-    reports is read back from that table.
+    The raw row count and the texts without a readable time are observed while the clean table is
+    written; everything else in the reports is read back from that table. Columns beyond the contract are not
+    cleaned; the summary counts them under ``unexpected_column: name``, one line each.
     """
     seen = Observation()
-    stage = STAGES[table](raw).observe(seen, F.sum(COPIES).alias("raw_rows"))
-    clean = publish(stage.drop(COPIES), folder, f"{table}_clean")
-    raw_rows = seen.get["raw_rows"] or 0
+    stage = STAGES[table](raw)
+    sums = {COPIES: "raw_rows", UNPARSED: "unparsed"}
+    stage = stage.observe(seen, *[F.sum(c).alias(n) for c, n in sums.items() if c in stage.columns])
+    clean = publish(stage.drop(COPIES, UNPARSED), folder, f"{table}_clean")
+    raw_rows, unparsed = seen.get["raw_rows"] or 0, seen.get.get("unparsed") or 0
     summaries = {
-        "identity": lambda: quality.identity_summary(clean, raw_rows),
-        "iam": lambda: quality.iam_summary(clean, len(raw.columns), raw_rows),
+        "identity": lambda: quality.identity_summary(clean, raw_rows, unparsed),
+        "iam": lambda: quality.iam_summary(clean, len(raw.columns), raw_rows, unparsed),
         "endpoint": lambda: quality.endpoint_summary(clean, raw_rows),
         "firewall": lambda: quality.firewall_summary(clean, raw_rows),
     }
     columns = list(RAW_COLUMNS["firewall"]) if table == "firewall" else None
     publish(quality.column_profile(clean, columns), folder, f"{table}_quality_report")
-    publish(summaries[table](), folder, f"{table}_pipeline_summary")
+    summary = summaries[table]()
+    extra = unexpected_columns(raw, table)
+    if extra:
+        rows = [(f"unexpected_column: {n}", 1) for n in extra]
+        summary = summary.unionByName(raw.sparkSession.createDataFrame(rows, "metric string, value bigint"))
+    publish(summary, folder, f"{table}_pipeline_summary")
     if table == "endpoint":
         quality.require_domains(clean)
     return clean

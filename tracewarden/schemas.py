@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The column names of the exports and of the published tables are the contract
 RAW_COLUMNS: dict[str, tuple[str, ...]] = {
     "identity": (
         "full_name", "role", "user_id", "department", "location", "status", "hire_date",
@@ -54,7 +55,7 @@ CLEAN_COLUMNS: dict[str, tuple[str, ...]] = {
     ),
 }
 
-# The flags that add up to data_quality_issue_count.
+# The flags that add up to data_quality_issue_count.
 ENDPOINT_ISSUE_FLAGS = (
     "duplicate_alert_id_flag", "missing_user_id_flag", "missing_hostname_flag",
     "invalid_detected_timestamp_flag", "invalid_resolved_timestamp_flag",
