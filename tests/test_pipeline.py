@@ -91,3 +91,49 @@ def test_csv_files_with_other_header_order_are_refused(spark, tmp_path):
         (tmp_path / f"{i}.csv").write_text(",".join(header) + "\n" + ",".join(f"{i}_{n}" for n in header) + "\n")
     with pytest.raises(Exception, match="(?i)header"):
         scan_csv(spark, str(tmp_path), "firewall").collect()
+
+
+def test_only_committed_runs_are_read(spark, tmp_path):
+    out = str(tmp_path)
+    first = published.publish(spark.range(5), out, "t")
+    assert first.count() == 5 and published.manifest(spark, out, "t")["rows"] == 5
+
+    def broken(batches):
+        raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        published.publish(spark.range(9).mapInArrow(broken, "id long"), out, "t")
+    # files of a run that never committed lie about, and are not read
+    spark.range(7).write.parquet(f"{out}/t/run-stray")
+    assert published.read(spark, out, "t").count() == 5
+    second = published.publish(spark.range(6).withColumnRenamed("id", "n"), out, "t")
+    assert second.columns == ["n"] and second.count() == 6 and first.count() == 5  # a reader of the former run goes on
+    published.publish(spark.range(0), out, "t")
+    assert tuple(published.verify_outputs(spark, out, ["t"]).first()) == ("t", True, 0)
+    with pytest.raises(FileNotFoundError):
+        published.read(spark, out, "u")
+    text = published.publish(spark.range(3), out, "c", "csv")
+    assert text.dtypes == [("id", "string")] and sorted(r["id"] for r in text.collect()) == ["0", "1", "2"]
+
+
+def test_changed_tables_are_read_anew(spark, tmp_path):
+    from tracewarden.plans.feed import Feed
+
+    def rows():
+        return Feed(spark, str(tmp_path)).published("n", lambda: spark.read.parquet(f"{tmp_path}/n.parquet")).count()
+
+    spark.range(3).write.parquet(f"{tmp_path}/n.parquet")
+    assert rows() == 3 and rows() == 3
+    spark.range(4).write.mode("overwrite").parquet(f"{tmp_path}/n.parquet")
+    assert rows() == 4
+
+
+def test_summaries_tell_unread_times_and_columns(spark, tmp_path):
+    from helpers import raw as made
+
+    rows = made(spark, "identity", {"user_id": "EMP1", "hire_date": "2024-01-05", "termination_date": "n/a"},
+                {"user_id": "EMP2", "hire_date": "the fifth", "termination_date": "2024-13-45"}).withColumn("badge", F.lit("x"))
+    pipeline.clean_and_report("identity", rows, str(tmp_path))
+    found = {r["metric"]: r["value"] for r in published.read(spark, str(tmp_path), "identity_pipeline_summary").collect()}
+    assert (found["unparsed_dates"], found["unexpected_column: badge"], found["raw_rows"]) == (2, 1, 2)
+    assert "_unparsed" not in published.read(spark, str(tmp_path), "identity_clean").columns

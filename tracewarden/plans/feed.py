@@ -17,7 +17,7 @@ from ..operators.risk import score_users
 from ..operators.signals import user_signals
 from ..session import ensure_checkpoint_dir, prepare
 from ..sources import sample_feed
-from ..sources.published import publish, read
+from ..sources.published import inputs_stamp, publish, read
 from ..sources.raw import with_null_tokens
 
 
@@ -34,7 +34,7 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-# (application, folder, table) -> folder of the written table
+# (application, folder and stamp of its tables, table) -> folder of the written table
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
@@ -44,6 +44,8 @@ class Feed:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = prepare(spark)
         self.sf_dir = sf_dir
+        # a table that changes within an application is read anew
+        self.stamp = inputs_stamp(self.spark, sf_dir)
 
     def raw(self, table: str) -> DataFrame:
         df = sample_feed.load(self.spark, self.sf_dir, table)
@@ -56,9 +58,9 @@ class Feed:
         the scan, and a lost executor re-reads a file instead of repeating earlier stages.
         """
         context = self.spark.sparkContext
-        key = (context.applicationId, self.sf_dir, name)
+        key = (context.applicationId, f"{self.sf_dir} {self.stamp}", name)
         if key not in _WRITTEN:
-            run = hashlib.sha1(f"{context.applicationId} {self.sf_dir}".encode()).hexdigest()[:16]
+            run = hashlib.sha1(" ".join(key[:2]).encode()).hexdigest()[:16]
             folder = f"{ensure_checkpoint_dir(self.spark)}/tracewarden/{run}"
             publish(build(), folder, name)
             _WRITTEN[key] = folder
