@@ -15,34 +15,37 @@ from ..operators.dedupe import COPIES, UNPARSED
 from ..schemas import RAW_COLUMNS
 from ..session import ensure_checkpoint_dir, prepare
 from ..sources.published import publish, require_outputs
-from ..sources.raw import check_raw_inputs, scan, unexpected_columns
+from ..sources.raw import Contract, check_raw_inputs, scan, unexpected_columns
 
 
-def clean_and_report(table: str, raw: DataFrame, folder: str) -> DataFrame:
+def clean_and_report(table: str, raw: DataFrame, folder: str, approximate: bool = False) -> DataFrame:
     """Publish a clean table with its quality report and pipeline summary.
 
     The raw row count and the texts without a readable time are observed while the clean table is
     written; everything else in the reports is read back from that table. Columns beyond the contract are not
-    cleaned; the summary counts them under ``unexpected_column: name``, one line each.
+    cleaned; the summary names them under ``unexpected_column: name``, one line each, and counts malformed records.
+    ``approximate`` takes distinct counts of the quality report from sketches.
     """
-    seen = Observation()
-    stage = STAGES[table](raw)
+    seen, contract = Observation(), Contract(raw, table)
+    stage = STAGES[table](contract.watched)
     sums = {COPIES: "raw_rows", UNPARSED: "unparsed"}
     stage = stage.observe(seen, *[F.sum(c).alias(n) for c, n in sums.items() if c in stage.columns])
-    clean = publish(stage.drop(COPIES, UNPARSED), folder, f"{table}_clean")
+    clean = publish(stage.drop(COPIES, UNPARSED), folder, f"{table}_clean", accept=contract.check)
     raw_rows, unparsed = seen.get["raw_rows"] or 0, seen.get.get("unparsed") or 0
     summaries = {
         "identity": lambda: quality.identity_summary(clean, raw_rows, unparsed),
-        "iam": lambda: quality.iam_summary(clean, len(raw.columns), raw_rows, unparsed),
+        "iam": lambda: quality.iam_summary(
+            clean, len(RAW_COLUMNS[table]) + len(unexpected_columns(raw, table)), raw_rows, unparsed),
         "endpoint": lambda: quality.endpoint_summary(clean, raw_rows),
         "firewall": lambda: quality.firewall_summary(clean, raw_rows),
     }
     columns = list(RAW_COLUMNS["firewall"]) if table == "firewall" else None
-    publish(quality.column_profile(clean, columns), folder, f"{table}_quality_report")
+    publish(quality.column_profile(clean, columns, approximate), folder, f"{table}_quality_report")
     summary = summaries[table]()
-    extra = unexpected_columns(raw, table)
-    if extra:
-        rows = [(f"unexpected_column: {n}", 1) for n in extra]
+    rows = [(f"unexpected_column: {n}", 1) for n in unexpected_columns(raw, table)]
+    if contract.check():
+        rows.append(("malformed_records", contract.check()))
+    if rows:
         summary = summary.unionByName(raw.sparkSession.createDataFrame(rows, "metric string, value bigint"))
     publish(summary, folder, f"{table}_pipeline_summary")
     if table == "endpoint":
@@ -90,14 +93,15 @@ def publish_queue(
 
 
 def run(
-    spark: SparkSession, inputs: dict[str, tuple[str, str]], folder: str, compat: bool = False
+    spark: SparkSession, inputs: dict[str, tuple], folder: str, compat: bool = False, approximate: bool = False
 ) -> None:
-    """``inputs``: table -> (path, kind) with kind csv, json or parquet; results go to ``folder``."""
+    """``inputs``: table -> (path, kind[, options]) with kind csv, json, jsonl or parquet and the options of
+    its scan, such as ``{"multi_line": False}``; results go to ``folder``."""
     prepare(spark)
     ensure_checkpoint_dir(spark)
     check_raw_inputs(spark, inputs)
     clean = {
-        table: clean_and_report(table, scan(spark, table, *inputs[table]), folder)
+        table: clean_and_report(table, scan(spark, table, *inputs[table]), folder, approximate)
         for table in RAW_COLUMNS
     }
     publish_linkage(clean, folder, compat)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +49,9 @@ def _commit(spark: SparkSession, folder: str, name: str, entry: dict) -> None:
     context.rename(fs.makeQualified(draft), fs.makeQualified(path), options)
 
 
-def publish(df: DataFrame, folder: str, name: str, kind: str = "parquet") -> DataFrame:
+def publish(
+    df: DataFrame, folder: str, name: str, kind: str = "parquet", accept: Callable[[], object] | None = None
+) -> DataFrame:
     """Write one dataset and return a fresh scan of it, so later stages start from the table.
 
     The rows go to a folder of their own run; only then a manifest names that run, with its rows
@@ -65,6 +67,8 @@ def publish(df: DataFrame, folder: str, name: str, kind: str = "parquet") -> Dat
         writer.option("header", True).csv(path)
     else:
         writer.parquet(path)
+    if accept:
+        accept()
     schema = df.schema.json()
     _commit(spark, folder, name, {
         "run": run, "kind": kind, "rows": seen.get["rows"] or 0, "schema": schema,
