@@ -3,10 +3,11 @@
 Documents with equal shingle sets become one representative. Independent trees branch the
 representatives: a node picks two minwise coordinates and sends each member to the children
 named by its tokens there, so similar pairs keep meeting (2 * 0.8 > 1 children each) and others
-die out. Small nodes are compared exhaustively. In a large node the members close to its pivot
-are attached to it and leave once the link is confirmed on full sets; members that the triangle
-inequality still allows to be near an attached one are compared with those, and the rest, refused
-ones included, branches on. All links are confirmed on full sets.
+die out. Small nodes are compared exhaustively. All members of a large node are compared with two
+of them, its hubs: the one most often found similar so far, and one by chance; then it branches on,
+from the third level at one coordinate. Every other level the candidates are confirmed on full
+sets, and nodes whose members are all in one component are left. Nodes that are large and mixed
+on the last level are joined by what their members have that the hub has not.
 """
 
 from __future__ import annotations
@@ -14,21 +15,23 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewarden.llm.common import components, map_batches, saved
+from tracewarden.llm.common import components, discarded, map_batches, saved, written
 from tracewarden.llm.flat_words import LOWER, SPACE_WORDS, Spans, flat, mix, pieces
+from tracewarden.operators.ranking import number_rows
 
 SHINGLE = 5
 PERCENT = 85
 COORDINATES = 64
 TREES = 3
-SMALL = 32
-DEPTH = 6
+SMALL = 8
+# nodes fork at two coordinates down to this depth, at one from there on, so rows grow no further
+FORKS = 2
+DEPTH = 7
 # estimates from 64 coordinates stray by 0.045 (one sigma) at 0.85, by 0.05 at 0.80
-SURE, SLACK = 0.92, 0.19
-_LOWEST = -2 ** 63
+SLACK = 0.17
 _SEEDS = np.random.default_rng(11).integers(1, 2 ** 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
 
 
@@ -53,12 +56,12 @@ def shingle_sets(column) -> list[np.ndarray]:
 
 
 def minwise(shingles: np.ndarray) -> np.ndarray:
-    """32 bits of the smallest hash per coordinate (the shingles are mixed hashes, so an odd factor
+    """16 bits of the smallest hash per coordinate (the shingles are mixed hashes, so an odd factor
     orders them anew), in slices so that a huge set stays small."""
     low = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingles), 2048):
         low = np.minimum(low, (_SEEDS[:, None] * shingles[None, at:at + 2048]).min(axis=1))
-    return (low >> np.uint64(16)).astype(np.uint32).view(np.int32)
+    return (low >> np.uint64(16)).astype(np.uint16).view(np.int16)
 
 
 def _row_key():
@@ -67,19 +70,6 @@ def _row_key():
                     F.coalesce(F.md5("text"), F.lit("null")))
 
 
-def _group_key():
-    """(doc_id, node) as bytes in the order of the ids, null ids last, so that the smallest key of a
-    component belongs to its smallest id."""
-    ordered = F.lpad(F.hex(F.col("doc_id").bitwiseXOR(F.lit(_LOWEST))), 16, "0")
-    return F.concat(F.unhex(F.coalesce(F.concat(F.lit("00"), ordered), F.lit("01" + "F" * 16))), "node")
-
-
-def _key_id(key: str):
-    """The doc_id of a group key."""
-    return F.when(F.hex(F.substring(key, 1, 1)) == "00",
-                  F.conv(F.hex(F.substring(key, 2, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(_LOWEST)))
-
-
 def _fingerprints(docs: DataFrame) -> DataFrame:
     def make():
         def step(batch):
@@ -90,7 +80,7 @@ def _fingerprints(docs: DataFrame) -> DataFrame:
         return step
 
     return map_batches(docs.select("doc_id", "text", _row_key().alias("row_key")), make,
-                       "doc_id long, row_key string, n_shingles long, node binary, sig array<int>")
+                       "doc_id long, row_key string, n_shingles long, node binary, sig array<smallint>")
 
 
 def _alike(x: str, y: str):
@@ -98,64 +88,70 @@ def _alike(x: str, y: str):
     return F.aggregate(F.zip_with(x, y, lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v) / COORDINATES
 
 
-def _side(rows, name):
-    return rows.select("node", F.col("id").alias(name), F.col("sig").alias(f"sig_{name}"))
+def _children(rows: DataFrame, depth: int) -> DataFrame:
+    """The children of (node, id, comp, sig): one per token at the coordinates that the node picks."""
+    pick = F.pmod(F.xxhash64("node", F.lit(depth)), F.lit(COORDINATES)).cast("int")
+    other = F.pmod(pick + 1 + F.pmod(F.xxhash64("node", F.lit(-1 - depth)), F.lit(COORDINATES - 1)).cast("int"), F.lit(COORDINATES))
+    picks = F.array(pick, other) if depth < FORKS else F.array(pick)
+    return rows.select(F.explode(picks).alias("c"), "node", "id", "comp", "sig").select(
+        F.xxhash64("node", "c", F.get("sig", F.col("c"))).alias("node"), "id", "comp")
 
 
-def _pairs(rows: DataFrame, others: DataFrame, least: float) -> DataFrame:
-    return (_side(rows, "a").join(_side(others, "b"), "node").where("a != b")
-            .withColumn("alike", _alike("sig_a", "sig_b")).where(F.col("alike") >= least)
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "alike"))
+def _hubs(large: DataFrame, degrees: DataFrame | None, depth: int) -> DataFrame:
+    """(node, hub, hub_comp) of each large node: the member most often found similar so far, and one by chance."""
+    ranked = (large.withColumn("degree", F.lit(0).cast("long")) if degrees is None
+              else large.join(degrees, "id", "left").withColumn("degree", F.coalesce("degree", F.lit(0).cast("long"))))
+    best = F.min(F.struct(-F.col("degree"), F.xxhash64("id", F.lit(depth)), "id", "comp"))
+    chance = F.min(F.struct(F.xxhash64("id", F.lit(-1 - depth)), "id", "comp"))
+    both = ranked.groupBy("node").agg(best.alias("p"), chance.alias("q"))
+    return both.select("node", F.posexplode(F.array(F.struct("p.id", "p.comp"), F.struct("q.id", "q.comp"))).alias("place", "h")).select(
+        "node", "place", F.col("h.id").alias("hub"), F.col("h.comp").alias("hub_comp"))
 
 
-def _candidates(reps: DataFrame, docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs (a, b, alike) of representatives that may reach the similarity, and the confirmed
-    links (a, b) of attached members to their pivots."""
-    least = percent / 100 - SLACK
-    nodes = reps.select(F.explode(F.array(*[F.lit(t).cast("long") for t in range(TREES)])).alias("node"), "id", "sig")
-    found = tried = linked = None
-    for depth in range(DEPTH + 1):
-        pick = F.pmod(F.xxhash64("node", F.lit(depth)), F.lit(COORDINATES)).cast("int")
-        other = F.pmod(pick + 1 + F.pmod(F.xxhash64("node", F.lit(-1 - depth)), F.lit(COORDINATES - 1)).cast("int"), F.lit(COORDINATES))
-        children = nodes.select(F.explode(F.array(pick, other)).alias("c"), "node", "id", "sig").select(
-            F.xxhash64("node", "c", F.get("sig", F.col("c"))).alias("node"), "id", "sig")
-        sizes = children.groupBy("node").agg(F.count("*").alias("members"), F.min("id").alias("pivot")).where("members > 1")
-        members = saved(children.join(sizes, "node"))
-        large = members.where((F.col("members") > SMALL) & F.lit(depth < DEPTH))
-        small = members.where((F.col("members") <= SMALL) | F.lit(depth == DEPTH))
-        out = _pairs(small, small.select("node", "id", "sig"), least).where("a < b")
-        more = not large.isEmpty()
-        if more:
-            pivots = large.where("id = pivot").select("node", F.col("sig").alias("pivot_sig")).dropDuplicates(["node"])
-            near = saved(large.join(pivots, "node").withColumn("alike", _alike("sig", "pivot_sig")).drop("pivot_sig"))
-            close = near.where((F.col("alike") >= SURE) & (F.col("id") != F.col("pivot")))
-            pairs = close.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-            # another node may have asked for the same pair already
-            asked = saved(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-            tried = asked if tried is None else tried.union(asked)
-            if not asked.isEmpty():
-                new = saved(_confirm(asked, docs, reps, percent))
-                linked = new if linked is None else linked.union(new)
-            if linked is not None:
-                near = saved(near.join(linked.select(F.col("a").alias("pivot"), F.col("b").alias("id"), F.lit(True).alias("linked")),
-                                       ["pivot", "id"], "left"))
-            else:
-                near = near.withColumn("linked", F.lit(None).cast("boolean"))
-            attached, rest = near.where("linked is not null"), near.where("linked is null")
-            edge = rest.where((F.col("id") != F.col("pivot")) & (F.col("alike") >= SURE - (1 - percent / 100) - SLACK))
-            out = out.union(_pairs(edge, attached, least))
-            nodes = rest.select("node", "id", "sig")
-        out = saved(out.groupBy("a", "b").agg(F.max("alike").alias("alike")))
-        found = out if found is None else found.union(out)
-        if not more:
-            break
-    return saved(found.groupBy("a", "b").agg(F.max("alike").alias("alike"))), linked
+def _estimated(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) with their estimate, where it is high enough."""
+    def side(name):
+        return sigs.select(F.col("id").alias(name), F.col("sig").alias(f"sig_{name}"))
+    return (pairs.join(side("a"), "a").join(side("b"), "b").withColumn("alike", _alike("sig_a", "sig_b"))
+            .where(F.col("alike") >= least).select("a", "b", "alike"))
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    wanted = reps.select("id", "row_key").join(wanted, "id", "left_semi")
+def _with_component(rows: DataFrame, part: DataFrame | None, name: str = "id", comp: str = "comp") -> DataFrame:
+    if part is None:
+        return rows.withColumn(comp, F.col(name))
+    own = part.select(F.col("node").alias(name), F.col("component").alias("_component"))
+    return rows.join(own, name, "left").withColumn(comp, F.coalesce("_component", name)).drop("_component")
+
+
+def _still_apart(pairs: DataFrame, part: DataFrame | None) -> DataFrame:
+    return (_with_component(_with_component(pairs, part, "a", "comp_a"), part, "b", "comp_b")
+            .where("comp_a != comp_b").select(*pairs.columns))
+
+
+def _joined(part: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components once the links are added to those known."""
+    edges, folder = written(links)
+    if part is not None:
+        edges = edges.union(part.select("component", "node"))
+    part = saved(components(edges))
+    discarded(part.sparkSession, folder)
+    return part
+
+
+def _settled(todo: DataFrame, part: DataFrame | None, docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Components after the candidates (a, b, alike) are confirmed: the likeliest partner of each
+    document first, then those pairs that are still apart."""
+    ends = todo.union(todo.select("b", "a", "alike"))
+    best = ends.groupBy("a").agg(F.max_by("b", "alike").alias("b"))
+    first = saved(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    part = _joined(part, _confirm(first, docs, reps, percent))
+    rest = saved(_still_apart(todo.select("a", "b"), part).join(first, ["a", "b"], "left_anti"))
+    return part if rest.isEmpty() else _joined(part, _confirm(rest, docs, reps, percent))
+
+
+def _texts(ids: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(id, shingles) of the full sets of the representatives asked for."""
+    wanted = reps.select("id", "row_key").join(ids, "id", "left_semi")
 
     def make():
         def step(batch):
@@ -165,40 +161,133 @@ def _confirm(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int) -
 
     texts = docs.select(_row_key().alias("row_key"), "text").join(wanted, "row_key").select("id", "text")
     # rows may repeat an id and its text
-    sets = saved(map_batches(texts, make, "id binary, shingles array<long>").dropDuplicates(["id"]))
+    return saved(map_batches(texts, make, "id long, shingles array<long>").dropDuplicates(["id"]))
+
+
+def _confirm(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full shingle sets are similar enough."""
+    sets = _texts(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), docs, reps)
     common = F.size(F.array_intersect("x", "y"))
     return (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
             .where(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b").distinct())
 
 
+def _through_hub(members: DataFrame, docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among the members (hub, id, comp) of each hub, exact for members of different components.
+
+    With D(x) the shingles in which x differs from the hub, two members differ in
+    |D(x)| + |D(y)| - 2 |D(x) and D(y)| shingles. If their D share nothing and they are similar, both
+    are similar to the hub. So members similar to the hub are linked with it, and any other link needs
+    common shingles in D, at least half of slack(x) + slack(y), slack(x) = |D(x)| - k |x|,
+    k = (100 - percent) / (100 + percent). Those are joined by the rarest shingles of D, as many as
+    that number calls for.
+    """
+    k = (100 - percent) / (100 + percent)
+    sets = _texts(members.select("id").union(members.select("hub")).distinct(), docs, reps)
+    other = sets.select(F.col("id").alias("hub"), F.col("shingles").alias("centre"))
+    differ = F.concat(F.array_except("shingles", "centre"), F.array_except("centre", "shingles"))
+    deltas = saved(members.join(sets, "id").join(other, "hub").select(
+        "hub", "id", "comp", F.size("shingles").cast("long").alias("size"), F.size("centre").cast("long").alias("whole"),
+        differ.alias("delta")).withColumn("d", F.size("delta").cast("long")))
+    near = (100 * (F.col("size") + F.col("whole") - F.col("d")) >= percent * (F.col("size") + F.col("whole") + F.col("d")))
+    marked = deltas.withColumn("near", near).withColumn("slack", F.col("d") - k * F.col("size"))
+    links = marked.where("near and id != hub").select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
+    # the least slack of a partner, on either side
+    least = marked.groupBy("hub").agg(F.min(F.when(F.col("near"), F.col("slack"))).alias("near_slack"),
+                                      F.min(F.when(~F.col("near"), F.col("slack"))).alias("far_slack"))
+    tokens = saved(marked.select("hub", "id", "comp", "near", "d", "slack", F.explode("delta").alias("token")))
+    often = tokens.groupBy("hub", "token").agg(F.count("*").alias("often"), F.min("comp").alias("low"), F.max("comp").alias("high"),
+                                               F.bool_and("near").alias("all_near")).where("low < high and not all_near")
+    member = Window.partitionBy("hub", "id")
+    # what only one side has comes first in the order, so places count from those on
+    placed = saved(
+        tokens.join(often.drop("low", "high", "all_near"), ["hub", "token"])
+        .withColumn("place", F.row_number().over(member.orderBy("often", "token")) + F.col("d") - F.count("*").over(member))
+        .join(least, "hub"))
+
+    def upto(slack):
+        # one less than needed, so that rounding loses nothing
+        return F.col("d") - F.greatest(F.lit(1), F.ceil((F.col("slack") + F.col(slack)) / 2 - 1e-6)) + 1
+
+    def side(rows, name):
+        return rows.select("hub", "token", F.col("id").alias(name), F.col("comp").alias(f"comp_{name}"),
+                           F.col("slack").alias(f"slack_{name}"), (F.col("d") - F.col("place")).alias(f"left_{name}"))
+
+    far, close = placed.where("not near"), placed.where("near")
+    reach = F.least("left_x", "left_y") + 1 >= (F.col("slack_x") + F.col("slack_y")) / 2 - 1e-6
+
+    def meet(xs, ys):
+        return (xs.join(ys, ["hub", "token"]).where("comp_x != comp_y").where(reach)
+                .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+
+    among = far.where(F.col("place") <= upto("far_slack"))
+    asked = meet(side(far.where(F.col("place") <= upto("near_slack")), "x"),
+                 side(close.where(F.col("place") <= upto("far_slack")), "y")).union(
+        meet(side(among, "x"), side(among, "y")).where("a < b")).distinct()
+    return links.union(_confirm(saved(asked), docs, reps, percent)).distinct()
+
+
+def _tree_components(reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of all representatives (id, row_key, sig) that have links."""
+    least = percent / 100 - SLACK
+    sigs = reps.select("id", "sig")
+    trees = F.array(*[F.lit(t).cast("long") for t in range(TREES)])
+    rows = reps.select(F.explode(trees).alias("node"), "id", F.col("id").alias("comp"), "sig")
+    found = part = todo = degrees = None
+    for depth in range(DEPTH + 1):
+        kids = _children(rows, depth)
+        # nodes within one component have nothing left to find
+        sizes = kids.groupBy("node").agg(F.count("*").alias("members"), F.min("comp").alias("low"),
+                                         F.max("comp").alias("high")).where("low < high")
+        live = saved(kids.join(sizes.select("node", "members"), "node"))
+        small, large = live.where(F.col("members") <= SMALL), live.where(F.col("members") > SMALL)
+        def side(name):
+            return small.select("node", F.col("id").alias(name), F.col("comp").alias(f"comp_{name}"))
+        asked = side("a").join(side("b"), "node").where("a < b and comp_a != comp_b").select("a", "b")
+        more = not large.isEmpty()
+        if more:
+            hubs = saved(_hubs(large, degrees, depth))
+            asked = asked.union(large.join(hubs, "node").where("id != hub and comp != hub_comp").select(
+                F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")))
+        asked = asked.distinct()
+        if found is not None:
+            asked = asked.join(found.select("a", "b"), ["a", "b"], "left_anti")
+        new = saved(_estimated(asked, sigs, least))
+        found = new if found is None else found.union(new)
+        todo = new if todo is None else todo.union(new)
+        close = found.where(F.col("alike") >= percent / 100)
+        degrees = close.select(F.col("a").alias("id")).union(close.select("b")).groupBy("id").agg(F.count("*").alias("degree"))
+        last = not more or depth == DEPTH
+        if last or depth % 2:
+            part, todo = _settled(todo, part, docs, reps, percent), None
+        if last:
+            break
+        rows = _with_component(large.select("node", "id"), part).join(sigs, "id")
+    if more:
+        around = large.select("node", "id").join(hubs.where("place = 0").select("node", "hub"), "node").select("hub", "id").distinct()
+        around = _with_component(around, part)
+        mixed = around.groupBy("hub").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("hub")
+        around = saved(around.join(mixed, "hub"))
+        if not around.isEmpty():
+            part = _joined(part, _through_hub(around, docs, reps, percent))
+    return part
+
+
 def _row_components(docs: DataFrame, percent: int) -> DataFrame:
     """doc_id, row_key, n_shingles, component_id, kept of every row."""
-    prints = saved(_fingerprints(docs).withColumn("id", _group_key()))
-    groups = saved(prints.where("node is not null").groupBy("node").agg(F.min(F.struct("id", "row_key")).alias("low"))
-                   .select("node", "low.id", F.col("low.row_key").alias("first_key")))
-    reps = saved(prints.where("node is not null").drop("id").join(groups, "node").where("row_key = first_key")
-                 .select("id", "row_key", "sig").dropDuplicates(["id"]))
-    pairs, linked = _candidates(reps, docs, percent)
-    # one likely link per document settles most of the groups; only pairs still apart go on
-    first = pairs.groupBy("b").agg(F.max_by("a", "alike").alias("a")).select("a", "b")
-    if linked is not None:
-        first = first.join(linked.select("b").distinct(), "b", "left_anti").select("a", "b")
-    first = saved(first)
-    sure = _confirm(first, docs, reps, percent)
-    sure = saved(sure if linked is None else sure.union(linked))
-    part = components(sure)
-    def root(name):
-        return part.select(F.col("node").alias(name), F.col("component").alias(f"root_{name}"))
-    apart = (pairs.select("a", "b").join(root("a"), "a", "left").join(root("b"), "b", "left")
-             .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-             .join(first, ["a", "b"], "left_anti"))
-    links = sure.union(_confirm(saved(apart), docs, reps, percent))
-    comp = components(links).select(F.col("node").alias("id"), "component")
-    own = F.coalesce("component", "id")
-    summary = groups.join(comp, "id", "left").select(
-        "node", "first_key", _key_id(own).alias("component_id"), (own == F.col("id")).alias("leads"))
-    return (prints.drop("id", "sig").join(summary, "node", "left").select(
+    prints = saved(_fingerprints(docs))
+    groups = prints.where("node is not null").groupBy("node").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")).alias("low"))
+    # numbers follow the ids, null ids last: the smallest number of a component belongs to its smallest id
+    groups = saved(number_rows(groups, [F.col("low.unnamed"), F.col("low.doc_id"), F.col("node")], "id").select(
+        "id", "node", F.col("low.doc_id").alias("first_id"), F.col("low.row_key").alias("first_key")))
+    reps = saved(prints.select("node", "row_key", "sig").join(groups.select("id", "node", F.col("first_key").alias("row_key")),
+                                                              ["node", "row_key"]).select("id", "row_key", "sig").dropDuplicates(["id"]))
+    part = _tree_components(reps, docs, percent)
+    named = _with_component(groups, part).join(groups.select(F.col("id").alias("comp"), F.col("first_id").alias("component_id")), "comp")
+    summary = named.select("node", "first_key", "component_id", (F.col("comp") == F.col("id")).alias("leads"))
+    return (prints.drop("sig").join(summary, "node", "left").select(
         "doc_id", "row_key", "n_shingles",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce(F.col("leads") & (F.col("row_key") == F.col("first_key")), F.lit(True)).alias("kept")))
