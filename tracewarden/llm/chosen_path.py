@@ -29,7 +29,7 @@ TREES = 3
 SMALL = 8
 # nodes fork at two coordinates down to this depth, at one from there on, so rows grow no further
 FORKS = 2
-DEPTH = 7
+DEPTH = 5
 # estimates from 64 coordinates stray by 0.045 (one sigma) at 0.85, by 0.05 at 0.80
 SLACK = 0.17
 _SEEDS = np.random.default_rng(11).integers(1, 2 ** 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
@@ -265,15 +265,30 @@ def _tree_components(reps: DataFrame, docs: DataFrame, percent: int) -> DataFram
             break
         rows = _with_component(large.select("node", "id"), part).join(sigs, "id")
     if more:
-        around = large.select("node", "id").join(hubs.where("place = 0").select("node", "hub"), "node").select("hub", "id").distinct()
-        around = _with_component(around, part)
-        mixed = around.groupBy("hub").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("hub")
-        around = saved(around.join(mixed, "hub"))
+        around = _surroundings(large, hubs.where("place = 0"), found, degrees, part)
         if not around.isEmpty():
             part = _joined(part, _through_hub(around, docs, reps, percent))
     return part
 
 
+def _surroundings(large: DataFrame, hubs: DataFrame, found: DataFrame, degrees: DataFrame, part: DataFrame) -> DataFrame:
+    """(hub, id, comp): what meets a hub in a node, was estimated near it or is in its component. Of hubs in one component
+    the one most often found similar stands for all; hubs with one component around them are left."""
+    own = _with_component(hubs.select(F.col("hub").alias("id")).distinct(), part).join(degrees, "id", "left")
+    lead = own.groupBy("comp").agg(F.min(F.struct(-F.coalesce("degree", F.lit(0).cast("long")), "id")).alias("lead"))
+    own = saved(own.join(lead, "comp").select(F.col("id").alias("hub"), F.col("lead.id").alias("lead")))
+    pairs = found.select(F.col("a").alias("hub"), F.col("b").alias("id"))
+    met = (large.select("node", "id").join(hubs.select("node", "hub"), "node").select("hub", "id")
+           .union(pairs).union(pairs.select(F.col("id").alias("hub"), F.col("hub").alias("id"))))
+    around = _with_component(met.join(own, "hub").select(F.col("lead").alias("hub"), "id").distinct(), part)
+    mixed = around.groupBy("hub").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("hub")
+    mixed = saved(mixed)
+    # those linked with the hub in other ways belong to it too
+    leads = _with_component(mixed.select(F.col("hub").alias("id")), part).withColumnRenamed("id", "hub")
+    linked = part.select(F.col("node").alias("id"), F.col("component").alias("comp")).join(leads, "comp").select("hub", "id", "comp")
+    return saved(around.join(mixed, "hub").union(linked).distinct())
+
+
 def _row_components(docs: DataFrame, percent: int) -> DataFrame:
     """doc_id, row_key, n_shingles, component_id, kept of every row."""
     prints = saved(_fingerprints(docs))
