@@ -38,3 +38,21 @@ def test_recall_in_a_hot_cluster(n):
     noise = rng.normal(size=fresh.shape)
     noise = unit(noise - (noise * fresh).sum(axis=1, keepdims=True) * fresh)
     assert recall(index, fresh, 0.9501 * fresh + np.sqrt(1 - 0.9501 ** 2) * noise) >= 0.9
+
+
+def test_null_and_equal_ids_lead_on(spark):
+    def at(degrees, turn=0):
+        v = np.zeros(8)
+        v[turn], v[turn + 1] = np.cos(np.radians(degrees)), np.sin(np.radians(degrees))
+        return v.tolist()
+    # 1 - null - 2 is a chain (15 degrees a step); 3 and 9 each meet another vector of id 5
+    rows = [(1, at(0)), (None, at(15)), (2, at(30)), (3, at(0, 2)), (5, at(10, 2)), (5, at(0, 4)), (9, at(10, 4)), (7, None)]
+    # others, so that there is something to learn a rotation from
+    rng = np.random.default_rng(31)
+    rows += [(100 + i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 8))) if (unit(v[None]) @ unit(np.array(
+        [r[1] for r in rows[:7]])).T).max() < 0.9]
+    got = itq_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), recall=0.999).where(
+        "vec_id < 100 or vec_id is null").collect()
+    assert sorted((r.vec_id is None, r.vec_id or 0, r.component_id, r.n_links) for r in got) == [
+        (False, 1, 1, 1), (False, 2, 1, 1), (False, 3, 3, 1), (False, 5, 3, 1), (False, 5, 5, 1), (False, 7, 7, 0),
+        (False, 9, 5, 1), (True, 0, 1, 2)]

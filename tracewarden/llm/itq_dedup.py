@@ -185,14 +185,11 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, recall: fl
     both = links.union(links.select("b", "a"))
     degrees = (both.join(groups.select(F.col("node").alias("b"), "copies"), "b")
                .groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("others")))
-    rep = groups.select("node", "rep")
-    edges = (links.join(rep.select(F.col("node").alias("a"), F.col("rep").alias("ra")), "a")
-             .join(rep.select(F.col("node").alias("b"), F.col("rep").alias("rb")), "b")
-             .select(F.col("ra").alias("a"), F.col("rb").alias("b")))
-    comp = components(edges).select(F.col("node").alias("rep"), "component")
-    summary = (groups.join(degrees, "node", "left").join(comp, "rep", "left")
-               .select("node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-                       F.coalesce("component", "rep").alias("component_id")))
+    # vectors are the nodes; ids, which may be null or repeat, only name the components
+    named = groups.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    lowest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+    summary = (named.join(degrees, "node", "left").join(lowest, "component")
+               .select("node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id"))
     return ids.join(summary, "node", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id")).withColumn("kept", F.expr("vec_id <=> component_id"))
