@@ -1,6 +1,7 @@
 """Near-duplicates against brute force where groups are large, similarities low or ids odd."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tracewarden.llm import chosen_path
@@ -91,3 +92,36 @@ def test_null_and_equal_ids_keep_their_texts(spark):
     assert chosen_path.distinct_documents(df).count() == 6
     near = {(r.doc_id, r.component_id, r.kept) for r in chosen_path.near_documents(df).collect()}
     assert (3, -5, False) in near and (3, 3, True) in near and (-5, -5, True) in near and (7, 7, True) in near
+
+
+def test_clashing_columns_and_equal_rows(spark):
+    a = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, a, "x", "b"), (1, a, "y", "a"), (2, a + " more", "z", "c"), (3, None, None, None)]
+    df = spark.createDataFrame(rows, DOCS + ", row_key string, node string")
+    runs = [chosen_path.distinct_documents(df.repartition(n)) for n in (1, 4)]
+    assert runs[0].columns == df.columns
+    first, second = (sorted(map(tuple, r.collect()), key=str) for r in runs)
+    assert first == second and len(first) == 2 and (3, None, None, None) in first
+
+
+def test_differences_from_the_hub_are_exact(spark):
+    """Every link between members of different components, against all pairs of sets."""
+    rng = np.random.default_rng(12)
+    base = [f"w{x}" for x in range(204)]
+    texts = [" ".join(base)] + [" ".join(changed(rng, base, 1, 24)) for _ in range(150)]
+    # pairs that share a change which is too large for the hub
+    for _ in range(40):
+        far = changed(rng, base, 26, 40)
+        texts += [" ".join(far), " ".join(far[:-1] + ["end"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    reps = docs.select(F.col("doc_id").alias("id"), chosen_path._row_key().alias("row_key"))
+    members = docs.select(F.lit(0).cast("long").alias("hub"), F.col("doc_id").alias("id"), F.col("doc_id").alias("comp"))
+    got = {(r.a, r.b) for r in chosen_path._through_hub(members, docs, reps, 85).collect()}
+    sets = sets_of(texts)
+    want = {(i, j) for j in range(len(sets)) for i in range(j)
+            if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])}
+    assert got <= want
+    linked = {i for p in got if 0 in p for i in p}
+    # what is not found links two texts that are both linked with the hub
+    assert all(i in linked and j in linked for i, j in want - got)
+    assert {p for p in want if not (p[0] in linked and p[1] in linked)} <= got

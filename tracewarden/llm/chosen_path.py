@@ -320,7 +320,10 @@ def near_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One document of each group with all its columns; of rows that repeat id and text one stays."""
+    """One document of each group with all its columns, whatever their names; of rows that repeat id
+    and text the same one stays in every run. Null, empty and wordless texts stay; an empty table
+    gives an empty result."""
     keep = _row_components(docs, percent).where("kept").select("row_key").distinct()
-    keyed = docs.withColumn("row_key", _row_key())
-    return keyed.join(keep, "row_key", "left_semi").dropDuplicates(["row_key"]).select(*docs.columns)
+    rows = docs.select(_row_key().alias("row_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return (rows.join(keep, "row_key", "left_semi").groupBy("row_key")
+            .agg(F.min_by("row", F.md5(F.to_json("row"))).alias("row")).select("row.*"))
