@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tracewarden.llm import chosen_path
+from tracewarden.llm.common import Scratch
 
 DOCS = "doc_id long, text string"
 
@@ -116,7 +117,8 @@ def test_differences_from_the_hub_are_exact(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
     reps = docs.select(F.col("doc_id").alias("id"), chosen_path._row_key().alias("row_key"))
     members = docs.select(F.lit(0).cast("long").alias("hub"), F.col("doc_id").alias("id"), F.col("doc_id").alias("comp"))
-    got = {(r.a, r.b) for r in chosen_path._through_hub(members, docs, reps, 85).collect()}
+    with Scratch(spark) as scratch:
+        got = {(r.a, r.b) for r in chosen_path._through_hub(members, docs, reps, 85, scratch).collect()}
     sets = sets_of(texts)
     want = {(i, j) for j in range(len(sets)) for i in range(j)
             if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])}

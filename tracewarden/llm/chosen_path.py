@@ -3,11 +3,14 @@
 Documents with equal shingle sets become one representative. Independent trees branch the
 representatives: a node picks two minwise coordinates and sends each member to the children
 named by its tokens there, so similar pairs keep meeting (2 * 0.8 > 1 children each) and others
-die out. Small nodes are compared exhaustively. All members of a large node are compared with two
-of them, its hubs: the one most often found similar so far, and one by chance; then it branches on,
-from the third level at one coordinate. Every other level the candidates are confirmed on full
-sets, and nodes whose members are all in one component are left. Nodes that are large and mixed
-on the last level are joined by what their members have that the hub has not.
+die out. Tokens of the first level are whole 64-bit hashes, so unrelated documents do not meet by
+chance there, however many there are. Groups are found first, by comparing the members of each
+first node with one of them. Then small nodes are compared exhaustively, but for members already in
+one component. All members of a large node are compared with two of them, its hubs: the one most
+often found similar so far, and one by chance; then it branches on, from the third level at one
+coordinate. Every third level the candidates are confirmed on full sets, and nodes whose members
+are all in one component are left. Nodes that are large and mixed on the last level are joined by
+what their members have that the hub has not.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewarden.llm.common import components, discarded, map_batches, saved, written
+from tracewarden.llm.common import Scratch, components, map_batches, saved
 from tracewarden.llm.flat_words import LOWER, SPACE_WORDS, Spans, flat, mix, pieces
 from tracewarden.operators.ranking import number_rows
 
@@ -32,6 +35,8 @@ FORKS = 2
 DEPTH = 5
 # estimates from 64 coordinates stray by 0.045 (one sigma) at 0.85, by 0.05 at 0.80
 SLACK = 0.17
+# the coordinates of the first level, two for each tree
+_ROOTS = np.arange(2 * TREES)
 _SEEDS = np.random.default_rng(11).integers(1, 2 ** 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
 
 
@@ -55,13 +60,14 @@ def shingle_sets(column) -> list[np.ndarray]:
     return out
 
 
-def minwise(shingles: np.ndarray) -> np.ndarray:
-    """16 bits of the smallest hash per coordinate (the shingles are mixed hashes, so an odd factor
-    orders them anew), in slices so that a huge set stays small."""
+def minwise(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first-level tokens and 16 bits of the smallest hash per coordinate (the shingles are mixed hashes, so an
+    odd factor orders them anew), in slices so that a huge set stays small."""
     low = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingles), 2048):
         low = np.minimum(low, (_SEEDS[:, None] * shingles[None, at:at + 2048]).min(axis=1))
-    return (low >> np.uint64(16)).astype(np.uint16).view(np.int16)
+    roots = mix(low[_ROOTS] ^ np.arange(len(_ROOTS), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return roots.view(np.int64), (low >> np.uint64(16)).astype(np.uint16).view(np.int16)
 
 
 def _row_key():
@@ -74,13 +80,14 @@ def _fingerprints(docs: DataFrame) -> DataFrame:
     def make():
         def step(batch):
             sets = shingle_sets(batch.column("text"))
+            tokens = [minwise(s) if len(s) else (None, None) for s in sets]
             return {"doc_id": batch.column("doc_id"), "row_key": batch.column("row_key"), "n_shingles": [len(s) for s in sets],
                     "node": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
-                    "sig": [minwise(s) if len(s) else None for s in sets]}
+                    "roots": [r for r, _ in tokens], "sig": [s for _, s in tokens]}
         return step
 
     return map_batches(docs.select("doc_id", "text", _row_key().alias("row_key")), make,
-                       "doc_id long, row_key string, n_shingles long, node binary, sig array<smallint>")
+                       "doc_id long, row_key string, n_shingles long, node binary, roots array<long>, sig array<smallint>")
 
 
 def _alike(x: str, y: str):
@@ -130,26 +137,22 @@ def _still_apart(pairs: DataFrame, part: DataFrame | None) -> DataFrame:
 
 def _joined(part: DataFrame | None, links: DataFrame) -> DataFrame:
     """Components once the links are added to those known."""
-    edges, folder = written(links)
-    if part is not None:
-        edges = edges.union(part.select("component", "node"))
-    part = saved(components(edges))
-    discarded(part.sparkSession, folder)
-    return part
+    return components(links if part is None else links.union(part.select("component", "node")))
 
 
 def _settled(todo: DataFrame, part: DataFrame | None, docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Components after the candidates (a, b, alike) are confirmed: the likeliest partner of each
     document first, then those pairs that are still apart."""
-    ends = todo.union(todo.select("b", "a", "alike"))
-    best = ends.groupBy("a").agg(F.max_by("b", "alike").alias("b"))
-    first = saved(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    part = _joined(part, _confirm(first, docs, reps, percent))
-    rest = saved(_still_apart(todo.select("a", "b"), part).join(first, ["a", "b"], "left_anti"))
-    return part if rest.isEmpty() else _joined(part, _confirm(rest, docs, reps, percent))
+    with Scratch(todo.sparkSession) as scratch:
+        ends = todo.union(todo.select("b", "a", "alike"))
+        best = ends.groupBy("a").agg(F.max_by("b", "alike").alias("b"))
+        first = scratch.table(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        part = _joined(part, _confirm(first, docs, reps, percent, scratch))
+        rest = scratch.table(_still_apart(todo.select("a", "b"), part).join(first, ["a", "b"], "left_anti"))
+        return part if rest.isEmpty() else _joined(part, _confirm(rest, docs, reps, percent, scratch))
 
 
-def _texts(ids: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+def _texts(ids: DataFrame, docs: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, shingles) of the full sets of the representatives asked for."""
     wanted = reps.select("id", "row_key").join(ids, "id", "left_semi")
 
@@ -159,21 +162,21 @@ def _texts(ids: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
                     "shingles": [s.view(np.int64) for s in shingle_sets(batch.column("text"))]}
         return step
 
-    texts = docs.select(_row_key().alias("row_key"), "text").join(wanted, "row_key").select("id", "text")
     # rows may repeat an id and its text
-    return saved(map_batches(texts, make, "id long, shingles array<long>").dropDuplicates(["id"]))
+    texts = docs.select(_row_key().alias("row_key"), "text").join(wanted, "row_key").dropDuplicates(["row_key"]).select("id", "text")
+    return scratch.table(map_batches(texts, make, "id long, shingles array<long>"))
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
-    sets = _texts(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), docs, reps)
+    sets = _texts(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), docs, reps, scratch)
     common = F.size(F.array_intersect("x", "y"))
     return (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
             .where(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b").distinct())
 
 
-def _through_hub(members: DataFrame, docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def _through_hub(members: DataFrame, docs: DataFrame, reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) among the members (hub, id, comp) of each hub, exact for members of different components.
 
     With D(x) the shingles in which x differs from the hub, two members differ in
@@ -184,10 +187,10 @@ def _through_hub(members: DataFrame, docs: DataFrame, reps: DataFrame, percent:
     that number calls for.
     """
     k = (100 - percent) / (100 + percent)
-    sets = _texts(members.select("id").union(members.select("hub")).distinct(), docs, reps)
+    sets = _texts(members.select("id").union(members.select("hub")).distinct(), docs, reps, scratch)
     other = sets.select(F.col("id").alias("hub"), F.col("shingles").alias("centre"))
     differ = F.concat(F.array_except("shingles", "centre"), F.array_except("centre", "shingles"))
-    deltas = saved(members.join(sets, "id").join(other, "hub").select(
+    deltas = scratch.table(members.join(sets, "id").join(other, "hub").select(
         "hub", "id", "comp", F.size("shingles").cast("long").alias("size"), F.size("centre").cast("long").alias("whole"),
         differ.alias("delta")).withColumn("d", F.size("delta").cast("long")))
     near = (100 * (F.col("size") + F.col("whole") - F.col("d")) >= percent * (F.col("size") + F.col("whole") + F.col("d")))
@@ -196,12 +199,12 @@ def _through_hub(members: DataFrame, docs: DataFrame, reps: DataFrame, percent:
     # the least slack of a partner, on either side
     least = marked.groupBy("hub").agg(F.min(F.when(F.col("near"), F.col("slack"))).alias("near_slack"),
                                       F.min(F.when(~F.col("near"), F.col("slack"))).alias("far_slack"))
-    tokens = saved(marked.select("hub", "id", "comp", "near", "d", "slack", F.explode("delta").alias("token")))
+    tokens = scratch.table(marked.select("hub", "id", "comp", "near", "d", "slack", F.explode("delta").alias("token")))
     often = tokens.groupBy("hub", "token").agg(F.count("*").alias("often"), F.min("comp").alias("low"), F.max("comp").alias("high"),
                                                F.bool_and("near").alias("all_near")).where("low < high and not all_near")
     member = Window.partitionBy("hub", "id")
     # what only one side has comes first in the order, so places count from those on
-    placed = saved(
+    placed = scratch.table(
         tokens.join(often.drop("low", "high", "all_near"), ["hub", "token"])
         .withColumn("place", F.row_number().over(member.orderBy("often", "token")) + F.col("d") - F.count("*").over(member))
         .join(least, "hub"))
@@ -225,68 +228,86 @@ def _through_hub(members: DataFrame, docs: DataFrame, reps: DataFrame, percent:
     asked = meet(side(far.where(F.col("place") <= upto("near_slack")), "x"),
                  side(close.where(F.col("place") <= upto("far_slack")), "y")).union(
         meet(side(among, "x"), side(among, "y")).where("a < b")).distinct()
-    return links.union(_confirm(saved(asked), docs, reps, percent)).distinct()
+    return links.union(_confirm(scratch.table(asked), docs, reps, percent, scratch)).distinct()
 
 
 def _tree_components(reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """(node, component) of all representatives (id, row_key, sig) that have links."""
+    """(node, component) of all representatives (id, row_key, roots, sig) that have links."""
+    with Scratch(docs.sparkSession) as scratch:
+        return _branched(reps, docs, percent, scratch)
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows (node, id, comp) with their number of members, of nodes of more than one component: the others have nothing left to find."""
+    sizes = rows.groupBy("node").agg(F.count("*").alias("members"), F.min("comp").alias("low"),
+                                     F.max("comp").alias("high")).where("low < high")
+    return rows.join(sizes.select("node", "members"), "node")
+
+
+def _branched(reps: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     least = percent / 100 - SLACK
     sigs = reps.select("id", "sig")
-    trees = F.array(*[F.lit(t).cast("long") for t in range(TREES)])
-    rows = reps.select(F.explode(trees).alias("node"), "id", F.col("id").alias("comp"), "sig")
-    found = part = todo = degrees = None
+    roots = scratch.table(_mixed(reps.select(F.explode("roots").alias("node"), "id", F.col("id").alias("comp"))))
+    # groups first: each member with one of its node
+    centre = roots.groupBy("node").agg(F.min(F.struct(F.xxhash64("id"), "id")).alias("h"))
+    stars = roots.join(centre.select("node", F.col("h.id").alias("hub")), "node").where("id != hub")
+    found = scratch.table(_estimated(stars.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(),
+                                     sigs, least))
+    part = _settled(found, None, docs, reps, percent)
+    todo = None
     for depth in range(DEPTH + 1):
-        kids = _children(rows, depth)
-        # nodes within one component have nothing left to find
-        sizes = kids.groupBy("node").agg(F.count("*").alias("members"), F.min("comp").alias("low"),
-                                         F.max("comp").alias("high")).where("low < high")
-        live = saved(kids.join(sizes.select("node", "members"), "node"))
+        if depth:
+            rows = _with_component(large.select("node", "id"), part).join(sigs, "id")
+            live = scratch.table(_mixed(_children(rows, depth)))
+        else:
+            live = scratch.table(_mixed(_with_component(roots.select("node", "id"), part)))
         small, large = live.where(F.col("members") <= SMALL), live.where(F.col("members") > SMALL)
         def side(name):
             return small.select("node", F.col("id").alias(name), F.col("comp").alias(f"comp_{name}"))
         asked = side("a").join(side("b"), "node").where("a < b and comp_a != comp_b").select("a", "b")
+        close = found.where(F.col("alike") >= percent / 100)
+        degrees = close.select(F.col("a").alias("id")).union(close.select("b")).groupBy("id").agg(F.count("*").alias("degree"))
         more = not large.isEmpty()
         if more:
-            hubs = saved(_hubs(large, degrees, depth))
+            hubs = scratch.table(_hubs(large, degrees, depth))
             asked = asked.union(large.join(hubs, "node").where("id != hub and comp != hub_comp").select(
                 F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")))
-        asked = asked.distinct()
-        if found is not None:
-            asked = asked.join(found.select("a", "b"), ["a", "b"], "left_anti")
-        new = saved(_estimated(asked, sigs, least))
-        found = new if found is None else found.union(new)
+        asked = asked.distinct().join(found.select("a", "b"), ["a", "b"], "left_anti")
+        new = scratch.table(_estimated(asked, sigs, least))
+        found = found.union(new)
         todo = new if todo is None else todo.union(new)
-        close = found.where(F.col("alike") >= percent / 100)
-        degrees = close.select(F.col("a").alias("id")).union(close.select("b")).groupBy("id").agg(F.count("*").alias("degree"))
         last = not more or depth == DEPTH
-        if last or depth % 2:
+        if last or depth % 3 == 2:
             part, todo = _settled(todo, part, docs, reps, percent), None
         if last:
             break
-        rows = _with_component(large.select("node", "id"), part).join(sigs, "id")
     if more:
-        around = _surroundings(large, hubs.where("place = 0"), found, degrees, part)
+        around = _surroundings(large, hubs.where("place = 0"), found, degrees, part, scratch)
         if not around.isEmpty():
-            part = _joined(part, _through_hub(around, docs, reps, percent))
+            part = _joined(part, _through_hub(around, docs, reps, percent, scratch))
     return part
 
 
-def _surroundings(large: DataFrame, hubs: DataFrame, found: DataFrame, degrees: DataFrame, part: DataFrame) -> DataFrame:
-    """(hub, id, comp): what meets a hub in a node, was estimated near it or is in its component. Of hubs in one component
-    the one most often found similar stands for all; hubs with one component around them are left."""
+def _surroundings(large: DataFrame, hubs: DataFrame, found: DataFrame, degrees: DataFrame, part: DataFrame,
+                  scratch: Scratch) -> DataFrame:
+    """(hub, id, comp): what meets a hub in a node, was estimated near a document of its component on any level or is in that
+    component. Of hubs in one component the one most often found similar stands for all; hubs with one component around them
+    are left."""
     own = _with_component(hubs.select(F.col("hub").alias("id")).distinct(), part).join(degrees, "id", "left")
     lead = own.groupBy("comp").agg(F.min(F.struct(-F.coalesce("degree", F.lit(0).cast("long")), "id")).alias("lead"))
-    own = saved(own.join(lead, "comp").select(F.col("id").alias("hub"), F.col("lead.id").alias("lead")))
-    pairs = found.select(F.col("a").alias("hub"), F.col("b").alias("id"))
-    met = (large.select("node", "id").join(hubs.select("node", "hub"), "node").select("hub", "id")
-           .union(pairs).union(pairs.select(F.col("id").alias("hub"), F.col("hub").alias("id"))))
-    around = _with_component(met.join(own, "hub").select(F.col("lead").alias("hub"), "id").distinct(), part)
+    lead = lead.select("comp", F.col("lead.id").alias("lead"))
+    own = scratch.table(own.join(lead, "comp").select(F.col("id").alias("hub"), "comp", "lead"))
+    met = large.select("node", "id").join(hubs.select("node", "hub"), "node").join(own, "hub").select(F.col("lead").alias("hub"), "id")
+    pairs = _still_apart(found.select("a", "b"), part)
+    ends = _with_component(pairs.union(pairs.select("b", "a")), part, "a")
+    near = ends.join(own.select("comp", "lead").distinct(), "comp").select(F.col("lead").alias("hub"), F.col("b").alias("id"))
+    around = _with_component(met.union(near).distinct(), part)
     mixed = around.groupBy("hub").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("hub")
-    mixed = saved(mixed)
+    mixed = scratch.table(mixed)
     # those linked with the hub in other ways belong to it too
     leads = _with_component(mixed.select(F.col("hub").alias("id")), part).withColumnRenamed("id", "hub")
     linked = part.select(F.col("node").alias("id"), F.col("component").alias("comp")).join(leads, "comp").select("hub", "id", "comp")
-    return saved(around.join(mixed, "hub").union(linked).distinct())
+    return scratch.table(around.join(mixed, "hub").union(linked).distinct())
 
 
 def _row_components(docs: DataFrame, percent: int) -> DataFrame:
@@ -297,12 +318,12 @@ def _row_components(docs: DataFrame, percent: int) -> DataFrame:
     # numbers follow the ids, null ids last: the smallest number of a component belongs to its smallest id
     groups = saved(number_rows(groups, [F.col("low.unnamed"), F.col("low.doc_id"), F.col("node")], "id").select(
         "id", "node", F.col("low.doc_id").alias("first_id"), F.col("low.row_key").alias("first_key")))
-    reps = saved(prints.select("node", "row_key", "sig").join(groups.select("id", "node", F.col("first_key").alias("row_key")),
-                                                              ["node", "row_key"]).select("id", "row_key", "sig").dropDuplicates(["id"]))
+    reps = saved(prints.select("node", "row_key", "roots", "sig").join(groups.select("id", "node", F.col("first_key").alias("row_key")),
+                                                              ["node", "row_key"]).select("id", "row_key", "roots", "sig").dropDuplicates(["id"]))
     part = _tree_components(reps, docs, percent)
     named = _with_component(groups, part).join(groups.select(F.col("id").alias("comp"), F.col("first_id").alias("component_id")), "comp")
     summary = named.select("node", "first_key", "component_id", (F.col("comp") == F.col("id")).alias("leads"))
-    return (prints.drop("sig").join(summary, "node", "left").select(
+    return (prints.drop("roots", "sig").join(summary, "node", "left").select(
         "doc_id", "row_key", "n_shingles",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce(F.col("leads") & (F.col("row_key") == F.col("first_key")), F.lit(True)).alias("kept")))

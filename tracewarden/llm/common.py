@@ -79,14 +79,34 @@ def discarded(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class Scratch:
+    """Tables of a running job, written below the shared checkpoint folder and deleted when the block ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folders = spark, []
+
+    def table(self, df: DataFrame) -> DataFrame:
+        rows, folder = written(df)
+        self.folders.append(folder)
+        return rows
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        for folder in self.folders:
+            discarded(self.spark, folder)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of the edges (a, b): the smallest node reachable.
 
-    Large-star and small-star rounds, each checkpointed; the stars of hot nodes are
-    aggregated with a map-side minimum and joined, never gathered.
+    Large-star and small-star rounds, each a written table that the next one replaces; the stars of
+    hot nodes are aggregated with a map-side minimum and joined, never gathered.
     """
-    pairs = saved(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                  .where("a < b").distinct())
+    spark = edges.sparkSession
+    pairs, folder = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                            .where("a < b").distinct())
     def state(df):
         # count and checksum of the pairs: equal before and after a round once nothing changes
         return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first())
@@ -99,14 +119,17 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                  .select(F.col("m").alias("a"), "b").distinct())
         small_low = large.groupBy("b").agg(F.min("a").alias("m"))
         small = (large.join(small_low, "b").select("m", "a", "b"))
-        following = saved(
+        following, place = written(
             small.select(F.col("m").alias("a"), "b")
             .union(small.where("a != m").select(F.col("m").alias("a"), F.col("a").alias("b"))).distinct())
-        pairs, before, known = following, known, state(following)
+        discarded(spark, folder)
+        pairs, folder, before, known = following, place, known, state(following)
         if known == before:
             break
     else:
         raise RuntimeError("components did not settle")
     leaf = pairs.groupBy("b").agg(F.min("a").alias("component"))
-    return (leaf.select(F.col("b").alias("node"), "component")
-            .union(leaf.select(F.col("component").alias("node"), "component").distinct()))
+    found, _ = written(leaf.select(F.col("b").alias("node"), "component")
+                       .union(leaf.select(F.col("component").alias("node"), "component").distinct()))
+    discarded(spark, folder)
+    return found
