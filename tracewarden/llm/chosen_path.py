@@ -8,9 +8,9 @@ chance there, however many there are. Groups are found first, by comparing the m
 first node with one of them. Then small nodes are compared exhaustively, but for members already in
 one component. All members of a large node are compared with two of them, its hubs: the one most
 often found similar so far, and one by chance; then it branches on, from the third level at one
-coordinate. Every third level the candidates are confirmed on full sets, and nodes whose members
-are all in one component are left. Nodes that are large and mixed on the last level are joined by
-what their members have that the hub has not.
+coordinate. Candidates are confirmed on full sets twice, once the groups are found and after the
+last level; nodes whose members are all in one component are left. Nodes that are large and mixed
+on the last level are joined by what their members have that the hub has not.
 """
 
 from __future__ import annotations
@@ -276,11 +276,9 @@ def _branched(reps: DataFrame, docs: DataFrame, percent: int, scratch: Scratch)
         new = scratch.table(_estimated(asked, sigs, least))
         found = found.union(new)
         todo = new if todo is None else todo.union(new)
-        last = not more or depth == DEPTH
-        if last or depth % 3 == 2:
-            part, todo = _settled(todo, part, docs, reps, percent), None
-        if last:
+        if not more:
             break
+    part = _settled(todo, part, docs, reps, percent)
     if more:
         around = _surroundings(large, hubs.where("place = 0"), found, degrees, part, scratch)
         if not around.isEmpty():

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tracewarden.session import ensure_checkpoint_dir
@@ -105,13 +105,16 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     hot nodes are aggregated with a map-side minimum and joined, never gathered.
     """
     spark = edges.sparkSession
-    pairs, folder = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                            .where("a < b").distinct())
-    def state(df):
-        # count and checksum of the pairs: equal before and after a round once nothing changes
-        return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first())
 
-    known = state(pairs)
+    def round_of(df):
+        # count and checksum of the pairs, taken while they are written: equal before and after a round once nothing changes
+        seen = Observation()
+        rows, place = written(df.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"),
+                                         F.bit_xor(F.xxhash64("b", "a")).alias("y")))
+        return rows, place, seen.get
+
+    pairs, folder, known = round_of(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                                    .where("a < b").distinct())
     for _ in range(max_rounds):
         both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -119,11 +122,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                  .select(F.col("m").alias("a"), "b").distinct())
         small_low = large.groupBy("b").agg(F.min("a").alias("m"))
         small = (large.join(small_low, "b").select("m", "a", "b"))
-        following, place = written(
+        following, place, state = round_of(
             small.select(F.col("m").alias("a"), "b")
             .union(small.where("a != m").select(F.col("m").alias("a"), F.col("a").alias("b"))).distinct())
         discarded(spark, folder)
-        pairs, folder, before, known = following, place, known, state(following)
+        pairs, folder, before, known = following, place, known, state
         if known == before:
             break
     else:
