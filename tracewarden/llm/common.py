@@ -80,10 +80,14 @@ def discarded(spark: SparkSession, folder: str) -> None:
 
 
 class Scratch:
-    """Tables of a running job, written below the shared checkpoint folder and deleted when the block ends."""
+    """Tables of a running job, written below the shared checkpoint folder and deleted when the block ends.
+    Within the block each query deletes its shuffle files when it ends: later ones read the tables."""
+
+    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
     def __init__(self, spark: SparkSession):
         self.spark, self.folders = spark, []
+        self.before = spark.conf.get(self.CLEANUP, "false")
 
     def table(self, df: DataFrame) -> DataFrame:
         rows, folder = written(df)
@@ -91,9 +95,11 @@ class Scratch:
         return rows
 
     def __enter__(self) -> Scratch:
+        self.spark.conf.set(self.CLEANUP, "true")
         return self
 
     def __exit__(self, *failure) -> None:
+        self.spark.conf.set(self.CLEANUP, self.before)
         for folder in self.folders:
             discarded(self.spark, folder)
 
