@@ -87,3 +87,28 @@ def test_median_of_a_hot_day(spark):
     gaps = np.abs(np.array(by[True])[:, None] - np.array(by[False])[None, :])
     got = {r["g"]: r["median_us"] for r in median_gaps(df, ["g"], F.col("us"), F.col("l"), ~F.col("l")).collect()}
     assert got == {"hot": float(np.median(gaps)), "one": 0.0, "two": 8.0}
+
+
+def test_medians_of_few_and_of_many_pairs_agree(spark, monkeypatch):
+    from itertools import product
+    from random import Random
+    from statistics import median
+
+    from tracewarden.operators import pair_median
+
+    draw = Random(7)
+    rows = [(f"S{s}", draw.randrange(0, 10**9) * 1_000_000 // (1 + s % 2 * 999), draw.random() < 0.4)
+            for s in range(12) for _ in range(1 + s * 3)]
+    rows += [("EMPTY", None, True), ("EMPTY", 5, False), ("TWICE", 7, True), ("TWICE", 7, True), ("TWICE", 9, False), ("TWICE", 7, False)]
+    sides = {}
+    for key, us, left in rows:
+        if us is not None:
+            sides.setdefault(key, ([], []))[0 if left else 1].append(us)
+    expected = {k: median(abs(a - b) for a, b in product(*both)) for k, both in sides.items() if all(both)}
+    events = spark.createDataFrame(rows, "k string, us bigint, is_left boolean")
+    asked = (events, ["k"], F.col("us"), F.col("is_left"), ~F.col("is_left"))
+    for few in (0, 40, pair_median.FEW_PAIRS):
+        assert {r["k"]: r["median_us"] for r in pair_median.median_gaps(*asked, few_pairs=few).collect()} == expected
+    # groups of few pairs do not enter the rounds of the search
+    monkeypatch.setattr(pair_median, "_pairs_within", None)
+    assert {r["k"]: r["median_us"] for r in pair_median.median_gaps(*asked).collect()} == expected
