@@ -212,3 +212,44 @@ def test_names_among_many_words(spark):
             and re.search(rf"(?<!\w){re.escape(n.lower())}(?!\w)", t.lower())}
     assert got == want and len(want) >= 7
     assert investigate.name_mentions(texts, ["k"], identity(spark)).collect() == []
+
+
+def test_positions_of_busy_users_in_one_shuffle(spark, monkeypatch):
+    """Keys over the limit are numbered hour by hour, the others at once; equal times are told apart by the rest of the order."""
+    rows = spark.range(0, 6_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("user_id"),
+        F.timestamp_seconds(F.col("id") * 7919 % 5_003 * 60).cast("timestamp_ntz").alias("timestamp"), F.col("id").alias("tie"))
+    order = [F.asc("timestamp"), F.asc("tie")]
+    want = {}
+    for r in sorted(rows.collect(), key=lambda r: (r["timestamp"], r["tie"])):
+        want[r["user_id"], want.setdefault(r["user_id"], 0) + 1] = r["tie"]
+        want[r["user_id"]] += 1
+    want = {k: v for k, v in want.items() if isinstance(k, tuple)}
+    for limit in (1 << 20, 500):
+        monkeypatch.setattr(investigate, "BUSY_ROWS", limit)
+        got = investigate.numbered_within(rows, "user_id", "timestamp", order, "position")
+        assert got.columns == ["user_id", "timestamp", "tie", "position"] and dict(got.dtypes)["position"] == "bigint"
+        assert {(r["user_id"], r["position"]): r["tie"] for r in got.collect()} == want
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "RepartitionByExpression" not in plan and "LogicalRDD" not in plan
+    none = investigate.numbered_within(rows.where("tie < 0"), "user_id", "timestamp", order, "position")
+    assert none.collect() == []
+
+
+def test_first_firewall_rows_in_two_shuffles(spark):
+    """The cut per host and the join share one shuffle; the cut per user is the other. Short keys win over full names."""
+    sec = timedelta(seconds=1)
+    logs = firewall(spark, *[{"log_id": f"{i:03}", "hostname": f"h{i % 3}.corp.local", "hostname_join_key": f"h{i % 3}",
+                              "timestamp": T0 + (i * 37 % 90) * sec} for i in range(90)])
+    wanted = spark.createDataFrame([("A", "h0"), ("A", "h1"), ("B", "h2.corp.local"), ("C", "h0.corp.local"), ("C", "h1"), ("D", "x")],
+                                   "user_id string, host_key string")
+    part = investigate.firewall_events(wanted, logs, 4)
+    got = {}
+    for r in sorted(part.collect(), key=lambda r: (r["user_id"], r["event_no"])):
+        got.setdefault(r["user_id"], []).append(r["log_id"])
+    at = sorted(range(90), key=lambda i: i * 37 % 90)
+    first = lambda *hosts: [f"{i:03}" for i in at if i % 3 in hosts][:4]
+    assert got == {"A": first(0, 1), "B": first(2), "C": first(1)}
+    part = investigate.firewall_events(wanted, logs, 4)  # a plan that has not run yet
+    shuffles = [line for line in part._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffles) <= 3
