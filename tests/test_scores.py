@@ -253,3 +253,18 @@ def test_first_firewall_rows_in_two_shuffles(spark):
     part = investigate.firewall_events(wanted, logs, 4)  # a plan that has not run yet
     shuffles = [line for line in part._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
     assert len(shuffles) <= 3
+
+
+def test_a_name_of_many_users_is_dealt_into_parts(spark, monkeypatch):
+    """Each text that mentions a shared name lists all its users once, whatever the size of a part."""
+    ident = identity(spark, *[{"user_id": f"EMP{i}", "full_name": "Alex Morgan", "username": "alex morgan" if i % 2 else f"alex{i}"}
+                              for i in range(60)], {"user_id": "EMP77", "full_name": "Bo Lin"})
+    texts = spark.createDataFrame([(k, "ask alex morgan, Alex Morgan" + (" or bo lin" if k % 2 else " EMP3")) for k in range(10)], "k int, text string")
+    want = {(k, f"EMP{i}", True, "id" if i == 3 and k % 2 == 0 else "name") for k in range(10) for i in range(60)} | {
+        (k, "EMP77", True, "name") for k in range(1, 10, 2)}
+    for users in (256, 7, 1):
+        monkeypatch.setattr(investigate, "NAME_USERS", users)
+        got = investigate.user_mentions(texts, ["k"], ident, ident).collect()
+        assert len(got) == len(want) and {tuple(r) for r in got} == want
+    plan = investigate.name_mentions(texts, ["k"], ident)._jdf.queryExecution().optimizedPlan().toString()
+    assert "part" in plan
