@@ -3,10 +3,10 @@
 import os
 
 import pytest
-from helpers import raw
+from helpers import firewall, raw
 from pyspark.sql import functions as F
 
-from tracewarden.operators import cleaning, dedupe
+from tracewarden.operators import cleaning, dedupe, investigate
 from tracewarden.plans import feed, queries
 
 PARTS = {
@@ -97,3 +97,21 @@ def test_traffic_shuffles_no_column_it_does_not_read(spark):
     grouped = next(line for line in plan.splitlines() if "Aggregate" in line)
     assert "rule_name" not in grouped and "session_id" not in grouped
     assert part.where(F.col("hostname").isNotNull()).count() == 4
+
+
+def test_firewall_rows_meet_users_by_their_spelling(spark):
+    logs = firewall(
+        spark, dict(log_id="1", hostname="a.corp.local", hostname_join_key="a"), dict(log_id="2", hostname="a", hostname_join_key="a"),
+        dict(log_id="2", hostname="a", hostname_join_key="a"), dict(log_id="3", hostname="b.x"),
+        dict(log_id="4", hostname="B.X", hostname_join_key="c"), dict(log_id="5", hostname_join_key="D"), dict(log_id="6"))
+    wanted = spark.createDataFrame(
+        [("U", "a"), ("U", "a.corp.local"), ("V", "a.corp.local"), ("W", "b.x"), ("X", "d"), ("X", "c"), ("Y", "zz")],
+        "user_id string, host_key string")
+    events = investigate.firewall_events(wanted, logs)
+    assert sorted((r["user_id"], r["log_id"]) for r in events.collect()) == [
+        ("U", "1"), ("U", "2"), ("U", "2"), ("V", "1"), ("W", "3"), ("W", "4"), ("X", "4"), ("X", "5")]
+    # only spellings get two names, never the rows with their other columns
+    plan = events._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    for at, line in enumerate(plan):
+        if "Generate inline" in line:
+            assert any("Aggregate" in below for below in plan[at + 1:at + 4])
