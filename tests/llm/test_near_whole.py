@@ -127,3 +127,27 @@ def test_differences_from_the_hub_are_exact(spark):
     # what is not found links two texts that are both linked with the hub
     assert all(i in linked and j in linked for i, j in want - got)
     assert {p for p in want if not (p[0] in linked and p[1] in linked)} <= got
+
+
+def test_estimates_are_taken_where_members_meet_their_hub(spark):
+    """Pairs that are not similar enough leave no rows of the join, those that are leave one each."""
+    sigs = {1: [1] * 64, 2: [1] * 60 + [2] * 4, 3: [3] * 64, 4: [1] * 40 + [4] * 24}
+    schema = "node long, id long, comp long, members long, sig array<smallint>"
+    large = spark.createDataFrame([(7, i, i, 9, s) for i, s in sigs.items()], schema)
+    hubs = chosen_path._hubs(large, None, 0)
+    assert {"hub", "hub_sig"} <= set(hubs.columns)
+    hub = spark.createDataFrame([(7, 0, 1, 1, sigs[1])], "node long, place int, hub long, hub_comp long, hub_sig array<smallint>")
+    got = chosen_path._near_hubs(large, hub, "id != hub and comp != hub_comp", 0.6)
+    assert {tuple(r) for r in got.collect()} == {(1, 2, 60 / 64), (1, 4, 40 / 64)}
+
+
+def test_search_broadcasts_nothing(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    left, right = spark.range(50).withColumn("x", F.lit(1)), spark.range(20).withColumn("y", F.lit(2))
+    with Scratch(spark) as scratch:
+        a, b = scratch.table(left), scratch.table(right)
+        joined = a.join(b, "id")
+        assert joined.count() == 20
+        assert "BroadcastExchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get(name) == before

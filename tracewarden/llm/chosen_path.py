@@ -96,31 +96,32 @@ def _alike(x: str, y: str):
 
 
 def _children(rows: DataFrame, depth: int) -> DataFrame:
-    """The children of (node, id, comp, sig): one per token at the coordinates that the node picks."""
+    """The children of (node, id, comp, sig), as such: one per token at the coordinates that the node picks."""
     pick = F.pmod(F.xxhash64("node", F.lit(depth)), F.lit(COORDINATES)).cast("int")
     other = F.pmod(pick + 1 + F.pmod(F.xxhash64("node", F.lit(-1 - depth)), F.lit(COORDINATES - 1)).cast("int"), F.lit(COORDINATES))
     picks = F.array(pick, other) if depth < FORKS else F.array(pick)
     return rows.select(F.explode(picks).alias("c"), "node", "id", "comp", "sig").select(
-        F.xxhash64("node", "c", F.get("sig", F.col("c"))).alias("node"), "id", "comp")
+        F.xxhash64("node", "c", F.get("sig", F.col("c"))).alias("node"), "id", "comp", "sig")
 
 
 def _hubs(large: DataFrame, degrees: DataFrame | None, depth: int) -> DataFrame:
-    """(node, hub, hub_comp) of each large node: the member most often found similar so far, and one by chance."""
+    """(node, hub, hub_comp, hub_sig) of each large node: the member most often found similar so far, and one by chance."""
     ranked = (large.withColumn("degree", F.lit(0).cast("long")) if degrees is None
               else large.join(degrees, "id", "left").withColumn("degree", F.coalesce("degree", F.lit(0).cast("long"))))
-    best = F.min(F.struct(-F.col("degree"), F.xxhash64("id", F.lit(depth)), "id", "comp"))
-    chance = F.min(F.struct(F.xxhash64("id", F.lit(-1 - depth)), "id", "comp"))
+    best = F.min(F.struct(-F.col("degree"), F.xxhash64("id", F.lit(depth)), "id", "comp", "sig"))
+    chance = F.min(F.struct(F.xxhash64("id", F.lit(-1 - depth)), "id", "comp", "sig"))
     both = ranked.groupBy("node").agg(best.alias("p"), chance.alias("q"))
-    return both.select("node", F.posexplode(F.array(F.struct("p.id", "p.comp"), F.struct("q.id", "q.comp"))).alias("place", "h")).select(
-        "node", "place", F.col("h.id").alias("hub"), F.col("h.comp").alias("hub_comp"))
+    parts = [F.struct(f"{h}.id", f"{h}.comp", f"{h}.sig") for h in ("p", "q")]
+    return both.select("node", F.posexplode(F.array(*parts)).alias("place", "h")).select(
+        "node", "place", F.col("h.id").alias("hub"), F.col("h.comp").alias("hub_comp"), F.col("h.sig").alias("hub_sig"))
 
 
-def _estimated(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) with their estimate, where it is high enough."""
-    def side(name):
-        return sigs.select(F.col("id").alias(name), F.col("sig").alias(f"sig_{name}"))
-    return (pairs.join(side("a"), "a").join(side("b"), "b").withColumn("alike", _alike("sig_a", "sig_b"))
-            .where(F.col("alike") >= least).select("a", "b", "alike"))
+def _near_hubs(members: DataFrame, hubs: DataFrame, apart: str, least: float) -> DataFrame:
+    """The pairs (a, b, alike) of a member and a hub of its node whose estimate is high enough. It is taken where the two
+    meet, so pairs that are not similar leave no rows."""
+    alike = _alike("sig", "hub_sig")
+    return members.join(hubs, "node").where(apart).where(alike >= least).select(
+        F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"), alike.alias("alike"))
 
 
 def _with_component(rows: DataFrame, part: DataFrame | None, name: str = "id", comp: str = "comp") -> DataFrame:
@@ -238,7 +239,7 @@ def _tree_components(reps: DataFrame, docs: DataFrame, percent: int) -> DataFram
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows (node, id, comp) with their number of members, of nodes of more than one component: the others have nothing left to find."""
+    """Rows (node, id, comp, ...) with their number of members, of nodes of more than one component: the others have nothing left to find."""
     sizes = rows.groupBy("node").agg(F.count("*").alias("members"), F.min("comp").alias("low"),
                                      F.max("comp").alias("high")).where("low < high")
     return rows.join(sizes.select("node", "members"), "node")
@@ -246,34 +247,27 @@ def _mixed(rows: DataFrame) -> DataFrame:
 
 def _branched(reps: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     least = percent / 100 - SLACK
-    sigs = reps.select("id", "sig")
-    roots = scratch.table(_mixed(reps.select(F.explode("roots").alias("node"), "id", F.col("id").alias("comp"))))
+    roots = _mixed(reps.select(F.explode("roots").alias("node"), "id", F.col("id").alias("comp")))
+    roots = scratch.table(roots.join(reps.select("id", "sig"), "id"))
     # groups first: each member with one of its node
-    centre = roots.groupBy("node").agg(F.min(F.struct(F.xxhash64("id"), "id")).alias("h"))
-    stars = roots.join(centre.select("node", F.col("h.id").alias("hub")), "node").where("id != hub")
-    found = scratch.table(_estimated(stars.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(),
-                                     sigs, least))
+    centre = roots.groupBy("node").agg(F.min(F.struct(F.xxhash64("id"), "id", "sig")).alias("h"))
+    centre = centre.select("node", F.col("h.id").alias("hub"), F.col("h.sig").alias("hub_sig"))
+    found = scratch.table(_near_hubs(roots, centre, "id != hub", least).distinct())
     part = _settled(found, None, docs, reps, percent)
     todo = None
     for depth in range(DEPTH + 1):
-        if depth:
-            rows = _with_component(large.select("node", "id"), part).join(sigs, "id")
-            live = scratch.table(_mixed(_children(rows, depth)))
-        else:
-            live = scratch.table(_mixed(_with_component(roots.select("node", "id"), part)))
+        rows = _with_component((large if depth else roots).select("node", "id", "sig"), part)
+        live = scratch.table(_mixed(_children(rows, depth) if depth else rows))
         small, large = live.where(F.col("members") <= SMALL), live.where(F.col("members") > SMALL)
-        def side(name):
-            return small.select("node", F.col("id").alias(name), F.col("comp").alias(f"comp_{name}"))
-        asked = side("a").join(side("b"), "node").where("a < b and comp_a != comp_b").select("a", "b")
+        others = small.select("node", *[F.col(n).alias(f"hub_{n}" if n != "id" else "hub") for n in ("id", "comp", "sig")])
+        asked = _near_hubs(small, others, "id < hub and comp != hub_comp", least)
         close = found.where(F.col("alike") >= percent / 100)
         degrees = close.select(F.col("a").alias("id")).union(close.select("b")).groupBy("id").agg(F.count("*").alias("degree"))
         more = not large.isEmpty()
         if more:
             hubs = scratch.table(_hubs(large, degrees, depth))
-            asked = asked.union(large.join(hubs, "node").where("id != hub and comp != hub_comp").select(
-                F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")))
-        asked = asked.distinct().join(found.select("a", "b"), ["a", "b"], "left_anti")
-        new = scratch.table(_estimated(asked, sigs, least))
+            asked = asked.union(_near_hubs(large, hubs, "id != hub and comp != hub_comp", least))
+        new = scratch.table(asked.distinct().join(found.select("a", "b"), ["a", "b"], "left_anti"))
         found = found.union(new)
         todo = new if todo is None else todo.union(new)
         if not more:

@@ -81,13 +81,14 @@ def discarded(spark: SparkSession, folder: str) -> None:
 
 class Scratch:
     """Tables of a running job, written below the shared checkpoint folder and deleted when the block ends.
-    Within the block each query deletes its shuffle files when it ends: later ones read the tables."""
+    Within the block each query deletes its shuffle files when it ends: later ones read the tables. No side of a join is
+    broadcast there: a search asks for hundreds of joins, and the driver would build each small side in its own memory."""
 
-    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    HELD = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.autoBroadcastJoinThreshold": "-1"}
 
     def __init__(self, spark: SparkSession):
         self.spark, self.folders = spark, []
-        self.before = spark.conf.get(self.CLEANUP, "false")
+        self.before = {name: spark.conf.get(name) for name in self.HELD}
 
     def table(self, df: DataFrame) -> DataFrame:
         rows, folder = written(df)
@@ -95,11 +96,13 @@ class Scratch:
         return rows
 
     def __enter__(self) -> Scratch:
-        self.spark.conf.set(self.CLEANUP, "true")
+        for name, value in self.HELD.items():
+            self.spark.conf.set(name, value)
         return self
 
     def __exit__(self, *failure) -> None:
-        self.spark.conf.set(self.CLEANUP, self.before)
+        for name, value in self.before.items():
+            self.spark.conf.set(name, value)
         for folder in self.folders:
             discarded(self.spark, folder)
 
