@@ -79,6 +79,36 @@ def test_the_digest_of_three_columns_tells_rows_apart(spark):
     assert counted(part) == counted(dedupe.distinct_with_copies(df).select("key", dedupe.COPIES))
 
 
+def test_shared_names_against_a_plain_search(spark, monkeypatch):
+    """Repeated and null keys, users of several shared names and of ids: each text and user once, and the shared rows are not shuffled."""
+    dice = random.Random(5)
+    shown = ["alex morgan", "casey lee", "robin fox", "only one", "just two"]
+    people = [{"user_id": f"EMP{i}", "full_name": dice.choice(shown[:3]), "username": dice.choice([*shown[:3], None, f"user{i}"])} for i in range(90)]
+    people += [{"user_id": "EMP3", "full_name": "Only One"}, {"user_id": "EMP200", "full_name": "Just Two"}, {"user_id": "EMP201", "full_name": "just two"},
+               {"user_id": None, "full_name": "Alex Morgan"}]
+    ident = identity(spark, *people)
+    lines = [(dice.choice([None, *range(8)]), " , ".join(dice.sample([*shown, "EMP1", "emp-7", "EMP999", "nothing"], dice.randint(1, 5)))) for _ in range(40)]
+    texts = spark.createDataFrame(lines, "k int, text string")
+    want = {}
+    for k, text in lines:
+        for spelled in re.findall(r"(?i)emp-?\d+", text):
+            user = spelled.upper().replace("-", "")
+            want[k, user] = (user != "EMP999", "id")
+        for p in people:
+            if p["user_id"] and {(p["full_name"] or "").lower(), (p.get("username") or "").lower()} & set(text.split(" , ")):
+                want.setdefault((k, p["user_id"]), (True, "name"))
+    for users in (256, 4, 1):
+        monkeypatch.setattr(investigate, "NAME_USERS", users)
+        rows = investigate.user_mentions(texts, ["k"], ident, ident)
+        got = rows.collect()
+        assert len(got) == len(want) and {(r["k"], r["user_id"]): (r["found"], r["how"]) for r in got} == want
+    # nothing is grouped above the join that forms the rows of shared names
+    plan = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    branch = max(at for at, line in enumerate(plan) if line.startswith("+- "))
+    joined = next(at for at, line in enumerate(plan) if "array_intersect" in line)
+    assert plan[0].startswith("Union") and branch < joined and not any("Aggregate" in line for line in plan[branch:joined])
+
+
 def test_a_row_is_cut_once_per_spelling(spark):
     """Names that differ in case, rows without one of the names, and users who fall back to full names."""
     logs = firewall(
